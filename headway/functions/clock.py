@@ -25,7 +25,8 @@ def parse_feed_time(text: str | Column) -> Column:
 def parse_service_date(text: str | Column) -> Column:
     """``yyyyMMdd`` (or ISO) text to a date; anything else is NULL."""
     t = _c(text).cast("string")
-    return F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
+    iso = F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2))
+    return F.when(F.length(t) == 8, iso).otherwise(t).try_cast("date")
 
 
 def service_time(service_date: Column, clock: str | Column, strict_reference: bool = False) -> Column:
@@ -36,15 +37,18 @@ def service_time(service_date: Column, clock: str | Column, strict_reference: bo
     and hours from 25 on give NULL.
     """
     t = _c(clock)
-    valid = t.rlike(r"^\d{1,2}:[0-5]\d:[0-5]\d$")
     if strict_reference:
         rolls = t.startswith("24")
         text = F.when(rolls, F.replace(t, F.lit("24"), F.lit("00"))).otherwise(t)
         day = F.when(rolls, F.date_add(service_date, 1)).otherwise(service_date)
-        return F.when(valid, F.concat_ws(" ", day.cast("string"), text).try_cast("timestamp_ntz"))
-    part = lambda i: F.split_part(t, F.lit(":"), F.lit(i)).try_cast("int")
-    interval = F.make_dt_interval(F.lit(0), part(1), part(2), part(3).cast("decimal(18,6)"))
-    return F.when(valid, service_date.cast("timestamp_ntz") + interval)
+        shaped = t.rlike(r"^\d{1,2}:[0-5]\d:[0-5]\d$")
+        return F.when(shaped, F.concat_ws(" ", day.cast("string"), text).try_cast("timestamp_ntz"))
+    parts = F.split(t, ":")
+    hour, minute, second = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
+    valid = (F.size(parts) == 3) & (hour >= 0) & minute.between(0, 59) & second.between(0, 59)
+    return F.when(
+        valid, F.timestamp_add("SECOND", hour * 3600 + minute * 60 + second, service_date.cast("timestamp_ntz"))
+    )
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:

@@ -170,6 +170,12 @@ def ring_centroid(ring: str | Column) -> Column:
     )
 
 
+#: Cell of a point without a position. It meets no position, and being a plain
+#: value it keeps cells non-null: a nullable key would make the optimizer test the
+#: whole projection formula for NULL before every join.
+NO_CELL = -(1 << 62)
+
+
 def cell(v: str | Column, size: float) -> Column:
     """Index of the grid cell a coordinate lies in."""
-    return F.floor(_c(v) / F.lit(float(size))).cast("long")
+    return F.coalesce(F.floor(_c(v) / F.lit(float(size))).cast("long"), F.lit(NO_CELL))

@@ -12,22 +12,29 @@ from headway.operators.pings import TRIP
 
 
 def trip_rows(matched: DataFrame, stops: DataFrame) -> DataFrame:
-    """Placed pings (typ B) and all points of the pattern (S and W) of each trip with two or more."""
-    per_trip = matched.groupBy(*TRIP).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("rt").alias("rt"), F.min("vid").alias("vid")
+    """Placed pings (typ B) and all points of the pattern (S and W) of each trip with two or more.
+
+    A trip's placed pings sit on different legs, so they are no more than its
+    pattern has legs. They and the pattern's points travel as arrays and are
+    unpacked behind the shuffle: one row per trip is moved, not one per stop.
+    """
+    none = F.lit(None)
+    row = lambda at, typ, stpid, p_stp_id, time: F.struct(
+        at.cast("double").alias("seg_combined"), typ.alias("typ"), stpid.cast("string").alias("stpid"),
+        p_stp_id.cast("string").alias("p_stp_id"), F.col("x_m"), F.col("y_m"),
+        time.cast("timestamp_ntz").alias("data_time"),
     )
-    trips = per_trip.filter(F.col("__n") > 1).drop("__n")
-    points = trips.join(
-        stops.select(
-            "pid", F.col("segment").cast("double").alias("seg_combined"), "typ", "stpid", "p_stp_id",
-            "x_m", "y_m",
-        ),
-        "pid",
+    ping = row(F.col("seg_combined"), F.lit("B"), none, none, F.col("data_time"))
+    point = row(F.col("segment"), F.col("typ"), F.col("stpid"), F.col("p_stp_id"), none)
+    trips = matched.groupBy(*TRIP).agg(
+        F.min("rt").alias("rt"), F.min("vid").alias("vid"), F.collect_list(ping).alias("__pings")
     )
-    pings = matched.join(trips.select(*TRIP), list(TRIP), "left_semi").select(
-        *TRIP, "rt", "vid", "seg_combined", F.lit("B").alias("typ"), "x_m", "y_m", "data_time"
+    patterns = stops.groupBy("pid").agg(F.collect_list(point).alias("__points"))
+    return (
+        trips.filter(F.size("__pings") > 1)
+        .join(patterns, "pid")
+        .select(*TRIP, "rt", "vid", F.inline(F.concat("__pings", "__points")))
     )
-    return points.unionByName(pings, allowMissingColumns=True)
 
 
 def interpolate_stop_times(matched: DataFrame, stops: DataFrame, anchor: str = "next") -> DataFrame:
@@ -37,68 +44,79 @@ def interpolate_stop_times(matched: DataFrame, stops: DataFrame, anchor: str = "
     the distance up to the following row, as the published method does;
     ``"self"`` counts up to the stop itself. Stops before the first or after the
     last ping are reached by chaining step times at the nearest known speed.
-    Everything is a window over the trip, so the rows are shuffled once.
+
+    All figures are differences of running sums along the trip, so the whole
+    computation is three sorts (forth, back, forth) of rows shuffled once.
     """
     if anchor not in ("next", "self"):
         raise ValueError(f"anchor must be 'next' or 'self', not {anchor!r}")
-    trip = W.partitionBy(*TRIP)
-    along = trip.orderBy("seg_combined")
-    running = along.rowsBetween(W.unboundedPreceding, 0)
+    forth = W.partitionBy(*TRIP).orderBy("seg_combined")
+    back = W.partitionBy(*TRIP).orderBy(F.desc("seg_combined"))
+    first, last = W.unboundedPreceding, W.unboundedFollowing
+    here, past, whole = forth.rowsBetween(first, 0), forth.rowsBetween(first, -1), forth.rowsBetween(first, last)
+    coming, here_back = back.rowsBetween(first, -1), back.rowsBetween(first, 0)
     is_ping, is_stop = F.col("typ") == "B", F.col("typ") == "S"
+    at_ping = lambda c: F.when(is_ping, F.col(c))
+    latest = lambda c, frame: F.last(c, ignorenulls=True).over(frame)
 
-    rows = (
-        trip_rows(matched, stops)
-        .withColumn("__next_x", F.lead("x_m").over(along))
-        .withColumn("__next_y", F.lead("y_m").over(along))
-        .withColumn("b_value", F.sum(is_ping.cast("int")).over(running))
-        .withColumn("stop_sequence", F.sum(is_stop.cast("int")).over(running))
-        .withColumn("dist_next", geo.distance("x_m", "y_m", "__next_x", "__next_y"))
-    )
-    by_ping = W.partitionBy(*TRIP, "b_value")
-    by_stop = W.partitionBy(*TRIP, "stop_sequence")
-    upto = by_ping.orderBy("seg_combined").rowsBetween(W.unboundedPreceding, 0 if anchor == "next" else -1)
-    rows = (
-        rows.withColumn("__upto", F.coalesce(F.sum("dist_next").over(upto), F.lit(0.0)))
-        .withColumn("ping_dist", F.coalesce(F.sum("dist_next").over(by_ping), F.lit(0.0)))
-        .withColumn("stop_dist", F.coalesce(F.sum("dist_next").over(by_stop), F.lit(0.0)))
-        .withColumn("__from", F.max("data_time").over(by_ping))
-        .withColumn("__pings", F.max("b_value").over(trip))
-    )
-    # From here on only pings and stops count. The next ping's time is spread over
-    # the group it ends.
-    kept = rows.filter(is_ping | is_stop)
-    ping_gap = F.when(is_ping, exact_seconds_between("data_time", F.lead("data_time").over(W.partitionBy(*TRIP, "typ").orderBy("seg_combined"))))
-    kept = (
-        kept.withColumn("__gap", ping_gap)
-        .withColumn("__gap", F.coalesce(F.max("__gap").over(by_ping), F.lit(0.0)))
-        .withColumn("__speed", F.when(is_stop, plausible_speed(speed_mph("ping_dist", "__gap"))))
-        .withColumn("__step", F.when(is_stop, plausible_step("stop_dist")))
-    )
-    backward = trip.orderBy(F.desc("seg_combined")).rowsBetween(W.unboundedPreceding, 0)
-    kept = (
-        kept.withColumn("__speed_f", F.last("__speed", ignorenulls=True).over(running))
-        .withColumn("__step", F.last("__step", ignorenulls=True).over(running))
-        .withColumn("__speed_b", F.last("__speed", ignorenulls=True).over(backward))
-        .withColumn("speed_mph", F.coalesce("__speed_f", "__speed_b"))
-        .withColumn("__td", F.when(is_stop, F.col("__step") / (F.col("speed_mph") / K.MPH_PER_MPS)))
+    rows = trip_rows(matched, stops).withColumns({
+        "__x": F.lead("x_m").over(forth), "__y": F.lead("y_m").over(forth),
+        "ping_no": F.sum(is_ping.cast("int")).over(here),
+        "stop_sequence": F.sum(is_stop.cast("int")).over(here),
+    })
+    rows = rows.withColumn("__next", F.coalesce(geo.distance("x_m", "y_m", "__x", "__y"), F.lit(0.0)))
+    # Distance from the start of the pattern, and of the whole of it.
+    rows = rows.withColumns({
+        "__at": F.coalesce(F.sum("__next").over(past), F.lit(0.0)), "__length": F.sum("__next").over(whole),
+    })
+    rows = rows.withColumns({
+        "__from_at": latest(at_ping("__at"), here), "__from": latest(at_ping("data_time"), here),
+        "__pings": F.max("ping_no").over(whole), "__start": F.min("data_time").over(whole),
+    })
+    rows = rows.withColumns({
+        "__to_at": latest(at_ping("__at"), coming), "__to": latest(at_ping("data_time"), coming),
+        "__stop_at": latest(F.when(is_stop, F.col("__at")), coming),
+    })
+    # Between two pings; before the first and after the last the gap is zero.
+    rows = rows.filter(is_ping | is_stop).withColumns({
+        "__gap": F.coalesce(exact_seconds_between("__from", "__to"), F.lit(0.0)),
+        "__span": F.coalesce("__to_at", "__length") - F.coalesce("__from_at", F.lit(0.0)),
+        "__done": F.col("__at") + (F.col("__next") if anchor == "next" else F.lit(0.0)) - F.col("__from_at"),
+        "__step": F.when(is_stop, plausible_step(F.coalesce("__stop_at", "__length") - F.col("__at"))),
+    })
+    rows = rows.withColumn("__speed", F.when(is_stop, plausible_speed(speed_mph("__span", "__gap"))))
+    rows = rows.withColumn("__speed_back", latest("__speed", here_back))
+    rows = rows.withColumns({
+        "speed_mph": F.coalesce(latest("__speed", here), F.col("__speed_back")),
+        "__step": latest("__step", here),
+    })
+    # Seconds of each stop's own step, and running sums to chain them.
+    rows = rows.withColumn(
+        "__td", F.when(is_stop, F.col("__step") / (F.col("speed_mph") / K.MPH_PER_MPS))
     )
-    before, after = F.col("b_value") == 0, F.col("b_value") == F.col("__pings")
-    # Chained steps: a step without a time leaves all stops beyond it without one.
-    head = W.partitionBy(*TRIP, "b_value").orderBy(F.desc("seg_combined")).rowsBetween(W.unboundedPreceding, 0)
-    tail = W.partitionBy(*TRIP, "b_value").orderBy("seg_combined").rowsBetween(W.unboundedPreceding, 0)
-    gap_in = lambda frame: F.max((is_stop & F.col("__td").isNull()).cast("int")).over(frame) == 1
-    kept = (
-        kept.withColumn("__first_ping", F.min("data_time").over(trip))
-        .withColumn("__head", F.when(before & ~gap_in(head), F.sum("__td").over(head)))
-        .withColumn("__tail", F.when(after & ~gap_in(tail), F.sum("__td").over(tail)))
+    unknown = (is_stop & F.col("__td").isNull()).cast("int")
+    rows = rows.withColumns({
+        "__sum": F.sum(F.coalesce("__td", F.lit(0.0))).over(here), "__unknown": F.sum(unknown).over(here),
+    })
+    at_first = lambda c: F.max(F.when(is_ping & (F.col("ping_no") == 1), F.col(c))).over(whole)
+    at_last = lambda c: F.max(F.when(is_ping & (F.col("ping_no") == F.col("__pings")), F.col(c))).over(whole)
+    rows = rows.withColumns({
+        "__sum_1": at_first("__sum"), "__unknown_1": at_first("__unknown"),
+        "__sum_n": at_last("__sum"), "__unknown_n": at_last("__unknown"),
+    })
+    # A step without a time leaves every stop beyond it without one.
+    lead_in = F.when(
+        F.col("__unknown_1") - F.col("__unknown") + unknown == 0,
+        F.col("__sum_1") - F.col("__sum") + F.col("__td"),
     )
-    share = F.col("__upto") / F.nullif(F.col("ping_dist"), F.lit(0.0))
+    run_out = F.when(F.col("__unknown") == F.col("__unknown_n"), F.col("__sum") - F.col("__sum_n"))
+    share = F.col("__done") / F.nullif(F.col("__span"), F.lit(0.0))
     time = (
-        F.when(before, add_seconds("__first_ping", -F.col("__head")))
-        .when(after, add_seconds("__from", F.col("__tail")))
+        F.when(F.col("ping_no") == 0, add_seconds("__start", -lead_in))
+        .when(F.col("ping_no") == F.col("__pings"), add_seconds("__from", run_out))
         .otherwise(add_seconds("__from", F.col("__gap") * share))
     )
-    return kept.filter(is_stop).select(
+    return rows.filter(is_stop).select(
         "unique_trip_vehicle_day", "rt", "pid", F.col("vid").cast("string").alias("vid"), "stpid",
         "p_stp_id", "seg_combined", "typ", F.col("stop_sequence").cast("int").alias("stop_sequence"),
         time.alias("bus_stop_time"), "speed_mph",

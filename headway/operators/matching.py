@@ -29,20 +29,20 @@ def candidate_legs(
     pad, half_diagonal = F.lit(corridor_m), cell_m * 0.7072
     low = lambda a, b: geo.cell(F.least(F.col(a), F.col(b)) - pad, cell_m)
     high = lambda a, b: geo.cell(F.greatest(F.col(a), F.col(b)) + pad, cell_m)
+    centre = lambda c: (F.col(c) + 0.5) * cell_m
     spread = (
-        legs.select("pid", "segments", "x0", "y0", "x1", "y1")
-        .withColumn("__cx", F.explode(F.sequence(low("x0", "x1"), high("x0", "x1"))))
-        .withColumn("__cy", F.explode(F.sequence(low("y0", "y1"), high("y0", "y1"))))
+        legs.select(
+            "pid", "segments", "x0", "y0", "x1", "y1",
+            F.explode(F.sequence(low("x0", "x1"), high("x0", "x1"))).alias("__cx"),
+        )
+        .select("*", F.explode(F.sequence(low("y0", "y1"), high("y0", "y1"))).alias("__cy"))
         # A long diagonal leg touches few of the cells in its box.
         .filter(
-            geo.distance_to_leg(
-                (F.col("__cx") + 0.5) * cell_m, (F.col("__cy") + 0.5) * cell_m,
-                "x0", "y0", "x1", "y1",
-            )
+            geo.distance_to_leg(centre("__cx"), centre("__cy"), "x0", "y0", "x1", "y1")
             <= corridor_m + half_diagonal
         )
     )
-    located = pings.withColumn("__cx", geo.cell("x_m", cell_m)).withColumn("__cy", geo.cell("y_m", cell_m))
+    located = pings.withColumns({"__cx": geo.cell("x_m", cell_m), "__cy": geo.cell("y_m", cell_m)})
     near = located.join(spread, ["pid", "__cx", "__cy"]).filter(
         geo.distance_to_leg("x_m", "y_m", "x0", "y0", "x1", "y1") <= corridor_m
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from headway import constants as K
 from headway.functions import geo
@@ -26,12 +26,11 @@ def explode_snapshots(docs: DataFrame, text: str = "value", file: str = "scrape_
     errors = parsed.select(file, F.explode(response.getField("error")).alias("e")).select("e.*", file)
     t = parse_feed_time("tmstmp")
     pings = (
-        vehicles.withColumn("data_time", t)
-        .withColumn("data_hour", F.hour("data_time"))
-        .withColumn("data_date", F.to_date("data_time"))
-        .withColumn("lat", F.col("lat").try_cast("double"))
-        .withColumn("lon", F.col("lon").try_cast("double"))
-        .withColumn("dly", F.col("dly").try_cast("boolean"))
+        vehicles.withColumns({
+            "data_time": t, "lat": F.col("lat").try_cast("double"), "lon": F.col("lon").try_cast("double"),
+            "dly": F.col("dly").try_cast("boolean"),
+        })
+        .withColumns({"data_hour": F.hour("data_time"), "data_date": F.to_date("data_time")})
     )
     return pings, errors
 
@@ -47,10 +46,6 @@ def key_trips(pings: DataFrame, sep: str = "") -> DataFrame:
     return pings.withColumn("unique_trip_vehicle_day", key).withColumn("pid", normal_pid("pid"))
 
 
-def _order() -> list[Column]:
-    return [F.col("data_time"), F.col("ping_id")]
-
-
 def clean_pings(
     pings: DataFrame,
     min_box_m2: float = K.MIN_TRIP_BOX_M2,
@@ -63,27 +58,28 @@ def clean_pings(
     With ``only_kept=False`` no row is dropped and ``drop_reason`` tells why it
     would be. All windows share the trip key, so there is a single shuffle.
     """
-    trip = W.partitionBy(*TRIP)
-    ordered = trip.orderBy(*_order())
-    xy = geo.with_xy(pings)
+    ordered = W.partitionBy(*TRIP).orderBy("data_time", "ping_id")
+    # Whole-trip figures use the same order, so that one sort serves all windows.
+    trip = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     box = (F.max("x_m").over(trip) - F.min("x_m").over(trip)) * (
         F.max("y_m").over(trip) - F.min("y_m").over(trip)
     )
     step = geo.distance(
         F.col("x_m"), F.col("y_m"), F.lead("x_m").over(ordered), F.lead("y_m").over(ordered)
     )
-    flagged = xy.withColumn("__box", box).withColumn(
-        # The last ping has no step and always stands as a move.
-        "__moves", F.coalesce((step >= standstill_m).cast("int"), F.lit(1))
-    )
+    # The last ping has no step and always stands as a move.
+    moves = F.coalesce((step >= standstill_m).cast("int"), F.lit(1))
     moved = F.max("__moves").over(ordered.rowsBetween(W.unboundedPreceding, 0)) == 1
-    flagged = flagged.withColumn("__moved", moved)
-    left = F.count_if(F.col("__moved")).over(trip)
     reason = (
         F.when(F.col("__box") <= min_box_m2, "stationary_trip")
         .when(~F.col("__moved"), "leading_standstill")
-        .when(F.col("__left") <= 1, "one_ping")
+        .when(F.count_if(F.col("__moved")).over(trip) <= 1, "one_ping")
+    )
+    out = (
+        geo.with_xy(pings)
+        .withColumns({"__box": box, "__moves": moves})
+        .withColumn("__moved", moved)
+        .withColumn("drop_reason", reason)
+        .drop("__box", "__moves", "__moved")
     )
-    out = flagged.withColumn("__left", left).withColumn("drop_reason", reason)
-    out = out.drop("__box", "__moves", "__moved", "__left")
     return out.filter(F.col("drop_reason").isNull()).drop("drop_reason") if only_kept else out

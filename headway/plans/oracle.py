@@ -349,8 +349,8 @@ ORACLE["schedule_clock"] = _with([DATED], """SELECT trip_id, stop_id, stop_seque
 # --- visits and metrics -------------------------------------------------------
 
 ORACLE["visit_metrics"] = _with([VA, _timed("tm", "va")], """SELECT rt, pid, stop_id, trip_id, stop_sequence AS event_id,
-  time_till_next_bus, time_to_previous_stop, cum_trip_time, hour(bus_stop_time) AS hour, month(bus_stop_time) AS month,
-  year(bus_stop_time) AS year, day(bus_stop_time) AS day FROM tm""")
+  time_till_next_bus, time_to_previous_stop, cum_trip_time, CAST(hour(bus_stop_time) AS INTEGER) AS hour,
+  CAST(month(bus_stop_time) AS INTEGER) AS month, CAST(year(bus_stop_time) AS INTEGER) AS year, CAST(day(bus_stop_time) AS INTEGER) AS day FROM tm""")
 ORACLE["headway_within_day"] = _with([VA], """SELECT stop_sequence,
   CASE WHEN CAST(nx AS DATE) = CAST(bus_stop_time AS DATE) THEN date_sub('second', bus_stop_time, nx) END AS time_till_next_bus
 FROM (SELECT *, lead(bus_stop_time) OVER (PARTITION BY rt, stop_id ORDER BY bus_stop_time, trip_id) AS nx
@@ -502,9 +502,9 @@ BPH = """bph AS (SELECT rt, pid, stop_id, date_trunc('hour', bus_stop_time) AS h
   FROM va GROUP BY rt, pid, stop_id, date_trunc('hour', bus_stop_time))"""
 _AVG = "round(avg(bus_per_hour), 6) AS avg_bus_per_hour, round(avg(wait), 6) AS avg_wait_time_minutes"
 ORACLE["buses_per_hour_wait"] = _with([VA, BPH], """SELECT rt, pid, stop_id, strftime(h, '%Y-%m-%d %H') AS hour, bus_per_hour,
-  round(wait, 6) AS wait_time_minutes, year(h) AS year, month(h) AS month FROM bph""")
-ORACLE["average_service_by_route"] = _with([VA, BPH], f"SELECT stop_id, rt, year(h) AS year, {_AVG} FROM bph GROUP BY stop_id, rt, year(h)")
-ORACLE["average_service_by_day"] = _with([VA, BPH], f"SELECT strftime(h, '%Y-%m-%d') AS day, hour(h) AS clock_hour, {_AVG} FROM bph GROUP BY 1, 2")
+  round(wait, 6) AS wait_time_minutes, CAST(year(h) AS INTEGER) AS year, CAST(month(h) AS INTEGER) AS month FROM bph""")
+ORACLE["average_service_by_route"] = _with([VA, BPH], f"SELECT stop_id, rt, CAST(year(h) AS INTEGER) AS year, {_AVG} FROM bph GROUP BY stop_id, rt, year(h)")
+ORACLE["average_service_by_day"] = _with([VA, BPH], f"SELECT strftime(h, '%Y-%m-%d') AS day, CAST(hour(h) AS INTEGER) AS clock_hour, {_AVG} FROM bph GROUP BY 1, 2")
 ORACLE["area_service"] = _with([VA, BPH, SAREA], """SELECT community, round(sum(b), 6) AS sum_bus_per_hour, round(avg(b), 6) AS avg_bus_per_hour,
   round(avg(w), 6) AS avg_wait_time_minutes FROM sarea
 JOIN (SELECT stop_id, rt, year(h) AS y, avg(bus_per_hour) AS b, avg(wait) AS w FROM bph GROUP BY 1, 2, 3) USING (stop_id) GROUP BY community""")
@@ -531,12 +531,12 @@ JOIN (SELECT service_id, count(*) AS trips FROM gtrips GROUP BY 1) USING (servic
 ORACLE["active_trips"] = _with([SDAYS, GTRIPS], "SELECT trip_id, route_id, CAST(d AS VARCHAR) AS date FROM gtrips JOIN sdays USING (service_id)")
 ORACLE["trips_on_date"] = _with([SDAYS, GTRIPS], "SELECT trip_id, service_id, shape_id FROM gtrips JOIN sdays USING (service_id) WHERE d = DATE '2024-01-04'")
 EXPANDED = f"""expanded AS (
-  SELECT g.route_id, right(shape_id, 5) AS pid, g.trip_id, d, arrival_time, secs
+  SELECT g.route_id, right(shape_id, 5) AS pid, g.trip_id, d, sequence, secs
   FROM gtrips g JOIN sdays USING (service_id)
   JOIN nation ON g.route_id = 'R' || CAST(n_nationkey AS VARCHAR) AND n_regionkey <> 2
-  JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, {_ARRIVAL} AS arrival_time, (l_orderkey % 50) * 1860 + l_linenumber * 127 AS secs FROM lineitem) USING (trip_id))"""
+  JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, l_linenumber AS sequence, (l_orderkey % 50) * 1860 + l_linenumber * 127 AS secs FROM lineitem) USING (trip_id))"""
 ORACLE["expand_schedule"] = _with([SDAYS, GTRIPS, EXPANDED], """SELECT route_id, pid, CAST(d AS VARCHAR) AS date, count(*) AS stop_times,
-  count(DISTINCT trip_id) AS trips, min(arrival_time) AS first_arrival, max(arrival_time) AS last_arrival FROM expanded GROUP BY 1, 2, 3""")
+  count(DISTINCT trip_id) AS trips, CAST(sum(secs // 3600) AS BIGINT) AS hours, CAST(sum(sequence) AS BIGINT) AS sequences FROM expanded GROUP BY 1, 2, 3""")
 ORACLE["clean_schedule"] = _with([SDAYS, GTRIPS, EXPANDED], """SELECT route_id, CAST(CAST(t AS DATE) AS VARCHAR) AS day, count(*) AS rows,
   CAST(sum(hour(t) * 60 + minute(t)) AS BIGINT) AS minutes FROM (SELECT route_id, CAST(d AS TIMESTAMP) + to_seconds(secs) AS t FROM expanded) GROUP BY 1, 2""")
 ORACLE["schedule_merge"] = _with([DATED, "cur AS (SELECT route_id, min(d) AS since FROM dated WHERE v = 2 GROUP BY 1)"], """
@@ -673,7 +673,7 @@ _LABELS = [(5, "5 minutes"), (10, "10 minutes"), (15, "15 minutes"), (30, "30 mi
 BUDGET = "budget(minutes, time_label, time_rank) AS (VALUES " + ", ".join(f"({m}, '{l}', {i})" for i, (m, l) in enumerate(_LABELS)) + ")"
 RB = """rb AS (
   SELECT o.rt, o.pid, o.stop_id AS origin_stop, o.sq AS from_sequence, minutes, time_label, time_rank, max(d.sq) AS to_sequence,
-    count(*) AS stops_reached, max(d.el) - min(o.el) AS seconds_used
+    CAST(count(*) AS INTEGER) AS stops_reached, max(d.el) - min(o.el) AS seconds_used
   FROM path o JOIN path d ON o.rt = d.rt AND o.pid = d.pid AND d.ix >= o.ix CROSS JOIN budget
   WHERE d.el - o.el <= minutes * 60 GROUP BY 1, 2, 3, 4, 5, 6, 7)"""
 ORACLE["reach_budgets"] = _with([*REACH, BUDGET, RB], """SELECT rt, pid, origin_stop, from_sequence, minutes, time_label, time_rank,

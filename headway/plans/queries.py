@@ -369,7 +369,8 @@ def expand_schedule(spark, sf):
     e = _expanded(spark, sf)
     return e.groupBy("route_id", "pid", F.col("date").cast("string").alias("date")).agg(
         F.count(F.lit(1)).alias("stop_times"), F.countDistinct("trip_id").alias("trips"),
-        F.min("arrival_time").alias("first_arrival"), F.max("arrival_time").alias("last_arrival"),
+        F.sum(F.substring("arrival_time", 1, 2).cast("int")).alias("hours"),
+        F.sum(F.col("stop_sequence").cast("int")).alias("sequences"),
     )
 
 

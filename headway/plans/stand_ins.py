@@ -51,16 +51,17 @@ def _base_lon(p: Column) -> Column:
 
 def pings(spark: SparkSession, sf: str) -> DataFrame:
     """Keyed-ping input: eight events make a trip along its pattern."""
-    e = table(spark, sf, "events").select("event_id", "ts")
-    e = e.withColumn("t", F.expr("event_id div 8")).withColumn("k", F.col("event_id") % 8)
-    e = e.withColumn("p", _pattern_number(F.col("t")))
+    e = table(spark, sf, "events").select(
+        "event_id", "ts", F.expr("event_id div 8").alias("t"), (F.col("event_id") % 8).alias("k")
+    )
     u = (
         F.when(F.col("t") % 60 == 7, F.lit(0.0))
         .when((F.col("t") % 10 == 1) & (F.col("k") == 1), F.lit(0.3) * (F.col("t") % 4))
         .otherwise(F.lit(2.9) * F.col("k") + F.lit(0.3) * (F.col("t") % 4))
     )
-    e = e.withColumn("u", u).withColumn("j", F.floor("u"))
-    j, fr = F.col("j"), F.col("u") - F.col("j")
+    e = e.withColumns({"p": _pattern_number(F.col("t")), "u": u})
+    j = F.floor("u")
+    fr = F.col("u") - j
     zigzag = (j % 4) + fr * (((j + 1) % 4) - (j % 4))
     jitter = F.lit(0.0001) * ((F.expr("event_id div 2") % 3) - 1)
     lat = _base_lat(F.col("p")) + F.lit(0.002) * F.col("u") + jitter

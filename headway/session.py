@@ -24,6 +24,8 @@ def local_session(cpus: int = 8, memory: str = "8g", **more: str) -> SparkSessio
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # Test data is small: without this a few megabytes end up in one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in {**SETTINGS, **more}.items():
         builder = builder.config(key, value)
