@@ -123,16 +123,16 @@ def interpolate_stop_times(matched: DataFrame, stops: DataFrame, anchor: str = "
     )
 
 
-def reject_report(pings: DataFrame, cleaned: DataFrame, status: DataFrame) -> DataFrame:
+def reject_report(pings: DataFrame, status: DataFrame) -> DataFrame:
     """Per pattern: trips seen, kept by cleaning, timed, and lost by reason."""
     seen = pings.groupBy("pid").agg(F.countDistinct("unique_trip_vehicle_day").alias("original_trips"))
-    kept = cleaned.groupBy("pid").agg(F.countDistinct("unique_trip_vehicle_day").alias("kept_trips"))
     outcome = status.groupBy("pid").agg(
+        F.count(F.lit(1)).alias("kept_trips"),
         F.count_if(F.col("status") == "ok").alias("processed_trips"),
         F.count_if(F.col("status") == "one_match").alias("one_match_trips"),
         F.count_if(F.col("status") == "no_match").alias("no_match_trips"),
     )
-    return seen.join(kept, "pid", "left").join(outcome, "pid", "left").na.fill(0)
+    return seen.join(outcome, "pid", "left").na.fill(0)
 
 
 def rejects(status: DataFrame) -> DataFrame:

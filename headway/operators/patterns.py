@@ -118,7 +118,8 @@ def nearest_stop_points(shapes: DataFrame, stops: DataFrame, radius: float = K.S
     Both choices are mergeable aggregates.
     """
     pts = shapes.select("shape_id", "seq", "x_m", "y_m")
-    named = stops.select("stpid", "x_m", "y_m")
+    # Of stops in one spot only the first id can ever be nearest.
+    named = stops.groupBy("x_m", "y_m").agg(F.min("stpid").alias("stpid"))
     pairs = near_pairs(pts, named, radius).select("shape_id", "seq", "stpid", "dist")
     nearest = first_per_group(pairs, ["shape_id", "seq"], [F.col("dist"), F.col("stpid")])
     return first_per_group(nearest, ["shape_id", "stpid"], [F.col("dist"), F.col("seq")])

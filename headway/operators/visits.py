@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from headway.constants import DAY_FIRST_HOUR, DAY_LAST_HOUR
 from headway.functions.clock import is_daytime, seconds_between
 from headway.functions.keys import normal_pid
-from headway.operators.ordered import bucketed_next, bucketed_row_number
+from headway.operators.ordered import (
+    bucketed_next, bucketed_previous, bucketed_row_number, bucketed_running_sum,
+)
 
 
 def actual_visits(stop_times: DataFrame) -> DataFrame:
@@ -46,14 +48,13 @@ def split_reused_trips(
     Rows are numbered by time within the id; every ``max(stop_sequence)`` rows a
     new run starts and its ordinal is appended to the id.
     """
-    numbered = bucketed_row_number(timetable, keys, "bus_stop_time", tie, "__rn", bucket)
-    totals = timetable.groupBy(*keys).agg(F.max("stop_sequence").alias("__stops"))
-    run = F.floor((F.col("__rn") - 1) / F.col("__stops")).cast("string")
-    return (
-        numbered.join(totals, list(keys))
-        .withColumn("trip_id", F.concat_ws("-", F.col(keys[-1]).cast("string"), run))
-        .drop("__rn", "__stops")
+    numbered = bucketed_row_number(
+        timetable, keys, "bus_stop_time", tie, "__rn", bucket, {"__stops": "stop_sequence"}
     )
+    run = F.floor((F.col("__rn") - 1) / F.col("__stops")).cast("string")
+    return numbered.withColumn(
+        "trip_id", F.concat_ws("-", F.col(keys[-1]).cast("string"), run)
+    ).drop("__rn", "__stops")
 
 
 def daytime(visits: DataFrame, first: int = DAY_FIRST_HOUR, last: int = DAY_LAST_HOUR) -> DataFrame:
@@ -74,14 +75,22 @@ def headways(visits: DataFrame, bucket: str = "day", within_day: bool = False) -
     return out.withColumn("time_till_next_bus", gap).drop("__due")
 
 
-def segment_times(visits: DataFrame) -> DataFrame:
+def segment_times(visits: DataFrame, bucket: str | None = None) -> DataFrame:
     """Seconds from the previous stop of the trip (0 at the first) and their running sum.
 
     A trip is one vehicle on one service day, so its window is small by nature.
+    Where trip ids are unreliable, ``bucket`` ("hour", "day") cuts long trips.
     """
-    w = W.partitionBy("rt", "trip_id").orderBy("bus_stop_time", "stop_sequence", "stop_id")
-    gap = F.coalesce(seconds_between(F.lag("bus_stop_time").over(w), F.col("bus_stop_time")), F.lit(0))
-    return visits.withColumn("time_to_previous_stop", gap.cast("long")).withColumn(
+    keys, time, tie = ("rt", "trip_id"), "bus_stop_time", ("stop_sequence", "stop_id")
+    gap = lambda before: F.coalesce(seconds_between(before, time), F.lit(0)).cast("long")
+    if bucket is not None:
+        timed = bucketed_previous(visits, keys, time, tie, "__before", bucket)
+        timed = timed.withColumn("time_to_previous_stop", gap("__before")).drop("__before")
+        return bucketed_running_sum(
+            timed, keys, time, tie, "time_to_previous_stop", "cum_trip_time", bucket
+        )
+    w = W.partitionBy(*keys).orderBy(time, *tie)
+    return visits.withColumn("time_to_previous_stop", gap(F.lag(time).over(w))).withColumn(
         "cum_trip_time", F.sum("time_to_previous_stop").over(w.rowsBetween(W.unboundedPreceding, 0))
     )
 

@@ -772,3 +772,11 @@ ORACLE["missing_days"] = _with([PINGS, DAYS], "SELECT CAST(d AS VARCHAR) AS data
 ORACLE["day_report"] = _with([PINGS, DAYS], """SELECT CAST(d AS VARCHAR) AS data_date, coalesce(n, 0) AS rows, CASE WHEN n > 0 THEN 'success' ELSE 'failed' END AS status
 FROM wanted LEFT JOIN (SELECT data_date AS d, count(*) AS n FROM pings GROUP BY 1) USING (d)""")
 ORACLE["high_water_mark"] = _with([PINGS], "SELECT CAST(max(data_date) AS VARCHAR) AS max_date, CAST(max(data_date) + 1 AS VARCHAR) AS next_date FROM pings")
+ORACLE["segment_times_bucketed"] = _with([VA, _timed("tm", "va")], "SELECT rt, trip_id, stop_sequence, time_to_previous_stop, cum_trip_time FROM tm")
+ORACLE["incomplete_feeds"] = _with([PINGS, GTRIPS], """SELECT feed_id, CASE WHEN NOT in_shapes THEN 'shapes' ELSE 'trips' END AS missing FROM (
+  SELECT feed_id, bool_or(t = 'shapes') AS in_shapes, bool_or(t = 'trips') AS in_trips FROM (
+    SELECT shape_id AS feed_id, 'trips' AS t FROM gtrips
+    UNION ALL SELECT '6430' || lpad(pid, 5, '0'), 'shapes' FROM pings) GROUP BY feed_id)
+WHERE NOT (in_shapes AND in_trips)""")
+ORACLE["streamed_hourly_pings"] = _with([PINGS], """SELECT strftime(date_trunc('hour', data_time), '%Y-%m-%d %H') AS hour, rt, count(*) AS pings
+FROM (SELECT DISTINCT vid, tmstmp, rt, data_time FROM pings) GROUP BY 1, 2""")

@@ -33,5 +33,5 @@ def stop_times(pings: DataFrame, points: DataFrame, leg_offset: float = 0.5, anc
     matched = match_to_legs(cleaned, legs, leg_offset=leg_offset)
     status = match_status(cleaned, matched)
     return Processed(
-        interpolate_stop_times(matched, stops, anchor), rejects(status), reject_report(pings, cleaned, status)
+        interpolate_stop_times(matched, stops, anchor), rejects(status), reject_report(pings, status)
     )

@@ -19,6 +19,7 @@ from headway.operators import (
 from headway.operators.periods import OLDER_PERIODS
 from headway.plans import stand_ins as T
 from headway.sources import readers, writers
+from headway.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,6 +117,12 @@ def headway_within_day(spark, sf):
     return V.headways(v, bucket="hour", within_day=True).select("stop_sequence", "time_till_next_bus")
 
 
+@query
+def segment_times_bucketed(spark, sf):
+    v = V.segment_times(V.daytime(T.visits_actual(spark, sf)), bucket="hour")
+    return v.select("rt", "trip_id", "stop_sequence", "time_to_previous_stop", "cum_trip_time")
+
+
 def _one_period(name: str, period: str, metric: str, value: str | None) -> None:
     def run(spark, sf):
         v = V.daytime(T.visits_actual(spark, sf))
@@ -528,7 +535,7 @@ def interpolate_corrected(spark, sf):
 def reject_report(spark, sf):
     keyed = _keyed(spark, sf)
     c, m = _matched(spark, sf)
-    return interpolate.reject_report(keyed, c, matching.match_status(c, m))
+    return interpolate.reject_report(keyed, matching.match_status(c, m))
 
 
 @query
@@ -852,3 +859,18 @@ def day_report(spark, sf):
 def high_water_mark(spark, sf):
     h = readers.high_water_mark(T.pings(spark, sf))
     return h.select(F.col("max_date").cast("string").alias("max_date"), F.col("next_date").cast("string").alias("next_date"))
+
+
+@query
+def incomplete_feeds(spark, sf):
+    """Feeds (here: shapes of the schedule) against the tables they came with."""
+    trips = T.gtfs_trips(spark, sf).select(F.col("shape_id").alias("feed_id"), F.lit("trips").alias("table"))
+    shapes = T.gtfs_shapes(spark, sf).select(F.col("shape_id").alias("feed_id"), F.lit("shapes").alias("table"))
+    out = readers.incomplete_feeds(trips.union(shapes), required=("shapes", "trips"))
+    return out.withColumn("missing", F.concat_ws(",", "missing"))
+
+
+@query
+def streamed_hourly_pings(spark, sf):
+    """The feed as a stream: pings per route and hour once all files are in."""
+    return feed.replay_hourly(spark, f"{sf}/events.parquet", lambda events: T.snapshots_of(events))

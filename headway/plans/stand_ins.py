@@ -51,7 +51,11 @@ def _base_lon(p: Column) -> Column:
 
 def pings(spark: SparkSession, sf: str) -> DataFrame:
     """Keyed-ping input: eight events make a trip along its pattern."""
-    e = table(spark, sf, "events").select(
+    return pings_of(table(spark, sf, "events"))
+
+
+def pings_of(events: DataFrame) -> DataFrame:
+    e = events.select(
         "event_id", "ts", F.expr("event_id div 8").alias("t"), (F.col("event_id") % 8).alias("k")
     )
     u = (
@@ -241,7 +245,11 @@ def tracts(spark: SparkSession, sf: str) -> DataFrame:
 
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON document per ping: its vehicle in the first chunk, an error in the second now and then."""
-    p = pings(spark, sf)
+    return snapshots_of(table(spark, sf, "events"))
+
+
+def snapshots_of(events: DataFrame) -> DataFrame:
+    p = pings_of(events)
     vehicle = F.struct(
         F.col("vid").cast("string").alias("vid"), "tmstmp", F.col("lat").cast("string").alias("lat"),
         F.col("lon").cast("string").alias("lon"), F.col("pid").cast("string").alias("pid"), "rt",

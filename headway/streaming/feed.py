@@ -7,6 +7,9 @@ counts; its figures equal the batch ones.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,10 +49,34 @@ def hourly_pings(pings: DataFrame) -> DataFrame:
     )
 
 
-def run_once(df: DataFrame, out: str, checkpoint: str | None = None, mode: str = "append") -> StreamingQuery:
-    """Process what has landed, then stop. State lives in the cluster's shared folder."""
-    folder = checkpoint or f"{shared_folder(df.sparkSession)}/{df.sparkSession.sparkContext.applicationId}/feed"
+def run_folder(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared one."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def run_once(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Process what has landed, then stop. State and progress live in ``checkpoint``."""
     return (
-        df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", folder)
+        df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start(out)
     )
+
+
+def replay_hourly(
+    spark: SparkSession, table: str, to_documents: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Stream a table's files through the feed and count what came out per hour and route.
+
+    The stream writes each ping once; hours still open when it stops are counted
+    from what it wrote, so the figures are complete.
+    """
+    folder, name = table.rsplit("/", 1)
+    rows = spark.readStream.schema(spark.read.parquet(table).schema).option("pathGlobFilter", name).parquet(folder)
+    pings = keyed_pings(to_documents(rows)).select("rt", "vid", "tmstmp", "data_time")
+    base = run_folder(spark)
+    run_once(pings, f"{base}/pings", f"{base}/checkpoint").awaitTermination()
+    return (
+        spark.read.parquet(f"{base}/pings")
+        .groupBy(F.date_format("data_time", "yyyy-MM-dd HH").alias("hour"), "rt")
+        .agg(F.count(F.lit(1)).alias("pings"))
+    )
