@@ -18,7 +18,7 @@ def read_ping_days(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """One row per JSON file: ``value`` and ``scrape_file``."""
-    docs = spark.read.option("wholetext", True).text(path)
+    docs = spark.read.text(path, wholetext=True)
     return docs.select("value", F.col("_metadata.file_path").alias("scrape_file"))
 
 
