@@ -85,6 +85,12 @@ def in_last_full_month(ts: str | Column, as_of: str) -> Column:
     )
 
 
+def on_day(ts: str | Column, day: str) -> Column:
+    """Within one date, as a range that can be pushed down."""
+    c, start = _c(ts), F.lit(day).cast("date")
+    return (c >= start.cast("timestamp_ntz")) & (c < F.date_add(start, 1).cast("timestamp_ntz"))
+
+
 def round_to_second(ts: str | Column) -> Column:
     """Nearest second, halves to the even second."""
     c = _c(ts)

@@ -56,6 +56,11 @@ def off_route(pings: DataFrame, candidates: DataFrame) -> DataFrame:
     return pings.join(candidates.select("ping_id").distinct(), "ping_id", "left_anti")
 
 
+def first_candidate(candidates: DataFrame) -> DataFrame:
+    """The earliest leg of each ping, without regard to the other pings of its trip."""
+    return candidates.groupBy("ping_id").agg(F.min("seg_combined").alias("seg_combined"))
+
+
 def greedy_positions(candidates: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
     """Walk a trip's candidates by time; a ping takes the first position beyond the last one taken.
 

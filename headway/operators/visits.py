@@ -12,6 +12,11 @@ from headway.operators.ordered import (
 )
 
 
+def as_strings(df: DataFrame, keep: tuple[str, ...] = ("bus_stop_time",)) -> DataFrame:
+    """Everything but the kept columns as text, for tables whose id types differ between versions."""
+    return df.select(*[F.col(c) if c in keep else F.col(c).cast("string").alias(c) for c in df.columns])
+
+
 def actual_visits(stop_times: DataFrame) -> DataFrame:
     """Estimated stop times as visits: names, id types and pattern ids made uniform."""
     return stop_times.drop("stop_dist").select(

@@ -780,3 +780,29 @@ ORACLE["incomplete_feeds"] = _with([PINGS, GTRIPS], """SELECT feed_id, CASE WHEN
 WHERE NOT (in_shapes AND in_trips)""")
 ORACLE["streamed_hourly_pings"] = _with([PINGS], """SELECT strftime(date_trunc('hour', data_time), '%Y-%m-%d %H') AS hour, rt, count(*) AS pings
 FROM (SELECT DISTINCT vid, tmstmp, rt, data_time FROM pings) GROUP BY 1, 2""")
+ORACLE["first_candidates"] = _with([PINGS, POINTS, *LEGS, _xy("gxy", "pings"), NEAR], "SELECT ping_id, min(seg_combined) AS seg_combined FROM near GROUP BY ping_id")
+ORACLE["metrics_from_pings"] = _with(
+    [*_interpolate("5e-1", True),
+     """vp AS (SELECT two.rt, pid, stpid AS stop_id, trip AS trip_id, s AS stop_sequence,
+  date_trunc('second', make_timestamp(CAST(round(et * 1e6) AS BIGINT) + 370000)) AS bus_stop_time
+FROM timed JOIN two USING (pid, trip) WHERE et IS NOT NULL)""", *_table("actual", "vp", ["hour"])],
+    "SELECT * FROM m_actual")
+ORACLE["trip_stop_geometry"] = _with([PINGS, POINTS], """SELECT g.ping_id, g.stpid, round(p.lat, 6) AS lat, round(p.lon, 6) AS lon FROM (
+  SELECT ping_id, pid, CAST(CAST(pid AS BIGINT) * 100 - 9000 + ping_id % 26 AS VARCHAR) AS stpid FROM pings) g
+LEFT JOIN pts p ON p.pid = g.pid AND p.stpid = g.stpid""")
+ORACLE["community_stops"] = _with([AREAS, ASTOPS], f"SELECT community, stop_id FROM area JOIN astop ON {_IN_AREA}")
+ORACLE["stops_of_one_community"] = _with([AREAS, ASTOPS], f"SELECT community, stop_id FROM area JOIN astop ON {_IN_AREA} WHERE community = 'NATION_7'")
+ORACLE["reach_with_catalogue"] = _with([*REACH, BUDGET, RB], """SELECT rt, rb.pid, origin_stop, CAST(to_sequence AS VARCHAR) AS last_stop, c.route
+FROM rb LEFT JOIN (
+  SELECT CAST(o_orderkey % 5 AS VARCHAR) AS pid, CAST(l_partkey % 40 AS VARCHAR) AS stop_id, min('R' || CAST(o_custkey % 25 AS VARCHAR)) AS route
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2) c ON c.pid = rb.pid AND c.stop_id = origin_stop WHERE minutes = 15""")
+ORACLE["reach_segments"] = _with([*REACH, AREAS, ASTOPS, f"orig AS (SELECT DISTINCT stop_id FROM area JOIN astop ON {_IN_AREA})",
+    "vpt AS (SELECT DISTINCT pid, CAST(stop_id AS INTEGER) AS sq, CAST(stop_id AS INTEGER) * 2e-3 + 4.18e1 AS lat, CAST(stop_id AS INTEGER) * -1e-3 - 8.76e1 AS lon FROM va)",
+    _xy("vxy", "vpt"),
+    """vleg AS (SELECT pid, sq, coalesce(sqrt((x_m - lag(x_m) OVER w) ** 2 + (y_m - lag(y_m) OVER w) ** 2), 0) * 3.280839895e0 AS ft
+  FROM vxy WINDOW w AS (PARTITION BY pid ORDER BY sq))"""],
+    """SELECT o.rt, o.pid, o.stop_id AS origin_stop, d.stop_id, CAST(floor((d.el - o.el) / 60) AS INTEGER) AS minutes, round(ft, 2) AS length_ft
+FROM path o JOIN orig USING (stop_id) JOIN path d ON o.rt = d.rt AND o.pid = d.pid AND d.ix >= o.ix JOIN vleg v ON v.pid = d.pid AND v.sq = d.sq""")
+ORACLE["unreadable_snapshots"] = "SELECT 'poll-' || CAST(event_id AS VARCHAR) AS scrape_file FROM events WHERE CAST(event_id AS VARCHAR) LIKE '%77'"
+ORACLE["visits_on_day"] = _with([VA], """SELECT rt, pid, stop_id, trip_id, CAST(stop_sequence AS VARCHAR) AS stop_sequence FROM va
+WHERE CAST(bus_stop_time AS DATE) = DATE '2024-01-18'""")

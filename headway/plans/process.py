@@ -10,6 +10,7 @@ from headway.operators.interpolate import interpolate_stop_times, reject_report,
 from headway.operators.matching import match_status, match_to_legs
 from headway.operators.patterns import build_patterns
 from headway.operators.pings import clean_pings
+from headway.session import staged
 
 
 class Processed(NamedTuple):
@@ -27,10 +28,13 @@ def with_ping_id(pings: DataFrame) -> DataFrame:
 
 
 def stop_times(pings: DataFrame, points: DataFrame, leg_offset: float = 0.5, anchor: str = "next") -> Processed:
-    """Keyed pings and pattern points to stop times, rejected trips and a report per pattern."""
+    """Keyed pings and pattern points to stop times, rejected trips and a report per pattern.
+
+    Cleaned and matched pings are staged, since the three results all read them.
+    """
     stops, legs = build_patterns(points)
-    cleaned = clean_pings(with_ping_id(pings))
-    matched = match_to_legs(cleaned, legs, leg_offset=leg_offset)
+    cleaned = staged(clean_pings(with_ping_id(pings)))
+    matched = staged(match_to_legs(cleaned, legs, leg_offset=leg_offset))
     status = match_status(cleaned, matched)
     return Processed(
         interpolate_stop_times(matched, stops, anchor), rejects(status), reject_report(pings, status)

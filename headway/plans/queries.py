@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway import constants as K
 from headway.functions import geo, keys
-from headway.functions.clock import service_time
+from headway.functions.clock import on_day, service_time
 from headway.operators import (
     areas as A, audit, exports, interpolate, leg_speed, matching, metrics as M, patterns as P,
     pings as PG, qc, ranks, reach, rollup as R, schedule as S, visits as V,
 )
 from headway.operators.periods import OLDER_PERIODS
 from headway.plans import stand_ins as T
+from headway.session import staged
 from headway.sources import readers, writers
 from headway.streaming import feed
 
@@ -485,6 +486,12 @@ def ping_candidates(spark, sf):
     return c.select("ping_id", "seg_combined")
 
 
+@query
+def first_candidates(spark, sf):
+    xy = geo.with_xy(_keyed(spark, sf))
+    return matching.first_candidate(matching.candidate_legs(xy, _geometry(spark, sf)[1]))
+
+
 @query
 def off_route_pings(spark, sf):
     xy = geo.with_xy(_keyed(spark, sf))
@@ -531,6 +538,24 @@ def interpolate_corrected(spark, sf):
     return _readable(_stop_times(spark, sf, leg_offset=-0.5, anchor="self"))
 
 
+@query
+def metrics_from_pings(spark, sf):
+    """The whole way: pings, keys, cleaning, matching, interpolation, visits, metrics."""
+    st = _stop_times(spark, sf).withColumn("bus_stop_time", to_second("bus_stop_time").cast("timestamp_ntz"))
+    # Metrics read their visits several times, so the stop times are stored first, as in a real run.
+    v = staged(V.actual_visits(st.filter(F.col("bus_stop_time").isNotNull())))
+    return rounded(M.stop_metrics(v, "actual", periods=["hour"]))
+
+
+@query
+def trip_stop_geometry(spark, sf):
+    stops, _ = _geometry(spark, sf)
+    st = _keyed(spark, sf).select(
+        "ping_id", "pid", (F.col("pid").cast("long") * 100 - 9000 + F.col("ping_id") % 26).cast("string").alias("stpid")
+    )
+    return rounded(exports.trip_stop_geometry(st, stops).select("ping_id", "stpid", "lat", "lon"))
+
+
 @query
 def reject_report(spark, sf):
     keyed = _keyed(spark, sf)
@@ -579,6 +604,18 @@ def stops_in_areas(spark, sf):
     return A.stops_in_areas(T.areas(spark, sf), T.area_stops(spark, sf)).select("community", "stop_id")
 
 
+@query
+def community_stops(spark, sf):
+    inside = A.stops_in_areas(T.areas(spark, sf), T.area_stops(spark, sf))
+    return A.community_stops(inside)
+
+
+@query
+def stops_of_one_community(spark, sf):
+    inside = A.stops_in_areas(T.areas(spark, sf), T.area_stops(spark, sf))
+    return A.community_stops(inside, "NATION_7")
+
+
 @query
 def area_counts_buffer(spark, sf):
     areas = T.areas(spark, sf)
@@ -630,12 +667,35 @@ def reach_minutes(spark, sf):
     return rounded(reach.reach_minutes(_times(spark, sf), origins))
 
 
+def _visit_points(spark, sf):
+    """Pattern points for the patterns and stops of the visits."""
+    n = F.col("stop_id").cast("int")
+    return T.visits_actual(spark, sf).select("pid", "stop_id").distinct().select(
+        "pid", n.alias("seq"), (n * 0.002 + 41.8).alias("lat"), (n * -0.001 - 87.6).alias("lon"),
+        F.lit("S").alias("typ"), F.col("stop_id").alias("stpid"), F.col("stop_id").alias("stpnm"),
+        (n * 700.0).alias("pdist"),
+    )
+
+
+@query
+def reach_with_catalogue(spark, sf):
+    """Routes come from the published schedule, NULL where it does not know the stop."""
+    trips = T.gtfs_trips(spark, sf).withColumn("shape_id", F.concat(F.lit("0000"), F.col("service_id")))
+    catalogue = P.stop_pattern_catalogue(trips, T.gtfs_stop_times(spark, sf))
+    return rounded(reach.reach_budgets(_times(spark, sf), (15,), catalogue)).select("rt", "pid", "origin_stop", "last_stop", "route")
+
+
+@query
+def reach_segments(spark, sf):
+    stops, legs = P.build_patterns(_visit_points(spark, sf))
+    origins = A.community_stops(A.stops_in_areas(T.areas(spark, sf), T.area_stops(spark, sf)))
+    out = reach.reach_segments(reach.reach_minutes(_times(spark, sf), origins), legs, stops)
+    return rounded(out.select("rt", "pid", "origin_stop", "stop_id", "minutes", "length_ft"), 2)
+
+
 @query
 def reach_paths(spark, sf):
-    pts = T.visits_actual(spark, sf).select("pid", "stop_id").distinct().select(
-        "pid", F.col("stop_id").cast("int").alias("seq"), (F.col("stop_id").cast("int") * -0.001 - 87.6).alias("lon"),
-        (F.col("stop_id").cast("int") * 0.002 + 41.8).alias("lat"), F.col("stop_id").alias("stpid"),
-    )
+    pts = _visit_points(spark, sf)
     r = reach.reach_paths(reach.reach_budgets(_times(spark, sf)), pts)
     return r.select(
         "rt", "pid", "origin_stop", "minutes", F.size("path").cast("long").alias("points"),
@@ -793,6 +853,19 @@ def snapshot_explode(spark, sf):
     )
 
 
+@query
+def unreadable_snapshots(spark, sf):
+    docs = T.snapshots(spark, sf)
+    cut = F.when(F.col("scrape_file").endswith("77"), F.substring("value", 1, 40)).otherwise(F.col("value"))
+    return PG.unreadable_snapshots(docs.withColumn("value", cut))
+
+
+@query
+def visits_on_day(spark, sf):
+    v = T.visits_actual(spark, sf)
+    return V.as_strings(v.filter(on_day("bus_stop_time", "2024-01-18")), keep=()).drop("bus_stop_time")
+
+
 @query
 def snapshot_errors(spark, sf):
     return PG.explode_snapshots(T.snapshots(spark, sf))[1]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the plans rely on or profit from; a cluster's own settings win.
 SETTINGS = {
@@ -42,3 +43,19 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="headway-")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and read back from the shared folder.
+
+    For results that several later steps read: without it each of them would run
+    everything before it again. Files outlive lost executors.
+    """
+    path = f"{run_folder(df.sparkSession)}/stage"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

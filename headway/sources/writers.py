@@ -55,6 +55,16 @@ def with_day(df: DataFrame, time: str | Column = "data_time", out: str = "day")
     return df.withColumn(out, F.to_date(t))
 
 
+def write_pull(df: DataFrame, path: str, pull_date: str, time: str | Column = "data_time") -> None:
+    """Add one pull's rows to their days.
+
+    A day is the union of its pulls and a pull replaces only itself, so repeating
+    one neither doubles nor loses rows.
+    """
+    dated = with_day(df, time).withColumn("pull_date", F.lit(pull_date).cast("date"))
+    write_partitioned(dated, path, ["day", "pull_date"])
+
+
 def split_by_pattern(pings: DataFrame) -> DataFrame:
     """Pings with a usable pattern id, ready to be partitioned by it."""
     return pings.withColumn("pid", normal_pid("pid")).filter(F.col("pid").isNotNull())

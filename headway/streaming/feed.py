@@ -7,14 +7,13 @@ counts; its figures equal the batch ones.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.pings import explode_snapshots, key_trips
-from headway.session import shared_folder
+from headway.session import run_folder
 
 
 def snapshot_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -49,11 +48,6 @@ def hourly_pings(pings: DataFrame) -> DataFrame:
     )
 
 
-def run_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-
-
 def run_once(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Process what has landed, then stop. State and progress live in ``checkpoint``."""
     return (
