@@ -42,36 +42,31 @@ def with_xy(
     evaluated once per row.
     """
     t = _tm_terms()
-    a0, a2, a4, a6 = (F.lit(v) for v in t["arc"])
-    e2, ep2 = F.lit(t["e2"]), F.lit(t["ep2"])
-    phi = F.radians(_c(lat))
-    keep = [F.col(c) for c in df.columns if c not in (x, y)]
-    terms = df.select(
+    a0, a2, a4, a6 = t["arc"]
+    phi = f"radians(`{lat}`)"
+    keep = [f"`{c}`" for c in df.columns if c not in (x, y)]
+    terms = df.selectExpr(
         *keep,
-        F.tan(phi).alias("__tan"),
-        (ep2 * F.pow(F.cos(phi), 2)).alias("__c"),
-        (F.radians(_c(lon) - F.lit(K.TM_LON0_DEG)) * F.cos(phi)).alias("__a"),
-        (F.lit(K.GRS80_A) / F.sqrt(1 - e2 * F.pow(F.sin(phi), 2))).alias("__n"),
-        (
-            F.lit(K.GRS80_A)
-            * (a0 * phi - a2 * F.sin(phi * 2) + a4 * F.sin(phi * 4) - a6 * F.sin(phi * 6))
-            - F.lit(t["m0"])
-        ).alias("__m"),
+        f"tan({phi}) * tan({phi}) AS __t2",
+        f"tan({phi}) AS __tan",
+        f"{t['ep2']!r}D * pow(cos({phi}), 2) AS __c",
+        f"radians(`{lon}` - {K.TM_LON0_DEG!r}D) * cos({phi}) AS __a",
+        f"{K.GRS80_A!r}D / sqrt(1 - {t['e2']!r}D * pow(sin({phi}), 2)) AS __n",
+        f"{K.GRS80_A!r}D * ({a0!r}D * {phi} - {a2!r}D * sin(2 * {phi}) + {a4!r}D * sin(4 * {phi})"
+        f" - {a6!r}D * sin(6 * {phi})) - {t['m0']!r}D AS __m",
+    )
+    east = (
+        "__a + (1 - __t2 + __c) * pow(__a, 3) / 6"
+        f" + (5 - 18 * __t2 + __t2 * __t2 + 72 * __c - 58 * {t['ep2']!r}D) * pow(__a, 5) / 120"
     )
-    a, c, n, tan = F.col("__a"), F.col("__c"), F.col("__n"), F.col("__tan")
-    t2 = tan * tan
-    east = a + (1 - t2 + c) * F.pow(a, 3) / 6 + (
-        5 - 18 * t2 + t2 * t2 + 72 * c - 58 * ep2
-    ) * F.pow(a, 5) / 120
     north = (
-        a * a / 2
-        + (5 - t2 + 9 * c + 4 * c * c) * F.pow(a, 4) / 24
-        + (61 - 58 * t2 + t2 * t2 + 600 * c - 330 * ep2) * F.pow(a, 6) / 720
+        "__a * __a / 2 + (5 - __t2 + 9 * __c + 4 * __c * __c) * pow(__a, 4) / 24"
+        f" + (61 - 58 * __t2 + __t2 * __t2 + 600 * __c - 330 * {t['ep2']!r}D) * pow(__a, 6) / 720"
     )
-    return terms.select(
+    return terms.selectExpr(
         *keep,
-        (F.lit(K.TM_FALSE_EASTING) + F.lit(K.TM_K0) * n * east).alias(x),
-        (F.lit(K.TM_FALSE_NORTHING) + F.lit(K.TM_K0) * (F.col("__m") + n * tan * north)).alias(y),
+        f"{K.TM_FALSE_EASTING!r}D + {K.TM_K0!r}D * __n * ({east}) AS `{x}`",
+        f"{K.TM_FALSE_NORTHING!r}D + {K.TM_K0!r}D * (__m + __n * __tan * ({north})) AS `{y}`",
     )
 
 

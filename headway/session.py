@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Plans are built from many small columns; recording where each was made costs more than the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
