@@ -71,22 +71,27 @@ def with_xy(
 
 
 def distance(x0: str | Column, y0: str | Column, x1: str | Column, y1: str | Column) -> Column:
-    dx, dy = _c(x1) - _c(x0), _c(y1) - _c(y0)
-    return F.sqrt(dx * dx + dy * dy)
+    return F.hypot(_c(x1) - _c(x0), _c(y1) - _c(y0))
 
 
 def distance_to_leg(
     px: str | Column, py: str | Column,
     x0: str | Column, y0: str | Column, x1: str | Column, y1: str | Column,
 ) -> Column:
-    """Distance of a point to a leg; a leg of zero length acts as a point."""
+    """Distance of a point to a leg; a leg of zero length acts as a point.
+
+    Written by cases so that no term is repeated inside another: join conditions
+    are compiled without sharing, and a nested form outgrows a Java method.
+    """
     px, py, x0, y0, x1, y1 = (_c(v) for v in (px, py, x0, y0, x1, y1))
     dx, dy = x1 - x0, y1 - y0
-    len2 = dx * dx + dy * dy
-    along = F.when(len2 > 0, ((px - x0) * dx + (py - y0) * dy) / F.nullif(len2, F.lit(0.0))).otherwise(0.0)
-    s = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-    ex, ey = px - (x0 + s * dx), py - (y0 + s * dy)
-    return F.sqrt(ex * ex + ey * ey)
+    along = (px - x0) * dx + (py - y0) * dy
+    across = F.abs((px - x0) * dy - (py - y0) * dx) / F.nullif(F.hypot(dx, dy), F.lit(0.0))
+    return (
+        F.when(along <= 0, F.hypot(px - x0, py - y0))
+        .when(along >= dx * dx + dy * dy, F.hypot(px - x1, py - y1))
+        .otherwise(across)
+    )
 
 
 def box_area(x: str | Column, y: str | Column) -> Column:
