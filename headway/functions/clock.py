@@ -43,9 +43,11 @@ def service_time(service_date: Column, clock: str | Column, strict_reference: bo
         day = F.when(rolls, F.date_add(service_date, 1)).otherwise(service_date)
         shaped = t.rlike(r"^\d{1,2}:[0-5]\d:[0-5]\d$")
         return F.when(shaped, F.concat_ws(" ", day.cast("string"), text).try_cast("timestamp_ntz"))
-    parts = F.split(t, ":")
-    hour, minute, second = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
-    valid = (F.size(parts) == 3) & (hour >= 0) & minute.between(0, 59) & second.between(0, 59)
+    hour = F.substring_index(t, ":", 1).try_cast("int")
+    minute = F.substring_index(F.substring_index(t, ":", 2), ":", -1).try_cast("int")
+    second = F.substring_index(t, ":", -1).try_cast("int")
+    three_parts = F.length(t) - F.length(F.replace(t, F.lit(":"), F.lit(""))) == 2
+    valid = three_parts & (hour >= 0) & minute.between(0, 59) & second.between(0, 59)
     return F.when(
         valid, F.timestamp_add("SECOND", hour * 3600 + minute * 60 + second, service_date.cast("timestamp_ntz"))
     )

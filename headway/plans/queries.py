@@ -395,7 +395,8 @@ def clean_schedule(spark, sf):
 def schedule_merge(spark, sf):
     raw = T.dated_timetable(spark, sf)
     newest = raw.filter(F.col("sha1") == "v2")
-    older = S.clean_schedule(raw.filter(F.col("sha1") != "v2"))
+    # The history is a stored table in a real run.
+    older = staged(S.clean_schedule(raw.filter(F.col("sha1") != "v2")))
     out = S.merge_schedule(newest, older)
     return out.select(
         "route_id", "schd_trip_id", "stop_id", "stop_sequence", "trip_id",

@@ -112,3 +112,18 @@ def test_measures(spark):
 def test_null_position_meets_nothing(spark):
     got = values(spark, [(None,), (1.0,)], "x double", geo.cell("x", 10.0))
     assert got == [(geo.NO_CELL,), (0,)]
+
+
+def test_one_day_and_text_columns(spark):
+    from headway.operators.visits import as_strings
+
+    days = [dt.datetime(2024, 1, 1, 23, 59, 59), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)]
+    assert values(spark, [(d,) for d in days], "t timestamp_ntz", clock.on_day("t", "2024-01-02")) == [(False,), (True,), (False,)]
+    df = spark.createDataFrame([(1, 2.5, days[0])], "a int, b double, bus_stop_time timestamp_ntz")
+    assert as_strings(df).dtypes == [("a", "string"), ("b", "string"), ("bus_stop_time", "timestamp_ntz")]
+
+
+def test_malformed_clocks_are_null(spark):
+    texts = ["10:20", "1:2:3:4", "10:60:00", "10:00:61", "-1:00:00", "", "x:y:z"]
+    got = values(spark, [(t,) for t in texts], "t string", clock.service_time(F.lit("2024-01-01").cast("date"), "t"))
+    assert [g[0] for g in got] == [None] * len(texts)

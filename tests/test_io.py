@@ -151,3 +151,14 @@ def test_missing_pattern_and_versions(spark):
     current, historic = mk(("1", "c")), mk(("1", "h"), ("2", "h"))
     assert rows(P.current_or_historic(current, historic)) == [("1", "c"), ("2", "h")]
     assert rows(P.missing_patterns(mk(("3", "x"), ("1", "x")), historic)) == [("3",)]
+
+
+def test_pull_adds_to_its_days_once(spark, tmp_path):
+    import datetime as dt
+
+    path = str(tmp_path / "p")
+    pull = lambda *hours: spark.createDataFrame([(h, dt.datetime(2024, 1, 1 + h // 24, h % 24)) for h in hours], "id long, data_time timestamp_ntz")
+    writers.write_pull(pull(1, 2, 30), path, "2024-02-01")
+    for _ in range(2):
+        writers.write_pull(pull(5, 31), path, "2024-02-02")
+    assert rows(spark.read.parquet(path).groupBy("day").count().select(F.col("day").cast("string"), "count")) == [("2024-01-01", 3), ("2024-01-02", 2)]
