@@ -93,19 +93,36 @@ def on_day(ts: str | Column, day: str) -> Column:
     return (c >= start.cast("timestamp_ntz")) & (c < F.date_add(start, 1).cast("timestamp_ntz"))
 
 
+def floor_to(unit: str, ts: str | Column) -> Column:
+    """Truncate to second, hour, day, week (Monday), month or year.
+
+    Built from date parts: Spark's own truncation passes through the session time
+    zone and would move naive times that fall into a daylight-saving gap.
+    """
+    c = _c(ts)
+    day = F.to_date(c)
+    if unit in ("week", "month", "year"):
+        return F.trunc(day, unit).cast("timestamp_ntz")
+    if unit == "day":
+        return day.cast("timestamp_ntz")
+    if unit == "hour":
+        return F.timestamp_add("HOUR", F.hour(c), day.cast("timestamp_ntz"))
+    if unit == "second":
+        seconds = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+        return F.timestamp_add("SECOND", seconds, day.cast("timestamp_ntz"))
+    raise ValueError(f"cannot truncate to {unit!r}")
+
+
 def round_to_second(ts: str | Column) -> Column:
     """Nearest second, halves to the even second."""
     c = _c(ts)
-    floor = F.date_trunc("second", c).cast("timestamp_ntz")
+    floor = floor_to("second", c)
     micros = F.timestamp_diff("MICROSECOND", floor, c)
     up = (micros > 500000) | ((micros == 500000) & (F.second(c) % 2 == 1))
     return F.timestamp_add("SECOND", F.when(up, 1).otherwise(0), floor)
 
 
 def clock_text(ts: str | Column) -> Column:
-    return F.date_format(_c(ts), "HH:mm:ss")
-
-
-def floor_to(unit: str, ts: str | Column) -> Column:
-    """Truncate to hour, day, week (Monday), month or year."""
-    return F.date_trunc(unit, _c(ts)).cast("timestamp_ntz")
+    """``HH:mm:ss``."""
+    c = _c(ts)
+    return F.concat_ws(":", *[F.lpad(part(c).cast("string"), 2, "0") for part in (F.hour, F.minute, F.second)])

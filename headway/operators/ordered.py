@@ -14,9 +14,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from headway.functions.clock import floor_to
+
 
 def _bucketed(df: DataFrame, time: str, bucket: str) -> DataFrame:
-    return df.withColumn("__bucket", F.date_trunc(bucket, F.col(time)).cast("timestamp_ntz"))
+    return df.withColumn("__bucket", floor_to(bucket, time))
 
 
 def bucketed_next(

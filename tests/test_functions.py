@@ -127,3 +127,28 @@ def test_malformed_clocks_are_null(spark):
     texts = ["10:20", "1:2:3:4", "10:60:00", "10:00:61", "-1:00:00", "", "x:y:z"]
     got = values(spark, [(t,) for t in texts], "t string", clock.service_time(F.lit("2024-01-01").cast("date"), "t"))
     assert [g[0] for g in got] == [None] * len(texts)
+
+
+def test_naive_times_ignore_the_session_zone(spark):
+    """02:30 does not exist in Chicago on this day, but naive times know no zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        got = values(
+            spark, [("2024-03-10 02:30:15.25",)], "s string",
+            *[
+                e.cast("string")
+                for t in [F.col("s").cast("timestamp_ntz")]
+                for e in (
+                    clock.floor_to("hour", t), clock.floor_to("day", t), clock.floor_to("month", t),
+                    clock.round_to_second(t), clock.clock_text(t), F.hour(t), clock.add_seconds(t, F.lit(0.75)),
+                )
+            ],
+            clock.parse_feed_time(F.lit("20240310 02:30")).cast("string"),
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [(
+        "2024-03-10 02:00:00", "2024-03-10 00:00:00", "2024-03-01 00:00:00", "2024-03-10 02:30:15",
+        "02:30:15", "2", "2024-03-10 02:30:16", "2024-03-10 02:30:00",
+    )]
