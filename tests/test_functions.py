@@ -130,9 +130,9 @@ def test_malformed_clocks_are_null(spark):
 
 
 def test_naive_times_ignore_the_session_zone(spark):
-    """02:30 does not exist in Chicago on this day, but naive times know no zone."""
+    """02:30 does not exist in New York on this day, but naive times know no zone."""
     before = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         got = values(
             spark, [("2024-03-10 02:30:15.25",)], "s string",
