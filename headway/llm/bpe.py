@@ -16,6 +16,7 @@ exactly its UTF-8 bytes; repeated rows give repeated results; other columns are
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -29,11 +30,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from headway.llm.common import batch_of, blocks
 
 #: Matches a task remembers; when full the table starts anew, results do not change.
-MEMORY = 400_000
+MEMORY = 250_000
+#: Matches of up to so many bytes are merged many at a time, each in its own segment tree; longer ones singly.
+LOCKSTEP_BYTES = 64
 #: The rank file is sent to every executor; a larger one is refused.
 MOST_RANK_BYTES = 32 << 20
 
 NO_RANK = 1 << 62
+ASTRAL = re.compile("[\U00010000-\U0010ffff]").search
 
 
 def read_ranks(path: str) -> bytes:
@@ -110,21 +114,194 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-def encoder(data: bytes, pattern: str, memory: int = MEMORY) -> Callable[[str], list[int]]:
-    ranks, _ = parsed(data)
-    split = regex.compile(pattern).findall
-    known: dict[str, tuple[int, ...]] = {}
+class Pairs:
+    """For two tokens side by side, the rank of their joined bytes: an open-addressing table in arrays."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        rows = [
+            (ranks[token[:k]] << 32 | ranks[token[k:]], rank)
+            for token, rank in ranks.items()
+            for k in range(1, len(token))
+            if token[:k] in ranks and token[k:] in ranks
+        ]
+        self.bits = max(4, (4 * len(rows)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.full(1 << self.bits, NO_RANK, dtype=np.int64)
+        keys = np.array([k for k, _ in rows], dtype=np.int64)
+        values = np.array([v for _, v in rows], dtype=np.int64)
+        place = self._place(keys)
+        while len(keys):
+            free = self.keys[place] < 0
+            self.keys[place[free]] = keys[free]  # of several at one place the last stays
+            self.values[place[free]] = values[free]
+            lost = self.keys[place] != keys
+            keys, values, place = keys[lost], values[lost], (place[lost] + 1) & (len(self.keys) - 1)
+        self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], dtype=np.int64)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = (left << 32) | right
+        place = self._place(keys)
+        found = self.keys[place]
+        out = np.where(found == keys, self.values[place], NO_RANK)
+        rest = np.flatnonzero((found != keys) & (found >= 0))
+        while len(rest):
+            place[rest] = (place[rest] + 1) & (len(self.keys) - 1)
+            found = self.keys[place[rest]]
+            hit = found == keys[rest]
+            out[rest[hit]] = self.values[place[rest[hit]]]
+            rest = rest[~hit & (found >= 0)]
+        return out
+
+
+def merge_many(pieces: list[bytes], pairs: Pairs) -> list[bytes]:
+    """Ids, as packed 32-bit numbers, of matches of 2 to ``LOCKSTEP_BYTES`` bytes.
+
+    Every match has a tree of its own; a round does one merge in each.
+    """
+    out: list[bytes] = [b""] * len(pieces)
+    widths: dict[int, list[int]] = {}
+    for i, piece in enumerate(pieces):
+        widths.setdefault(1 << (len(piece) - 1).bit_length(), []).append(i)
+    for w, members in widths.items():
+        rows = len(members)
+        lens = np.array([len(pieces[i]) for i in members])
+        raw = np.frombuffer(b"".join(pieces[i].ljust(w, b"\0") for i in members), dtype=np.uint8)
+        ids = pairs.byte_ids[raw]  # flat: row * w + position; -1 where a part was merged into its left
+        position = np.tile(np.arange(w), rows)
+        length = np.repeat(lens, w)
+        after, before = position + 1, position - 1
+        tree = np.full((rows, 2 * w), NO_RANK, dtype=np.int64)
+        has = np.flatnonzero(position < length - 1)
+        rank = pairs.rank(ids[has], ids[has + 1])
+        known = rank < NO_RANK
+        tree[has[known] // w, w + has[known] % w] = rank[known] * w + has[known] % w
+        level = w
+        while level > 1:
+            tree[:, level // 2 : level] = np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2])
+            level //= 2
+        flat = tree.reshape(-1)
+
+        def put(row: np.ndarray, place: np.ndarray, value: np.ndarray | int) -> None:
+            base, node = row * (2 * w), place + w
+            flat[base + node] = value
+            for _ in range(w.bit_length() - 1):
+                node = node >> 1
+                flat[base + node] = np.minimum(flat[base + 2 * node], flat[base + 2 * node + 1])
+
+        def key(left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+            rank = pairs.rank(left, right)
+            return np.where(rank < NO_RANK, rank * w + place, NO_RANK)
+
+        live = np.flatnonzero(tree[:, 1] < NO_RANK)
+        while len(live):
+            root, base = tree[live, 1], live * w
+            i = root % w
+            middle = after[base + i]
+            end = after[base + middle]
+            ids[base + i] = root // w
+            ids[base + middle] = -1
+            after[base + i] = end
+            put(live, middle, NO_RANK)
+            inner = end < lens[live]
+            before[(base + end)[inner]] = i[inner]
+            value = np.full(len(live), NO_RANK, dtype=np.int64)
+            value[inner] = key(ids[(base + i)[inner]], ids[(base + end)[inner]], i[inner])
+            put(live, i, value)
+            left = before[base + i]
+            inner = left >= 0
+            l, b = left[inner], base[inner]
+            put(live[inner], l, key(ids[b + l], ids[b + i[inner]], l))
+            live = live[tree[live, 1] < NO_RANK]
+        alive = (position < length) & (ids >= 0)
+        counts = alive.reshape(rows, w).sum(axis=1)
+        ends = np.cumsum(counts).tolist()
+        raw_ids = ids[alive].astype(np.int32).tobytes()
+        for i, a, b in zip(members, [0, *ends], ends):
+            out[i] = raw_ids[4 * a : 4 * b]
+    return out
 
-    class Known(dict):
-        def __missing__(self, piece: str) -> tuple[int, ...]:
-            if len(self) >= memory:
-                self.clear()
-            ids = tuple(merge(piece.encode(), ranks))
-            self[piece] = ids
-            return ids
 
-    known = Known()
-    return lambda text: list(chain.from_iterable(map(known.__getitem__, split(text))))
+@lru_cache(maxsize=4)
+def pair_table(data: bytes) -> Pairs:
+    return Pairs(parsed(data)[0])
+
+
+def _ranges(codes: list[int]) -> str:
+    """Code points as the inside of a character class."""
+    out, start = [], None
+    for a, b in zip(codes, [*codes[1:], -1]):
+        start = a if start is None else start
+        if b != a + 1:
+            out.append(f"\\u{start:04x}-\\u{a:04x}")
+            start = None
+    return "".join(out)
+
+
+@lru_cache(maxsize=4)
+def splitters(pattern: str) -> tuple[Callable, Callable]:
+    """The pattern for any text, and an equal, faster one for texts without code points past U+FFFF.
+
+    The second has the classes written out, so that the standard library can run it.
+    """
+    basic = "".join(chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000)
+
+    def spelled(name: str) -> str:
+        return _ranges([ord(c) for c in regex.findall(name, basic)])
+
+    parts = {r"\p{L}": spelled(r"\p{L}"), r"\p{N}": spelled(r"\p{N}")}
+    space = spelled(r"\p{White_Space}")
+    plain = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{parts[r'\p{L}']}{parts[r'\p{N}']}]")
+    for name, inside in parts.items():
+        plain = plain.replace(name, f"[{inside}]")
+    plain = plain.replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
+    full = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")
+    return regex.compile(full).findall, re.compile(plain).findall
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype=np.int32).tobytes()
+
+
+class Encoder:
+    """Ids of whole texts as packed 32-bit numbers; forgets its matches when there are over ``memory``."""
+
+    def __init__(self, data: bytes, pattern: str, memory: int = MEMORY):
+        self.ranks, _ = parsed(data)
+        self.pairs = pair_table(data)
+        self.any_split, self.plain_split = splitters(pattern)
+        self.memory = memory
+        self.known: dict[str, bytes] = {}
+
+    def split(self, text: str) -> list[str]:
+        wide = not text.isascii() and ASTRAL(text)
+        return self.any_split(text) if wide else self.plain_split(text)
+
+    def learn(self, pieces: set[str]) -> None:
+        many: list[str] = []
+        raw: list[bytes] = []
+        for piece in pieces:
+            data = piece.encode()
+            rank = self.ranks.get(data)
+            if rank is not None:
+                self.known[piece] = packed([rank])
+            elif 2 <= len(data) <= LOCKSTEP_BYTES:
+                many.append(piece)
+                raw.append(data)
+            else:
+                self.known[piece] = packed(merge(data, self.ranks))
+        self.known.update(zip(many, merge_many(raw, self.pairs)))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = [self.split(t) for t in texts]
+        if len(self.known) > self.memory:
+            self.known.clear()
+        new = set(chain.from_iterable(split)).difference(self.known)
+        self.learn(new)
+        get = self.known.__getitem__
+        return [b"".join(map(get, pieces)) for pieces in split]
 
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -136,11 +313,11 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", t
     data = docs.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(data.value, pattern)
+        encoder = Encoder(data.value, pattern)
         for rows, texts in blocks(batches):
-            lists = [ids_of(t) for t in texts]
-            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(ends[-1]))
+            lists = encoder(texts)
+            ends = np.cumsum([0, *(len(ids) // 4 for ids in lists)]).astype(np.int32)
+            flat = np.frombuffer(b"".join(lists), dtype=np.int32)
             yield batch_of(ENCODED, doc_id=rows.column("doc_id"), ids=pa.ListArray.from_arrays(ends, flat))
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
