@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from headway.llm.common import batch_of, blocks
 
 #: Matches a task remembers; when full the table starts anew, results do not change.
-MEMORY = 250_000
+MEMORY = 200_000
 #: Matches of up to so many bytes are merged many at a time, each in its own segment tree; longer ones singly.
 LOCKSTEP_BYTES = 64
 #: The rank file is sent to every executor; a larger one is refused.
@@ -304,6 +304,11 @@ class Encoder:
         return [b"".join(map(get, pieces)) for pieces in split]
 
 
+def as_lists(packed_ids: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(ids) // 4 for ids in packed_ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(packed_ids), dtype=np.int32))
+
+
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
 
@@ -316,30 +321,50 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", t
         encoder = Encoder(data.value, pattern)
         for rows, texts in blocks(batches):
             lists = encoder(texts)
-            ends = np.cumsum([0, *(len(ids) // 4 for ids in lists)]).astype(np.int32)
-            flat = np.frombuffer(b"".join(lists), dtype=np.int32)
-            yield batch_of(ENCODED, doc_id=rows.column("doc_id"), ids=pa.ListArray.from_arrays(ends, flat))
+            yield batch_of(ENCODED, doc_id=rows.column("doc_id"), ids=as_lists(lists))
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
 
+class Decoder:
+    """The bytes that packed ids stand for."""
+
+    def __init__(self, data: bytes):
+        _, self.tokens = parsed(data)
+
+    def __call__(self, ids: bytes) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype=np.int32).tolist()))
+
+
 def decode(encoded: DataFrame, rank_path: str) -> DataFrame:
-    """``doc_id, ids, decoded binary``: the bytes the ids stand for."""
+    """``doc_id, ids, decoded binary`` of ``doc_id, ids``; null ids stand for nothing."""
     data = encoded.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, tokens = parsed(data.value)
+        decoder = Decoder(data.value)
         for batch in batches:
             lists = batch.column("ids")
-            flat = lists.flatten().to_pylist()
-            ends = np.cumsum(np.asarray([0, *lists.value_lengths().fill_null(0).to_pylist()])).tolist()
-            parts = [b"".join(map(tokens.__getitem__, flat[a:b])) for a, b in zip(ends, ends[1:])]
+            parts = [decoder(packed(ids or [])) for ids in lists.to_pylist()]
             yield batch_of(DECODED, doc_id=batch.column("doc_id"), ids=lists, decoded=parts)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, ids, decoded``: every whole text encoded and its ids decoded again, in one pass."""
+    data = docs.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(data.value, pattern), Decoder(data.value)
+        for rows, texts in blocks(batches):
+            lists = encoder(texts)
+            yield batch_of(DECODED, doc_id=rows.column("doc_id"), ids=as_lists(lists), decoded=list(map(decoder, lists)))
+
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """Counts and checksums of ids and decoded bytes."""
     return decoded.select(
@@ -354,4 +379,4 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all documents by the 50k ranks, decode the ids again."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return digests(decode(encode(docs, path, public_tokenizers.PATTERN), path))
+    return digests(round_trip(docs, path, public_tokenizers.PATTERN))

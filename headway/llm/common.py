@@ -6,9 +6,10 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Characters of text a task turns into arrays at once; bounds memory, never results.
+#: Bytes of text a task turns into arrays at once; bounds memory, never results.
 BLOCK_CHARS = 1_000_000
 
 
@@ -26,17 +27,21 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Runs of rows with at most ``BLOCK_CHARS`` characters (one row at least), with their texts; null is empty."""
+    """Runs of rows with at most ``BLOCK_CHARS`` bytes of text (one row at least), with their texts; null is empty."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(text).to_pylist()]
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = size = 0
-        for i, t in enumerate(texts):
-            if i > start and size + len(t) > BLOCK_CHARS:
-                yield batch.slice(start, i - start), texts[start:i]
+        for i, n in enumerate(sizes):
+            if i > start and size + n > BLOCK_CHARS:
+                yield _run(batch.slice(start, i - start), text)
                 start, size = i, 0
-            size += len(t)
-        if texts:
-            yield batch.slice(start), texts[start:]
+            size += n
+        if sizes:
+            yield _run(batch.slice(start), text)
+
+
+def _run(rows: pa.RecordBatch, text: str) -> tuple[pa.RecordBatch, list[str]]:
+    return rows, [t or "" for t in rows.column(text).to_pylist()]
 
 
 def batch_of(schema: pa.Schema, **columns: Any) -> pa.RecordBatch:
