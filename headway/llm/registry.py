@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm.bpe import op4_byte_bpe
 from headway.llm.languages import op6_language_mixture
+from headway.llm.personal import op7_lstm_personal
 from headway.llm.quality import op10_nbsvm_quality
 from headway.llm.slot_shards import op2_slot_shards
 from headway.llm.toxicity import op9_zstd_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_slot_shards, op4_byte_bpe, op6_language_mixture, op9_zstd_toxicity, op10_nbsvm_quality)
+    for f in (
+        op2_slot_shards, op4_byte_bpe, op6_language_mixture, op7_lstm_personal, op9_zstd_toxicity, op10_nbsvm_quality,
+    )
 }
 
 #: None of these results can be written as SQL; each is tested against brute force.

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from headway.llm.common import batch_of, blocks, fold, sample_per_class
 
 SAMPLE_PER_CLASS = 1500
-WINDOW = 64
+WINDOW = 128
 LEVEL = 13
 ORDINARY_BYTES = 32768
 TOXIC_BYTES = 4096
@@ -58,6 +59,24 @@ def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
         return b" ".join(samples)[:size]
 
 
+def _unlike(texts: list[str]) -> list[str]:
+    """The texts without near copies of earlier ones, so that no family of copies speaks for its class.
+
+    A text goes if one of eight bands of four least hashes over its longer words has been seen.
+    """
+    factor = np.random.default_rng(3).integers(0, 1 << 32, 32, dtype=np.uint64) | np.uint64(1)
+    seen: set[tuple[int, ...]] = set()
+    out = []
+    for t in texts:
+        words = np.array([zlib.crc32(w.encode()) for w in set(t.lower().split()) if len(w) > 5], dtype=np.uint64)
+        least = ((words[:, None] * factor) % np.uint64(0xFFFFFFFB)).min(axis=0).tolist() if len(words) else []
+        bands = {(k, *least[k : k + 4]) for k in range(0, len(least), 4)}
+        if not bands & seen:
+            out.append(t)
+        seen |= bands
+    return out
+
+
 def _words(texts: list[str]) -> Counter:
     return Counter(w for t in texts for w in set(t.lower().split()))
 
@@ -65,6 +84,7 @@ def _words(texts: list[str]) -> Counter:
 def dictionaries(toxic: list[str], ordinary: list[str], seed: int = 11) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary."""
     chance = random.Random(seed)
+    toxic, ordinary = _unlike(toxic), _unlike(ordinary)
     here, there = _words(toxic), _words(ordinary)
 
     def odds(word: str) -> float:
