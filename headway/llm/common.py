@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of text a task turns into arrays at once; bounds memory, never results.
 BLOCK_CHARS = 1_000_000
 
@@ -44,6 +47,18 @@ def _run(rows: pa.RecordBatch, text: str) -> tuple[pa.RecordBatch, list[str]]:
     return rows, [t or "" for t in rows.column(text).to_pylist()]
 
 
+def mapped(df: DataFrame, run: Callable, schema: Any) -> DataFrame:
+    """``df.mapInArrow``; workers on this machine find this package wherever the session was started.
+
+    On a cluster the package is shipped as usual (``--py-files``) or installed.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+    return df.mapInArrow(run, schema)
+
+
 def batch_of(schema: pa.Schema, **columns: Any) -> pa.RecordBatch:
     """A record batch from arrays or lists, in the schema's order and types."""
     arrays = []

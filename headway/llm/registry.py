@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm.bpe import op4_byte_bpe
+from headway.llm.copies import op5_minhash_jaccard
 from headway.llm.languages import op6_language_mixture
 from headway.llm.leaks import op1_spaced_seed_leaks
 from headway.llm.personal import op7_lstm_personal
@@ -17,7 +18,7 @@ from headway.llm.toxicity import op9_zstd_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_spaced_seed_leaks, op2_slot_shards, op4_byte_bpe, op6_language_mixture, op7_lstm_personal, op9_zstd_toxicity, op10_nbsvm_quality,
+        op1_spaced_seed_leaks, op2_slot_shards, op4_byte_bpe, op5_minhash_jaccard, op6_language_mixture, op7_lstm_personal, op9_zstd_toxicity, op10_nbsvm_quality,
     )
 }
 
