@@ -47,15 +47,20 @@ def _run(rows: pa.RecordBatch, text: str) -> tuple[pa.RecordBatch, list[str]]:
     return rows, [t or "" for t in rows.column(text).to_pylist()]
 
 
-def mapped(df: DataFrame, run: Callable, schema: Any) -> DataFrame:
-    """``df.mapInArrow``; workers on this machine find this package wherever the session was started.
+def reach_workers(spark: SparkSession) -> None:
+    """Let workers on this machine find this package wherever the session was started.
 
     On a cluster the package is shipped as usual (``--py-files``) or installed.
     """
-    environment = df.sparkSession.sparkContext.environment
+    environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
+def mapped(df: DataFrame, run: Callable, schema: Any) -> DataFrame:
+    """``df.mapInArrow`` with this package in the workers' reach."""
+    reach_workers(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
