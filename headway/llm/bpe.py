@@ -27,7 +27,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm.common import batch_of, blocks
+from headway.llm.common import batch_of, blocks, mapped
 
 #: Matches a task remembers; when full the table starts anew, results do not change.
 MEMORY = 200_000
@@ -324,7 +324,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", t
             yield batch_of(ENCODED, doc_id=rows.column("doc_id"), ids=as_lists(lists))
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return mapped(rows, run, "doc_id long, ids array<int>")
 
 
 class Decoder:
@@ -348,7 +348,7 @@ def decode(encoded: DataFrame, rank_path: str) -> DataFrame:
             parts = [decoder(packed(ids or [])) for ids in lists.to_pylist()]
             yield batch_of(DECODED, doc_id=batch.column("doc_id"), ids=lists, decoded=parts)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return mapped(encoded.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded binary")
 
 
 def round_trip(docs: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -362,7 +362,7 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, key: str = "doc_id
             yield batch_of(DECODED, doc_id=rows.column("doc_id"), ids=as_lists(lists), decoded=list(map(decoder, lists)))
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return mapped(rows, run, "doc_id long, ids array<int>, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any
@@ -12,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
+#: Labels that sampling takes; there are as many models.
+MOST_CLASSES = 1000
 #: Bytes of text a task turns into arrays at once; bounds memory, never results.
 BLOCK_CHARS = 1_000_000
 
@@ -43,6 +46,13 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             yield _run(batch.slice(start), text)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written to the shared folder as Parquet and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _run(rows: pa.RecordBatch, text: str) -> tuple[pa.RecordBatch, list[str]]:
     return rows, [t or "" for t in rows.column(text).to_pylist()]
 
@@ -87,10 +97,14 @@ def sample_per_class(rows: DataFrame, label: str, key: str, per_class: int) -> D
     """About ``per_class`` rows of each label, all of them where there are fewer.
 
     A row is taken when the hash of its key lies below ``per_class / rows of its label``,
-    so no class is ever gathered or sorted in one task. Null labels are left out.
+    so no class is ever gathered, sorted or shuffled. Null labels are left out; over ``MOST_CLASSES``
+    labels are refused.
     """
     rows = rows.where(F.col(label).isNotNull())
-    counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.lit(float(per_class)) / F.col("_n")
-    taken = rows.join(counts, F.col(label) == F.col("_label"))
-    return taken.where(unit_hash(F.col(key), F.lit("sample")) < share).drop("_label", "_n")
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MOST_CLASSES + 1).collect()
+    if len(counts) > MOST_CLASSES:
+        raise ValueError(f"over {MOST_CLASSES} labels in {label}")
+    if not counts:
+        return rows.limit(0)
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r[label], float(per_class) / r["n"])])
+    return rows.where(unit_hash(F.col(key), F.lit("sample")) < shares[F.col(label)])

@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm.common import batch_of, blocks, fold, sample_per_class
+from headway.llm.common import batch_of, blocks, fold, mapped, sample_per_class
 from headway.llm.grams import hashed, joined
 
 DOCS_PER_LANGUAGE = 1500
@@ -61,7 +61,7 @@ def learn(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
 
     taken = sample_per_class(docs.where(F.col("text").isNotNull()).select("doc_id", "text", "lang"), "lang", "doc_id", per_language)
     counts = (
-        taken.select("text", "lang").mapInArrow(count, "lang string, gram int, n long")
+        mapped(taken.select("text", "lang"), count, "lang string, gram int, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     )
     languages = sorted(counts["lang"].unique())
@@ -151,8 +151,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     sets[i], shares[i] = [m.languages[j] for j in order], p[order].tolist()
             yield batch_of(FOUND, doc_id=batch.column("doc_id"), lang_pred=name, score=score, languages=sets, shares=shares)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, lang_pred string, score double, languages array<string>, shares array<double>"
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, lang_pred string, score double, languages array<string>, shares array<double>"
     )
 
 

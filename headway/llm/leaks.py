@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm.common import batch_of, blocks
+from headway.llm.common import batch_of, blocks, mapped
 from headway.llm.words import WORD_BYTES, run_hashes, word_hashes
 
 #: Fixed masks: 1 counts, 0 is ignored.
@@ -155,7 +155,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield batch_of(FOUND, **dict(zip(FOUND.names, map(list, columns))))
 
         narrow = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        return narrow.mapInArrow(run, "doc_id long, item_id long, first_token int, end_token int, agreeing int")
+        return mapped(narrow, run, "doc_id long, item_id long, first_token int, end_token int, agreeing int")
 
     parts = (apply(docs, docs.sparkSession.sparkContext.broadcast(t)) for t in tables(benchmark))
     return reduce(DataFrame.unionByName, parts)
@@ -169,7 +169,7 @@ def without_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch, texts in blocks(batches):
                 yield batch.filter(pa.array([not by for by in overlaps(texts, sent.value)]))
 
-        return rows.mapInArrow(run, rows.schema)
+        return mapped(rows, run, rows.schema)
 
     for table in tables(benchmark):
         docs = apply(docs, docs.sparkSession.sparkContext.broadcast(table))

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm.common import batch_of, blocks, unit_hash
+from headway.llm.common import batch_of, blocks, mapped, unit_hash
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, kind, end: sorts as results are ordered
@@ -464,7 +464,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE_DOCS, steps: int = STEPS) -> Mod
                 parts.append(t[max(0, hit.start() - 300) : hit.start() + 300])
             yield batch_of(schema, part=parts)
 
-    got = sorted({r["part"] for r in taken.select("text").mapInArrow(contexts, "part string").toLocalIterator(True)})
+    got = sorted({r["part"] for r in mapped(taken.select("text"), contexts, "part string").toLocalIterator(True)})
     return train(*labelled(got), steps=steps)
 
 
@@ -489,8 +489,7 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(
-        run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_added long, base string, spans string"
+    return mapped(rows, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_added long, base string, spans string"
     )
 
 
@@ -517,7 +516,7 @@ def redact(docs: DataFrame, model: Model) -> DataFrame:
             new = pa.array([n if old[i].is_valid else None for i, n in enumerate(new)], type=batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), new)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = mapped(docs, run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm.common import batch_of, blocks, fold, sample_per_class
+from headway.llm.common import batch_of, blocks, fold, mapped, sample_per_class
 from headway.llm.grams import hashed, joined, word_shapes
 
 SAMPLE_PER_CLASS = 1500
@@ -159,7 +159,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     counts = {r["label"]: r["n"] for r in truth.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     taken = sample_per_class(truth, "label", "doc_id", per_class)
-    rows = docs.select("doc_id", "text").join(taken, "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id")  # about 2 * per_class narrow rows
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("found", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,8 +169,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
                 found=[f.astype(np.int32).tobytes() for f in features(texts)],
             )
 
-    found = rows.select("doc_id", "text", F.col("label").cast("int").alias("label")).mapInArrow(
-        run, "doc_id long, label int, found binary"
+    found = mapped(rows.select("doc_id", "text", F.col("label").cast("int").alias("label")), run, "doc_id long, label int, found binary"
     )
     got = sorted({(r["doc_id"], r["label"], bytes(r["found"])) for r in found.toLocalIterator(True)})
     x = [np.frombuffer(f, dtype=np.int32) for _, _, f in got]
@@ -192,7 +191,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             p = 1 / (1 + np.exp(-np.clip(m.slope * margin + m.shift, -50, 50)))
             yield batch_of(SCORED, doc_id=batch.column("doc_id"), score=p)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double")
 
 
 def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

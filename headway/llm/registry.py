@@ -11,6 +11,7 @@ from headway.llm.copies import op5_minhash_jaccard
 from headway.llm.languages import op6_language_mixture
 from headway.llm.leaks import op1_spaced_seed_leaks
 from headway.llm.neighbours import op3_multi_index_hashing
+from headway.llm.pages import op8_crf_pages
 from headway.llm.personal import op7_lstm_personal
 from headway.llm.quality import op10_nbsvm_quality
 from headway.llm.slot_shards import op2_slot_shards
@@ -19,7 +20,8 @@ from headway.llm.toxicity import op9_zstd_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_spaced_seed_leaks, op2_slot_shards, op3_multi_index_hashing, op4_byte_bpe, op5_minhash_jaccard, op6_language_mixture, op7_lstm_personal, op9_zstd_toxicity, op10_nbsvm_quality,
+        op1_spaced_seed_leaks, op2_slot_shards, op3_multi_index_hashing, op4_byte_bpe, op5_minhash_jaccard,
+        op6_language_mixture, op7_lstm_personal, op8_crf_pages, op9_zstd_toxicity, op10_nbsvm_quality,
     )
 }
 

@@ -23,7 +23,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -31,7 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm.common import batch_of, blocks, fold, sample_per_class
+from headway.llm.common import batch_of, blocks, fold, mapped, sample_per_class
 
 SAMPLE_PER_CLASS = 1500
 WINDOW = 128
@@ -174,13 +174,24 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     )
     counts = {r["label"]: r["n"] for r in truth.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     taken = sample_per_class(truth, "label", "doc_id", per_class)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(taken, "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(taken), "doc_id")  # about 2 * per_class narrow rows
     # Equal texts teach once; the order does not depend on how the rows came in.
     got = sorted({(r["text"], int(r["label"])) for r in rows.select("text", "label").toLocalIterator(True)})
     random.Random(5).shuffle(got)
     return fit(got, counts.get(1, 0) / max(1, sum(counts.values())))
 
 
+def scorer(m: Model) -> Callable[[list[str]], np.ndarray]:
+    measure = Measure(m.ordinary, m.toxic)
+
+    def scores(texts: list[str]) -> np.ndarray:
+        x = np.array([measure.features(t) for t in texts])
+        z = ((x - m.centre) / m.scale) @ m.weight[:-1] + m.weight[-1]
+        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+    return scores
+
+
 SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -189,14 +200,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of fixed size and a few numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        measure = Measure(m.ordinary, m.toxic)
+        scores = scorer(sent.value)
+        for batch, texts in blocks(batches):
+            yield batch_of(SCORED, doc_id=batch.column("doc_id"), score=scores(texts))
+
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double")
+
+
+def below(docs: DataFrame, model: Model, limit: float) -> DataFrame:
+    """The rows, with all their columns, whose score is under the limit."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = scorer(sent.value)
         for batch, texts in blocks(batches):
-            x = np.array([measure.features(t) for t in texts])
-            z = ((x - m.centre) / m.scale) @ m.weight[:-1] + m.weight[-1]
-            yield batch_of(SCORED, doc_id=batch.column("doc_id"), score=1 / (1 + np.exp(-np.clip(z, -50, 50))))
+            yield batch.filter(pa.array(scores(texts) < limit))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return mapped(docs, run, docs.schema)
 
 
 def taught(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
