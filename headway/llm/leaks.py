@@ -36,7 +36,7 @@ LEAST_TOKENS = 5
 ENOUGH = 13
 SHARE = 0.8
 #: What a differing token costs against one that agrees.
-PENALTY = 2.0
+PENALTY = 1.0
 BLOCK_TOKENS = 400_000
 _BITS = 20
 
