@@ -104,7 +104,7 @@ SIGNS = "@.-+ ()_%\n/:,[]#='\""
 OTHER, WIDE = 1 + 1 + len(SIGNS) + 26, 2 + 1 + len(SIGNS) + 26
 ALPHABET = WIDE + 1
 SAMPLE_DOCS = 1500
-STEPS, BATCH = 260, 96
+STEPS, BATCH = 300, 64
 
 _ASCII = np.full(128, OTHER, dtype=np.uint8)
 _ASCII[48:58] = 1
@@ -162,19 +162,27 @@ def _run(x: np.ndarray, look: np.ndarray, back: np.ndarray) -> tuple[np.ndarray,
     return states, kept
 
 
-def _unroll(x: np.ndarray, kept: list, d_states: np.ndarray, look: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _unroll(x: np.ndarray, kept: list, d_states: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of one direction."""
-    d_look, d_back = np.zeros_like(look), np.zeros_like(back)
-    dh = dc = np.zeros((x.shape[1], HIDDEN), dtype=look.dtype)
+    dh = dc = np.zeros((x.shape[1], HIDDEN), dtype=back.dtype)
+    dz = np.empty((*x.shape, 4 * HIDDEN), dtype=back.dtype)
     for t in range(len(x) - 1, -1, -1):
-        i, f, o, g, old, tc, before = kept[t]
+        i, f, o, g, old, tc, _ = kept[t]
         dh = dh + d_states[t]
         dc = dc + dh * o * (1 - tc * tc)
-        dz = np.concatenate((dc * g * i * (1 - i), dc * old * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)), axis=1)
-        np.add.at(d_look, x[t], dz)
-        d_back += before.T @ dz
-        dh, dc = dz @ back.T, dc * f
-    return d_look, d_back
+        row = dz[t]
+        row[:, :HIDDEN] = dc * g * i * (1 - i)
+        row[:, HIDDEN : 2 * HIDDEN] = dc * old * f * (1 - f)
+        row[:, 2 * HIDDEN : 3 * HIDDEN] = dh * tc * o * (1 - o)
+        row[:, 3 * HIDDEN :] = dc * i * (1 - g * g)
+        dh, dc = row @ back.T, dc * f
+    flat, by = dz.reshape(-1, 4 * HIDDEN), x.reshape(-1)
+    order = np.argsort(by, kind="stable")
+    some, first = np.unique(by[order], return_index=True)
+    look = np.zeros((ALPHABET, 4 * HIDDEN), dtype=back.dtype)
+    look[some] = np.add.reduceat(flat[order], first, axis=0)
+    # Plain loops, not threaded products: those stall where other work keeps the cores busy.
+    return look, np.einsum("tbh,tbg->hg", np.stack([k[6] for k in kept]), dz)
 
 
 def emissions(x: np.ndarray, m: Model) -> np.ndarray:
@@ -214,6 +222,7 @@ def train(windows: np.ndarray, tags: np.ndarray, steps: int = STEPS, seed: int =
     shape = {"look": (2, ALPHABET, 4 * HIDDEN), "back": (2, HIDDEN, 4 * HIDDEN), "out": (2 * HIDDEN, TAGS), "bias": (TAGS,), "step": (TAGS, TAGS)}
     p = {k: chance.normal(0, 0.3 if k == "look" else 0.25, s) if k in ("look", "back", "out") else np.zeros(s) for k, s in shape.items()}
     p["look"][:, :, HIDDEN : 2 * HIDDEN] += 1.0  # remember at first
+    p = {k: v.astype(np.float32) for k, v in p.items()}
     mean, square = ({k: np.zeros(s) for k, s in shape.items()} for _ in range(2))
     for n in range(1, steps + 1):
         pick = chance.integers(0, len(windows), BATCH)
@@ -221,13 +230,13 @@ def train(windows: np.ndarray, tags: np.ndarray, steps: int = STEPS, seed: int =
         forward, kept_f = _run(x, p["look"][0], p["back"][0])
         backward, kept_b = _run(x[::-1], p["look"][1], p["back"][1])
         states = np.concatenate((forward, backward[::-1]), axis=2)
-        d_e, d_step = _crf(states @ p["out"] + p["bias"], y, p["step"])
-        d_states = d_e @ p["out"].T
-        first = _unroll(x, kept_f, d_states[:, :, :HIDDEN], p["look"][0], p["back"][0])
-        second = _unroll(x[::-1], kept_b, d_states[::-1, :, HIDDEN:], p["look"][1], p["back"][1])
+        d_e, d_step = _crf((states @ p["out"] + p["bias"]).astype(np.float64), y, p["step"])
+        d_states = d_e.astype(np.float32) @ p["out"].T
+        first = _unroll(x, kept_f, d_states[:, :, :HIDDEN], p["back"][0])
+        second = _unroll(x[::-1], kept_b, d_states[::-1, :, HIDDEN:], p["back"][1])
         grads = {
             "look": np.stack((first[0], second[0])), "back": np.stack((first[1], second[1])),
-            "out": np.tensordot(states, d_e, axes=((0, 1), (0, 1))), "bias": d_e.sum(axis=(0, 1)), "step": d_step,
+            "out": np.einsum("tbh,tbk->hk", states, d_e), "bias": d_e.sum(axis=(0, 1)), "step": d_step,
         }
         rate = 0.02 * (1 - n / (steps + 1))
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values())) / BATCH
@@ -235,7 +244,7 @@ def train(windows: np.ndarray, tags: np.ndarray, steps: int = STEPS, seed: int =
             g = g / BATCH / max(1.0, norm / 5.0)
             mean[k] = 0.9 * mean[k] + 0.1 * g
             square[k] = 0.99 * square[k] + 0.01 * g * g
-            p[k] -= rate * (mean[k] / (1 - 0.9**n)) / (np.sqrt(square[k] / (1 - 0.99**n)) + 1e-8)
+            p[k] -= (rate * (mean[k] / (1 - 0.9**n)) / (np.sqrt(square[k] / (1 - 0.99**n)) + 1e-8)).astype(np.float32)
     p["step"] = p["step"] + FORBIDDEN
     return Model(**{k: v.astype(np.float32) for k, v in p.items()})
 
