@@ -94,12 +94,6 @@ def distance_to_leg(
     )
 
 
-def box_area(x: str | Column, y: str | Column) -> Column:
-    """Aggregate or window body: use inside ``agg``."""
-    x, y = _c(x), _c(y)
-    return (F.max(x) - F.min(x)) * (F.max(y) - F.min(y))
-
-
 def ring_edges(rings: str | Column) -> Column:
     """All edges of a polygon as ``array<struct<x0,y0,x1,y1>>``.
 
@@ -117,15 +111,20 @@ def ring_edges(rings: str | Column) -> Column:
     return F.flatten(F.transform(_c(rings), edges))
 
 
-def inside(px: str | Column, py: str | Column, edges: str | Column) -> Column:
-    """Ray casting: a point is inside when a ray crosses an odd number of edges."""
+def crossings(px: str | Column, py: str | Column, edges: str | Column) -> Column:
+    """How many edges a ray from the point to the right crosses."""
     px, py = _c(px), _c(py)
     crossed = F.filter(
         _c(edges),
         lambda e: ((e["y0"] > py) != (e["y1"] > py))
         & (px < (e["x1"] - e["x0"]) * (py - e["y0"]) / F.nullif(e["y1"] - e["y0"], F.lit(0.0)) + e["x0"]),
     )
-    return F.size(crossed) % 2 == 1
+    return F.size(crossed)
+
+
+def inside(px: str | Column, py: str | Column, edges: str | Column) -> Column:
+    """Ray casting: a point is inside when a ray crosses an odd number of edges."""
+    return crossings(px, py, edges) % 2 == 1
 
 
 def distance_to_edges(px: str | Column, py: str | Column, edges: str | Column) -> Column:

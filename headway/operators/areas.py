@@ -1,10 +1,14 @@
-"""Stops and people in areas."""
+"""Stops and people in areas.
+
+An area is one row: ``community`` and ``parts``, an array of polygons, each an array of rings of
+which the first is the outline and the others are holes. Parts of one area do not overlap.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from headway import constants as K
 from headway.functions import geo
@@ -14,15 +18,62 @@ from headway.functions.measures import per_capita
 CELL_DEG = 0.01
 
 
-def _cells(areas: DataFrame, cell: float, pad: float = 0.0) -> DataFrame:
-    """Areas copied to every grid cell of their bounding box (widened by ``pad``)."""
-    xs, ys = F.transform(F.col("rings")[0], lambda p: p["x"]), F.transform(F.col("rings")[0], lambda p: p["y"])
-    lo = lambda a: geo.cell(F.array_min(a) - F.lit(pad), cell)
-    hi = lambda a: geo.cell(F.array_max(a) + F.lit(pad), cell)
+def _edges(areas: DataFrame) -> DataFrame:
+    """One row per edge of all rings of all parts."""
+    return areas.select("community", F.explode(geo.ring_edges(F.flatten("parts"))).alias("__e"))
+
+
+def _cells(areas: DataFrame, cell: float) -> DataFrame:
+    """``community, __cx, __cy, __across, __edges``: the grid cells in which some point may lie inside.
+
+    A point is inside if a ray to the right crosses an odd number of edges. An edge is of concern only to
+    the rows of cells it reaches through. In a row, edges left of a cell are crossed by no ray from it, edges
+    to the right that span the row by every one; ``__across`` counts the latter. What is left goes with the
+    cell as ``__edges``: few at the border, none within, so an outline is never copied to the cells it encloses.
+    """
+    e = lambda f: F.col("__e").getField(f)
+    low, high = F.least(e("y0"), e("y1")), F.greatest(e("y0"), e("y1"))
+    left, right = F.least(e("x0"), e("x1")), F.greatest(e("x0"), e("x1"))
+    slack = cell * 1e-9
+    rows = (
+        _edges(areas)
+        .withColumn("__cy", F.explode(F.sequence(geo.cell(low, cell), geo.cell(high, cell))))
+        .withColumn("__spans", (low <= F.col("__cy") * cell - slack) & (high >= (F.col("__cy") + 1) * cell + slack))
+        .groupBy("community", "__cy")
+        .agg(
+            F.collect_list(F.struct(F.col("__e").alias("e"), left.alias("left"), right.alias("right"), "__spans")).alias("__row"),
+            F.min(left).alias("__left"), F.max(right).alias("__right"),
+        )
+    )
+    begin, end = F.col("__cx") * cell - slack, (F.col("__cx") + 1) * cell + slack
+    beyond = lambda r: (r["left"] > end) & r["__spans"]
+    cells = rows.withColumn("__cx", F.explode(F.sequence(geo.cell("__left", cell), geo.cell("__right", cell)))).select(
+        "community", "__cx", "__cy", F.size(F.filter("__row", beyond)).alias("__across"),
+        F.transform(F.filter("__row", lambda r: (r["right"] >= begin) & ~beyond(r)), lambda r: r["e"]).alias("__edges"),
+    )
+    return cells.filter((F.size("__edges") > 0) | (F.col("__across") % 2 == 1))
+
+
+def _inside(x: str | Column, y: str | Column) -> Column:
+    return (F.col("__across") + geo.crossings(x, y, "__edges")) % 2 == 1
+
+
+def _near_cells(areas: DataFrame, cell: float, radius: float) -> DataFrame:
+    """``community, __cx, __cy, __near``: the cells within ``radius`` of an edge, with those edges."""
+    e = lambda f: F.col("__e").getField(f)
+    lo = lambda a, b: geo.cell(F.least(e(a), e(b)) - F.lit(radius), cell)
+    hi = lambda a, b: geo.cell(F.greatest(e(a), e(b)) + F.lit(radius), cell)
+    centre = lambda c: (F.col(c) + 0.5) * cell
     return (
-        areas.withColumn("__edges", geo.ring_edges("rings"))
-        .withColumn("__cx", F.explode(F.sequence(lo(xs), hi(xs))))
-        .withColumn("__cy", F.explode(F.sequence(lo(ys), hi(ys))))
+        _edges(areas)
+        .withColumn("__cx", F.explode(F.sequence(lo("x0", "x1"), hi("x0", "x1"))))
+        .withColumn("__cy", F.explode(F.sequence(lo("y0", "y1"), hi("y0", "y1"))))
+        # A long diagonal edge comes near few of the cells in its box.
+        .filter(
+            geo.distance_to_leg(centre("__cx"), centre("__cy"), e("x0"), e("y0"), e("x1"), e("y1"))
+            <= radius + cell * 0.7072
+        )
+        .groupBy("community", "__cx", "__cy").agg(F.collect_list("__e").alias("__near"))
     )
 
 
@@ -34,11 +85,10 @@ def points_in_areas(
     Polygons and points meet on grid cells, then ray casting decides. A point in
     no area is absent, a point in two areas appears twice.
     """
-    spread = _cells(areas.select("community", "rings"), cell).drop("rings")
     located = points.withColumn("__cx", geo.cell(x, cell)).withColumn("__cy", geo.cell(y, cell))
     return (
-        located.join(spread, ["__cx", "__cy"])
-        .filter(geo.inside(x, y, "__edges"))
+        located.join(_cells(areas, cell), ["__cx", "__cy"])
+        .filter(_inside(x, y))
         .select("community", *points.columns)
     )
 
@@ -53,10 +103,13 @@ def points_near_areas(
     areas_m: DataFrame, points_m: DataFrame, radius: float, cell: float = 1000.0
 ) -> DataFrame:
     """Points inside an area or within ``radius`` of its outline; everything in metres."""
-    spread = _cells(areas_m.select("community", "rings"), cell, pad=radius).drop("rings")
+    # Where a cell has both, points are tested once, so that none counts twice.
+    cells = _cells(areas_m, cell).join(_near_cells(areas_m, cell, radius), ["community", "__cx", "__cy"], "full")
     located = points_m.withColumn("__cx", geo.cell("x_m", cell)).withColumn("__cy", geo.cell("y_m", cell))
-    near = geo.inside("x_m", "y_m", "__edges") | (geo.distance_to_edges("x_m", "y_m", "__edges") <= radius)
-    return located.join(spread, ["__cx", "__cy"]).filter(near).select("community", *points_m.columns)
+    near = F.coalesce(_inside("x_m", "y_m"), F.lit(False)) | F.coalesce(
+        geo.distance_to_edges("x_m", "y_m", "__near") <= radius, F.lit(False)
+    )
+    return located.join(cells, ["__cx", "__cy"]).filter(near).select("community", *points_m.columns)
 
 
 def area_counts(
@@ -81,34 +134,39 @@ def area_counts(
 
 def project_rings(areas: DataFrame) -> DataFrame:
     """Areas with ring corners in metres, in the same order."""
-    corners = areas.select("community", F.posexplode("rings").alias("__ring", "__points")).select(
-        "community", "__ring", F.posexplode("__points").alias("__i", "__p")
+    corners = (
+        areas.select("community", F.posexplode("parts").alias("__part", "__rings"))
+        .select("community", "__part", F.posexplode("__rings").alias("__ring", "__points"))
+        .select("community", "__part", "__ring", F.posexplode("__points").alias("__i", "__p"))
     )
     metric = geo.with_xy(
-        corners.select("community", "__ring", "__i", F.col("__p.y").alias("lat"), F.col("__p.x").alias("lon"))
+        corners.select("community", "__part", "__ring", "__i", F.col("__p.y").alias("lat"), F.col("__p.x").alias("lon"))
     )
-    # Corners of one outline: bounded by the shape itself.
-    rings = metric.groupBy("community", "__ring").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("__i", "x_m", "y_m"))),
-            lambda p: F.struct(p["x_m"].alias("x"), p["y_m"].alias("y")),
-        ).alias("__points")
-    )
-    return rings.groupBy("community").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__ring", "__points"))), lambda r: r["__points"]).alias("rings")
+
+    def folded(df: DataFrame, keys: list[str], order: str, value: Column, out: str) -> DataFrame:
+        # Corners of one outline, rings of one part, parts of one area: bounded by the shape itself.
+        listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("i"), value.alias("v"))))
+        return df.groupBy(*keys).agg(F.transform(listed, lambda s: s["v"]).alias(out))
+
+    points = folded(
+        metric, ["community", "__part", "__ring"], "__i", F.struct(F.col("x_m").alias("x"), F.col("y_m").alias("y")), "__points"
     )
+    rings = folded(points, ["community", "__part"], "__ring", F.col("__points"), "__rings")
+    return folded(rings, ["community"], "__part", F.col("__rings"), "parts")
 
 
 def area_sizes(areas_m: DataFrame) -> DataFrame:
-    """Square metres (holes taken off) and the outline's centroid."""
-    outline = F.col("rings")[0]
-    holes = F.aggregate(
-        F.slice("rings", 2, F.greatest(F.size("rings") - 1, F.lit(0))), F.lit(0.0), lambda acc, r: acc + geo.ring_area(r)
+    """Square metres (holes taken off) and the centroid of the outlines, each part weighing as its outline's area."""
+    holes = lambda part: F.aggregate(
+        F.slice(part, 2, F.greatest(F.size(part) - 1, F.lit(0))), F.lit(0.0), lambda acc, r: acc + geo.ring_area(r)
     )
-    centre = geo.ring_centroid(outline)
+    total = lambda body: F.aggregate("parts", F.lit(0.0), lambda acc, part: acc + body(part))
+    outline = total(lambda part: geo.ring_area(part[0]))
+    centre = lambda axis: total(
+        lambda part: F.coalesce(geo.ring_area(part[0]) * geo.ring_centroid(part[0])[axis], F.lit(0.0))
+    ) / F.nullif(outline, F.lit(0.0))
     return areas_m.select(
-        "community", (geo.ring_area(outline) - holes).alias("area_m2"),
-        centre["x"].alias("centroid_x"), centre["y"].alias("centroid_y"),
+        "community", (outline - total(holes)).alias("area_m2"), centre("x").alias("centroid_x"), centre("y").alias("centroid_y")
     )
 
 
@@ -151,8 +209,8 @@ def coverage_share(
         .agg(F.min("__d").alias("__d"))
     )
     cells = (
-        _cells(areas_m.select("community", "rings"), cell_m)
-        .filter(geo.inside(centre("__cx"), centre("__cy"), "__edges"))
+        _cells(areas_m, cell_m)
+        .filter(_inside(centre("__cx"), centre("__cy")))
         .select("community", "__cx", "__cy")
     )
     shares = [

@@ -17,6 +17,8 @@ def trip_rows(matched: DataFrame, stops: DataFrame) -> DataFrame:
     A trip's placed pings sit on different legs, so they are no more than its
     pattern has legs. They and the pattern's points travel as arrays and are
     unpacked behind the shuffle: one row per trip is moved, not one per stop.
+    Joined rows are dealt by trip before they are unpacked. Without that the windows
+    that follow would sit on the partitions of the join, where one pattern is one task.
     """
     none = F.lit(None)
     row = lambda at, typ, stpid, p_stp_id, time: F.struct(
@@ -26,19 +28,22 @@ def trip_rows(matched: DataFrame, stops: DataFrame) -> DataFrame:
     )
     ping = row(F.col("seg_combined"), F.lit("B"), none, none, F.col("data_time"))
     point = row(F.col("segment"), F.col("typ"), F.col("stpid"), F.col("p_stp_id"), none)
+    day = ["data_date"] if "data_date" in matched.columns else []
     trips = matched.groupBy(*TRIP).agg(
-        F.min("rt").alias("rt"), F.min("vid").alias("vid"), F.collect_list(ping).alias("__pings")
+        F.min("rt").alias("rt"), F.min("vid").alias("vid"), *[F.min(c).alias(c) for c in day],
+        F.collect_list(ping).alias("__pings"),
     )
     patterns = stops.groupBy("pid").agg(F.collect_list(point).alias("__points"))
     return (
         trips.filter(F.size("__pings") > 1)
         .join(patterns, "pid")
-        .select(*TRIP, "rt", "vid", F.inline(F.concat("__pings", "__points")))
+        .repartition(*TRIP)
+        .select(*TRIP, "rt", "vid", *day, F.inline(F.concat("__pings", "__points")))
     )
 
 
 def interpolate_stop_times(matched: DataFrame, stops: DataFrame, anchor: str = "next") -> DataFrame:
-    """One row per trip and stop with its estimated time.
+    """One row per trip and stop with its estimated time, and the trip's ``data_date`` where pings have one.
 
     Between two pings time is shared out by distance. ``anchor="next"`` counts
     the distance up to the following row, as the published method does;
@@ -46,7 +51,7 @@ def interpolate_stop_times(matched: DataFrame, stops: DataFrame, anchor: str = "
     last ping are reached by chaining step times at the nearest known speed.
 
     All figures are differences of running sums along the trip, so the whole
-    computation is three sorts (forth, back, forth) of rows shuffled once.
+    computation is three sorts (forth, back, forth) of rows that are dealt by trip once.
     """
     if anchor not in ("next", "self"):
         raise ValueError(f"anchor must be 'next' or 'self', not {anchor!r}")
@@ -116,8 +121,9 @@ def interpolate_stop_times(matched: DataFrame, stops: DataFrame, anchor: str = "
         .when(F.col("ping_no") == F.col("__pings"), add_seconds("__from", run_out))
         .otherwise(add_seconds("__from", F.col("__gap") * share))
     )
+    day = ["data_date"] if "data_date" in rows.columns else []
     return rows.filter(is_stop).select(
-        "unique_trip_vehicle_day", "rt", "pid", F.col("vid").cast("string").alias("vid"), "stpid",
+        *day, "unique_trip_vehicle_day", "rt", "pid", F.col("vid").cast("string").alias("vid"), "stpid",
         "p_stp_id", "seg_combined", "typ", F.col("stop_sequence").cast("int").alias("stop_sequence"),
         time.alias("bus_stop_time"), "speed_mph",
     )

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from headway import constants as K
 from headway.functions import geo
 from headway.operators.pings import TRIP
 
-#: Candidates a trip may have to be walked inside one expression. A vehicle's
-#: day at one ping in five minutes stays far below; longer trips stream instead.
-FOLD_LIMIT = 4096
+#: What tells a ping from all others. An id alone may be a hash that two pings of a large table share.
+PING = (*TRIP, "data_time", "ping_id")
+
+
+def _beside(df: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows with ping keys renamed, and the condition to join them on: NULL meets NULL."""
+    condition = F.lit(True)
+    for k in PING:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return df.withColumnsRenamed({k: f"__{k}" for k in PING}), condition
 
 
 def candidate_legs(
@@ -53,81 +57,53 @@ def candidate_legs(
 
 def off_route(pings: DataFrame, candidates: DataFrame) -> DataFrame:
     """Pings with no candidate leg."""
-    return pings.join(candidates.select("ping_id").distinct(), "ping_id", "left_anti")
+    near, same = _beside(candidates.select(*PING).distinct())
+    return pings.join(near, same, "left_anti")
 
 
 def first_candidate(candidates: DataFrame) -> DataFrame:
     """The earliest leg of each ping, without regard to the other pings of its trip."""
-    return candidates.groupBy("ping_id").agg(F.min("seg_combined").alias("seg_combined"))
+    return candidates.groupBy(*PING).agg(F.min("seg_combined").alias("seg_combined"))
 
 
-def greedy_positions(candidates: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """Walk a trip's candidates by time; a ping takes the first position beyond the last one taken.
+def greedy_positions(candidates: DataFrame) -> DataFrame:
+    """Walk a trip's pings by time; each takes the first of its positions beyond the last one taken.
 
-    The walk is sequential by nature. Trips up to ``fold_limit`` candidates are
-    folded by a higher-order function; larger ones go through sorted partitions
-    as a stream that remembers only the last position, so no trip is ever held
-    whole. Both give the same rows.
+    Returns the placed pings' keys with ``seg_combined``. The walk is sequential by nature and is
+    a fold over the trip's pings, which carry numbers only. Positions taken grow strictly, so
+    the list that the fold appends to is no longer than the pattern has legs, however many pings
+    a trip has.
     """
-    fields = ["data_time", "ping_id", "seg_combined"]
-    payload = [c for c in candidates.columns if c not in (*TRIP, *fields)]
-    rows = candidates.select(*TRIP, *fields, *payload)
-    # Counted in a window on the key the fold groups by: both branches read one shuffle.
-    sized = rows.withColumn("__n", F.count(F.lit(1)).over(W.partitionBy(*TRIP)))
-    folded = _fold(sized.filter(F.col("__n") <= fold_limit).drop("__n"), fields, payload)
-    streamed = _stream(sized.filter(F.col("__n") > fold_limit).drop("__n"))
-    return folded.unionByName(streamed)
-
-
-def _fold(rows: DataFrame, fields: list[str], payload: list[str]) -> DataFrame:
-    item = F.struct(*fields, *payload)
-    trips = rows.groupBy(*TRIP).agg(F.array_sort(F.collect_list(item)).alias("__items"))
-    start = F.struct(
-        F.lit(0.0).alias("at"),
-        F.lit(None).cast(rows.schema["ping_id"].dataType).alias("ping"),
-        F.slice("__items", 1, 0).alias("taken"),
+    time, ident = (candidates.schema[c].dataType.simpleString() for c in ("data_time", "ping_id"))
+    # Dealt by trip once; both groupings below need no further shuffle.
+    rows = candidates.select(*PING, "seg_combined").repartition(*TRIP)
+    pings = rows.groupBy(*PING).agg(F.collect_set("seg_combined").alias("__at"))
+    trips = pings.groupBy(*TRIP).agg(
+        F.array_sort(F.collect_list(F.struct("data_time", "ping_id", "__at"))).alias("__pings")
     )
+    none = F.array().cast(f"array<struct<data_time:{time},ping_id:{ident},seg_combined:double>>")
 
-    def step(acc: Column, x: Column) -> Column:
-        take = (x["seg_combined"] > acc["at"]) & ~x["ping_id"].eqNullSafe(acc["ping"])
+    def step(acc: Column, ping: Column) -> Column:
+        following = F.array_min(F.filter(ping["__at"], lambda p: p > acc["at"]))
+        taken = F.struct(
+            ping["data_time"].alias("data_time"), ping["ping_id"].alias("ping_id"), following.alias("seg_combined")
+        )
         return F.when(
-            take,
-            F.struct(
-                x["seg_combined"].alias("at"), x["ping_id"].alias("ping"),
-                F.concat(acc["taken"], F.array(x)).alias("taken"),
-            ),
+            following.isNotNull(),
+            F.struct(following.alias("at"), F.concat(acc["taken"], F.array(taken)).alias("taken")),
         ).otherwise(acc)
 
-    taken = F.aggregate("__items", start, step, lambda acc: acc["taken"])
-    return trips.select(*TRIP, F.inline(taken)).select(*rows.columns)
-
-
-def _stream(rows: DataFrame) -> DataFrame:
-    ordered = rows.repartition(*TRIP).sortWithinPartitions(*TRIP, "data_time", "ping_id", "seg_combined")
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trip, at, ping = None, 0.0, None
-        for batch in batches:
-            keep = []
-            columns = zip(batch["pid"], batch["unique_trip_vehicle_day"], batch["ping_id"], batch["seg_combined"])
-            for pid, day, this, position in columns:
-                if (pid, day) != trip:
-                    trip, at, ping = (pid, day), 0.0, None
-                take = this != ping and position > at
-                if take:
-                    at, ping = position, this
-                keep.append(take)
-            yield batch[keep]
-
-    return ordered.mapInPandas(walk, rows.schema)
+    start = F.struct(F.lit(0.0).alias("at"), none.alias("taken"))
+    placed = F.aggregate("__pings", start, step, lambda acc: acc["taken"])
+    return trips.select(*TRIP, F.inline(placed))
 
 
 def match_to_legs(
     pings: DataFrame, legs: DataFrame, corridor_m: float = K.CORRIDOR_M, leg_offset: float = 0.5,
-    fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
     """Clean pings (with ``x_m, y_m``) to at most one position per ping, strictly growing per trip."""
-    return greedy_positions(candidate_legs(pings, legs, corridor_m, leg_offset), fold_limit)
+    placed, same = _beside(greedy_positions(candidate_legs(pings, legs, corridor_m, leg_offset)))
+    return pings.join(placed, same).select(*pings.columns, "seg_combined")
 
 
 def match_status(pings: DataFrame, matched: DataFrame) -> DataFrame:

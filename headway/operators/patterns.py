@@ -114,14 +114,18 @@ def near_pairs(
 def nearest_stop_points(shapes: DataFrame, stops: DataFrame, radius: float = K.SHAPE_STOP_M) -> DataFrame:
     """``(shape_id, stpid, seq, dist)``: for each shape and stop the closest shape point.
 
-    A point counts for its nearest stop only, and a stop keeps its closest point.
-    Both choices are mergeable aggregates.
+    A point counts for its nearest stop, for all of them where several are equally near, and a
+    stop keeps its closest point. Distances are the same computation for stops in one spot, so
+    these tie exactly.
     """
     pts = shapes.select("shape_id", "seq", "x_m", "y_m")
-    # Of stops in one spot only the first id can ever be nearest.
-    named = stops.groupBy("x_m", "y_m").agg(F.min("stpid").alias("stpid"))
-    pairs = near_pairs(pts, named, radius).select("shape_id", "seq", "stpid", "dist")
-    nearest = first_per_group(pairs, ["shape_id", "seq"], [F.col("dist"), F.col("stpid")])
+    # Stops in one spot are met once and told apart again afterwards.
+    named = stops.groupBy("x_m", "y_m").agg(F.collect_set("stpid").alias("__stpids"))
+    pairs = near_pairs(pts, named, radius).select("shape_id", "seq", "__stpids", "dist")
+    least = pairs.groupBy("shape_id", "seq").agg(F.min("dist").alias("dist"))
+    nearest = pairs.join(least, ["shape_id", "seq", "dist"]).select(
+        "shape_id", "seq", F.explode("__stpids").alias("stpid"), "dist"
+    )
     return first_per_group(nearest, ["shape_id", "stpid"], [F.col("dist"), F.col("seq")])
 
 

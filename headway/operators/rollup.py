@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from headway.functions.clock import floor_to
 from headway.functions.measures import wait_minutes
@@ -113,18 +113,24 @@ def busiest_pattern(visits: DataFrame) -> DataFrame:
     return first_per_group(trips, ["rt"], [-F.col("trips"), F.col("pid")])
 
 
-def sample_trips(trips: DataFrame, n: int, seed: int = 0, key: str = "trip_id") -> DataFrame:
-    """``n`` trips in a pseudo-random order fixed by the seed (a sampling operator: the limit is the point)."""
-    keys = trips.select(key).distinct()
-    return keys.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+def sample_trips(trips: DataFrame, n: int, seed: int = 0, key: str = "trip_id", by: Sequence[str] = ("rt",)) -> DataFrame:
+    """``n`` trips of each group in a pseudo-random order fixed by the seed (a sampling operator: the limit is the point).
+
+    The order is that of a checksum of trip and seed. Ranks over ``n`` are dropped before the shuffle.
+    """
+    order = W.partitionBy(*by).orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary")), key)
+    return (
+        trips.select(*by, key).distinct().withColumn("__rank", F.row_number().over(order))
+        .filter(F.col("__rank") <= n).drop("__rank")
+    )
 
 
 def trip_profiles(visits: DataFrame, n: int | None = None, seed: int = 0) -> DataFrame:
-    """Cumulative time along the trips of each route's busiest pattern, all or ``n`` sampled ones."""
+    """Cumulative time along the trips of each route's busiest pattern, all or ``n`` sampled ones per route."""
     top = busiest_pattern(visits).select("rt", "pid")
     rows = visits.join(top, ["rt", "pid"], "left_semi")
     if n is not None:
-        rows = rows.join(sample_trips(rows, n, seed), "trip_id", "left_semi")
+        rows = rows.join(sample_trips(rows, n, seed), ["rt", "trip_id"], "left_semi")
     return segment_times(rows)
 
 

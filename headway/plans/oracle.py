@@ -513,6 +513,10 @@ TOP = """top AS (SELECT rt, pid, trips FROM (SELECT *, row_number() OVER (PARTIT
 ORACLE["busiest_pattern"] = _with([VA, TOP.format(src="va")], "SELECT rt, pid, trips FROM top")
 ORACLE["trip_profiles"] = _with([VA, _timed("tm", "va"), TOP.format(src="tm_d")],
     "SELECT rt, pid, trip_id, stop_id, stop_sequence, cum_trip_time FROM tm JOIN top USING (rt, pid)")
+ORACLE["sampled_trip_profiles"] = _with([VA, _timed("tm", "va"), TOP.format(src="tm_d"),
+    """chosen AS (SELECT rt, trip_id FROM (SELECT DISTINCT rt, trip_id FROM tm JOIN top USING (rt, pid))
+  QUALIFY row_number() OVER (PARTITION BY rt ORDER BY md5(trip_id || ':7'), trip_id) <= 5)"""],
+    "SELECT rt, pid, trip_id, stop_id, stop_sequence, cum_trip_time FROM tm JOIN top USING (rt, pid) JOIN chosen USING (rt, trip_id)")
 ORACLE["median_profile"] = _with(_both(["year"], _CMS), """SELECT rt, pid, stop_id, median_actual_cum_trip_time, median_schedule_cum_trip_time
 FROM m WHERE period_value = '2024'""")
 
@@ -563,6 +567,13 @@ NEAR = f"""near AS (SELECT c.ping_id, l.segments + 5e-1 AS seg_combined FROM gxy
 ORACLE["ping_candidates"] = _with([PINGS, POINTS, *LEGS, _xy("gxy", "pings"), NEAR], "SELECT ping_id, seg_combined FROM near")
 ORACLE["off_route_pings"] = _with([PINGS, POINTS, *LEGS, _xy("gxy", "pings"), NEAR], "SELECT ping_id FROM pings WHERE ping_id NOT IN (SELECT ping_id FROM near)")
 ORACLE["match_legs"] = _with([*_PIPE, *_match("5e-1")], "SELECT ping_id, pid, trip AS unique_trip_vehicle_day, seg AS seg_combined FROM matched")
+LONG = f"""cleaned0 AS (
+  SELECT *, u - floor(u) AS fr, CAST(floor(u) AS BIGINT) AS j FROM (SELECT event_id, 5.5e-3 * (event_id % 4096) AS u FROM events WHERE (event_id // 8) % 3 = 0)),
+cleaned1 AS (
+  SELECT event_id AS ping_id, '100' AS pid, 'R0100.0long12024-01-01' AS trip, 'R0' AS rt, 1 AS vid, TIMESTAMP '2024-01-01' + to_seconds(event_id) AS data_time,
+    {_BASE_LAT.format(p='0')} + 2e-3 * u AS lat, {_BASE_LON.format(p='0')} + 1e-3 * ((j % 4) + fr * (((j + 1) % 4) - (j % 4))) AS lon FROM cleaned0)"""
+ORACLE["match_long_trip"] = _with([PINGS, POINTS, *LEGS, LONG, _xy("cleaned", "cleaned1"), *_match("5e-1")],
+    "SELECT ping_id, pid, trip AS unique_trip_vehicle_day, seg AS seg_combined FROM matched")
 STATUS = """status AS (
   SELECT pid, trip, pings, coalesce(placed, 0) AS placed, CASE coalesce(placed, 0) WHEN 0 THEN 'no_match' WHEN 1 THEN 'one_match' ELSE 'ok' END AS status
   FROM (SELECT pid, trip, count(*) AS pings FROM cleaned GROUP BY pid, trip)
@@ -592,12 +603,14 @@ SHAPES = """shp AS (
   SELECT pid, 2 * j + c + 1 AS seq, lat + CASE c WHEN 0 THEN 2e-5 * (j % 4) ELSE 1e-5 * (j % 3) END AS lat, lon, j * 700e0 AS pdist, j
   FROM pts CROSS JOIN (SELECT CAST(range AS BIGINT) AS c FROM range(2))
   WHERE CAST(pid AS BIGINT) IN (SELECT 100 + o_orderkey % 60 FROM orders))"""
-ORACLE["patterns_from_gtfs"] = _with([PINGS, POINTS, SHAPES], """SELECT lpad(s.pid, 5, '0') AS pid, s.seq, CASE WHEN p.stpid IS NULL THEN 'W' ELSE 'S' END AS typ, p.stpid, s.pdist
-FROM shp s LEFT JOIN pts p ON p.stpid IS NOT NULL AND p.lat = s.lat AND p.lon = s.lon""")
-ORACLE["nearest_stop_points"] = _with([PINGS, POINTS, SHAPES, _xy("sxy", "shp"), _xy("pxy", "pts"),
+GSTOPS = """gst AS (SELECT pid, seq, stpid, lat, lon FROM pts WHERE stpid IS NOT NULL
+  UNION ALL SELECT pid, seq, stpid || 'b', lat, lon FROM pts WHERE stpid IS NOT NULL AND seq % 9 = 4)"""
+ORACLE["patterns_from_gtfs"] = _with([PINGS, POINTS, SHAPES, GSTOPS], """SELECT lpad(s.pid, 5, '0') AS pid, s.seq, CASE WHEN p.stpid IS NULL THEN 'W' ELSE 'S' END AS typ, p.stpid, s.pdist
+FROM shp s LEFT JOIN gst p ON p.stpid IS NOT NULL AND p.lat = s.lat AND p.lon = s.lon""")
+ORACLE["nearest_stop_points"] = _with([PINGS, POINTS, SHAPES, GSTOPS, _xy("sxy", "shp"), _xy("pxy", "gst"),
     """prs AS (SELECT s.pid, s.seq, p.stpid, sqrt((s.x_m - p.x_m) ** 2 + (s.y_m - p.y_m) ** 2) AS d FROM sxy s JOIN pxy p
   ON p.stpid IS NOT NULL AND p.seq > 2 AND abs(s.lat - p.lat) < 1e-3 WHERE sqrt((s.x_m - p.x_m) ** 2 + (s.y_m - p.y_m) ** 2) <= 5)""",
-    "n1 AS (SELECT * FROM prs QUALIFY row_number() OVER (PARTITION BY pid, seq ORDER BY d, stpid) = 1)",
+    "n1 AS (SELECT * FROM prs QUALIFY d = min(d) OVER (PARTITION BY pid, seq))",
     "n2 AS (SELECT * FROM n1 QUALIFY row_number() OVER (PARTITION BY pid, stpid ORDER BY d, seq) = 1)"],
     """SELECT lpad(s.pid, 5, '0') AS pid, s.seq, CASE WHEN n2.stpid IS NULL THEN 'W' ELSE 'S' END AS typ, n2.stpid, 'stop ' || n2.stpid AS stpnm
 FROM shp s LEFT JOIN n2 ON n2.pid = s.pid AND n2.seq = s.seq""")
@@ -619,6 +632,7 @@ def _scatter(name: str, key: str, source: str, extra: str) -> str:
 # Plain shape tests in place of ray casting.
 _IN_AREA = """lon > x0 AND lon < x0 + 5e-2 AND lat > y0 AND lat < y0 + 5e-2
   AND NOT (kind = 0 AND lon > x0 + 2.5e-2 AND lat > y0 + 2.5e-2)
+  AND NOT (kind = 2 AND lon > x0 + 2e-2 AND lon < x0 + 3e-2)
   AND NOT (kind = 1 AND lon > x0 + 1.25e-2 AND lon < x0 + 3.75e-2 AND lat > y0 + 1.25e-2 AND lat < y0 + 3.75e-2)"""
 ASTOPS = _scatter("astop", "s_suppkey", "supplier", "CAST(s_suppkey AS VARCHAR) AS stop_id")
 TRACTS = _scatter("tract", "c_custkey", "customer", "c_custkey % 1000 AS pop")
@@ -627,7 +641,8 @@ CORNERS = """corner AS (
     (0, 0, 0, 0e0, 0e0), (0, 0, 1, 5e-2, 0e0), (0, 0, 2, 5e-2, 2.5e-2), (0, 0, 3, 2.5e-2, 2.5e-2), (0, 0, 4, 2.5e-2, 5e-2), (0, 0, 5, 0e0, 5e-2),
     (1, 0, 0, 0e0, 0e0), (1, 0, 1, 5e-2, 0e0), (1, 0, 2, 5e-2, 5e-2), (1, 0, 3, 0e0, 5e-2),
     (1, 1, 0, 1.25e-2, 1.25e-2), (1, 1, 1, 3.75e-2, 1.25e-2), (1, 1, 2, 3.75e-2, 3.75e-2), (1, 1, 3, 1.25e-2, 3.75e-2),
-    (2, 0, 0, 0e0, 0e0), (2, 0, 1, 5e-2, 0e0), (2, 0, 2, 5e-2, 5e-2), (2, 0, 3, 0e0, 5e-2)) AS c(kind, ring, i, dx, dy) USING (kind))"""
+    (2, 0, 0, 0e0, 0e0), (2, 0, 1, 2e-2, 0e0), (2, 0, 2, 2e-2, 5e-2), (2, 0, 3, 0e0, 5e-2),
+    (2, 2, 0, 3e-2, 0e0), (2, 2, 1, 5e-2, 0e0), (2, 2, 2, 5e-2, 5e-2), (2, 2, 3, 3e-2, 5e-2)) AS c(kind, ring, i, dx, dy) USING (kind))"""
 EDGES = [
     CORNERS, _xy("cxy", "corner"),
     """edge AS (SELECT community, ring, x_m AS x0, y_m AS y0,
@@ -646,10 +661,13 @@ ORACLE["stops_per_capita"] = _with([AREAS, TRACTS, ASTOPS], f"""SELECT community
   SELECT community, CAST(coalesce((SELECT sum(pop) FROM tract WHERE {_IN_AREA}), 0) AS BIGINT) AS pop,
     (SELECT count(*) FROM astop WHERE {_IN_AREA}) AS n_stops FROM area)""")
 ORACLE["area_sizes"] = _with([AREAS, TRACTS, *EDGES], f"""SELECT community, round(area_m2, 1) AS area_m2, round(cx, 1) AS centroid_x, round(cy, 1) AS centroid_y, pop FROM (
-  SELECT community, abs(sum(CASE WHEN ring = 0 THEN x0 * y1 - x1 * y0 ELSE 0 END)) / 2 - abs(sum(CASE WHEN ring = 1 THEN x0 * y1 - x1 * y0 ELSE 0 END)) / 2 AS area_m2,
-    sum(CASE WHEN ring = 0 THEN (x0 + x1) * (x0 * y1 - x1 * y0) END) / (3 * sum(CASE WHEN ring = 0 THEN x0 * y1 - x1 * y0 END)) AS cx,
-    sum(CASE WHEN ring = 0 THEN (y0 + y1) * (x0 * y1 - x1 * y0) END) / (3 * sum(CASE WHEN ring = 0 THEN x0 * y1 - x1 * y0 END)) AS cy
-  FROM edge GROUP BY community)
+  SELECT community, sum(CASE ring WHEN 1 THEN -a ELSE a END) AS area_m2,
+    sum(CASE WHEN ring <> 1 THEN a * cx END) / sum(CASE WHEN ring <> 1 THEN a END) AS cx,
+    sum(CASE WHEN ring <> 1 THEN a * cy END) / sum(CASE WHEN ring <> 1 THEN a END) AS cy
+  FROM (SELECT community, ring, abs(sum(x0 * y1 - x1 * y0)) / 2 AS a,
+      sum((x0 + x1) * (x0 * y1 - x1 * y0)) / (3 * sum(x0 * y1 - x1 * y0)) AS cx,
+      sum((y0 + y1) * (x0 * y1 - x1 * y0)) / (3 * sum(x0 * y1 - x1 * y0)) AS cy
+    FROM edge GROUP BY community, ring) GROUP BY community)
 JOIN (SELECT community, CAST(coalesce(sum(pop), 0) AS BIGINT) AS pop FROM area LEFT JOIN tract ON {_IN_AREA} GROUP BY community) USING (community)""")
 ORACLE["coverage_share"] = _with([AREAS, ASTOPS, *EDGES, _xy("sxy", "astop"),
     """box AS (SELECT community, min(floor(x_m / 100)) AS a, max(floor(x_m / 100)) AS b, min(floor(y_m / 100)) AS c, max(floor(y_m / 100)) AS d FROM cxy GROUP BY community)""",

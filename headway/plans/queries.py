@@ -332,7 +332,7 @@ def trip_profiles(spark, sf):
 
 @query
 def sampled_trip_profiles(spark, sf):
-    p = R.trip_profiles(V.daytime(T.visits_actual(spark, sf)), n=100, seed=7)
+    p = R.trip_profiles(V.daytime(T.visits_actual(spark, sf)), n=5, seed=7)
     return p.select("rt", "pid", "trip_id", "stop_id", "stop_sequence", "cum_trip_time")
 
 
@@ -490,7 +490,8 @@ def ping_candidates(spark, sf):
 @query
 def first_candidates(spark, sf):
     xy = geo.with_xy(_keyed(spark, sf))
-    return matching.first_candidate(matching.candidate_legs(xy, _geometry(spark, sf)[1]))
+    first = matching.first_candidate(matching.candidate_legs(xy, _geometry(spark, sf)[1]))
+    return first.select("ping_id", "seg_combined")
 
 
 @query
@@ -506,6 +507,14 @@ def match_legs(spark, sf):
     return m.select("ping_id", "pid", "unique_trip_vehicle_day", "seg_combined")
 
 
+@query
+def match_long_trip(spark, sf):
+    """A third of all pings as one trip that never ends."""
+    keyed = geo.with_xy(PG.key_trips(T.long_trip(spark, sf)))
+    m = matching.match_to_legs(keyed, _geometry(spark, sf)[1])
+    return m.select("ping_id", "pid", "unique_trip_vehicle_day", "seg_combined")
+
+
 @query
 def match_status(spark, sf):
     c, m = _matched(spark, sf)
@@ -947,4 +956,4 @@ def incomplete_feeds(spark, sf):
 @query
 def streamed_hourly_pings(spark, sf):
     """The feed as a stream: pings per route and hour once all files are in."""
-    return feed.replay_hourly(spark, f"{sf}/events.parquet", lambda events: T.snapshots_of(events))
+    return feed.replay_hourly(spark, T.table(spark, sf, "events"), T.snapshots_of)

@@ -88,6 +88,21 @@ def pings_of(events: DataFrame) -> DataFrame:
     )
 
 
+def long_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """All pings of pattern 100 as one trip, a second apart, slowly along the path and back to its start every 4096."""
+    e = table(spark, sf, "events").filter(F.expr("event_id div 8") % 3 == 0)
+    u = F.lit(0.0055) * (F.col("event_id") % 4096)
+    fr, j = u - F.floor(u), F.floor(u)
+    zigzag = (j % 4) + fr * (((j + 1) % 4) - (j % 4))
+    return e.select(
+        F.col("event_id").alias("ping_id"), F.lit(1).cast("long").alias("vid"),
+        (_base_lat(F.lit(0)) + F.lit(0.002) * u).alias("lat"), (_base_lon(F.lit(0)) + F.lit(0.001) * zigzag).alias("lon"),
+        F.lit(100.0).alias("pid"), F.lit("R0").alias("rt"), F.lit("long").alias("tatripid"),
+        F.timestamp_add("SECOND", F.col("event_id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("data_time"),
+        F.lit("2024-01-01").cast("date").alias("data_date"),
+    )
+
+
 def pattern_numbers(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select(F.expr("event_id div 8").alias("t"))
     return e.select(_pattern_number(F.col("t")).alias("p")).distinct()
@@ -207,7 +222,7 @@ def reused_timetable(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def areas(spark: SparkSession, sf: str) -> DataFrame:
-    """One area per nation on a 5 x 5 grid: an L (n % 3 = 0), a frame with a hole (1) or a rectangle (2)."""
+    """One area per nation on a 5 x 5 grid: an L (n % 3 = 0), a frame with a hole (1) or two strips apart (2)."""
     n = F.col("n_nationkey")
     x0 = F.lit(-87.8) + F.lit(0.05) * (n % 5)
     y0 = F.lit(41.7) + F.lit(0.05) * F.floor(n / 5)
@@ -215,9 +230,14 @@ def areas(spark: SparkSession, sf: str) -> DataFrame:
     full = F.array(at(0.0, 0.0), at(0.05, 0.0), at(0.05, 0.05), at(0.0, 0.05))
     ell = F.array(at(0.0, 0.0), at(0.05, 0.0), at(0.05, 0.025), at(0.025, 0.025), at(0.025, 0.05), at(0.0, 0.05))
     hole = F.array(at(0.0125, 0.0125), at(0.0375, 0.0125), at(0.0375, 0.0375), at(0.0125, 0.0375))
-    rings = F.when(n % 3 == 0, F.array(ell)).when(n % 3 == 1, F.array(full, hole)).otherwise(F.array(full))
+    strip = lambda a, b: F.array(at(a, 0.0), at(b, 0.0), at(b, 0.05), at(a, 0.05))
+    parts = (
+        F.when(n % 3 == 0, F.array(F.array(ell)))
+        .when(n % 3 == 1, F.array(F.array(full, hole)))
+        .otherwise(F.array(F.array(strip(0.0, 0.02)), F.array(strip(0.03, 0.05))))
+    )
     based = table(spark, sf, "nation").select(n, F.col("n_name"), x0.alias("x0"), y0.alias("y0"))
-    return based.select(F.col("n_name").alias("community"), rings.alias("rings"))
+    return based.select(F.col("n_name").alias("community"), parts.alias("parts"))
 
 
 def _scatter(key: str) -> tuple[Column, Column]:
@@ -286,9 +306,13 @@ def gtfs_shapes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gtfs_stops(spark: SparkSession, sf: str) -> DataFrame:
+    """The patterns' stops; every ninth point has a second stop in the same spot."""
     pts = pattern_points(spark, sf).filter(F.col("typ") == "S")
-    return pts.select(
-        F.col("stpid").alias("stop_id"), F.col("stpnm").alias("stop_name"),
+    here = F.struct(F.col("stpid").alias("id"), F.col("stpnm").alias("name"))
+    twin = F.struct(F.concat("stpid", F.lit("b")).alias("id"), F.concat("stpnm", F.lit("b")).alias("name"))
+    both = F.when(F.col("seq") % 9 == 4, F.array(here, twin)).otherwise(F.array(here))
+    return pts.withColumn("both", both).select("*", F.explode("both").alias("one")).select(
+        F.col("one.id").alias("stop_id"), F.col("one.name").alias("stop_name"),
         F.col("lat").cast("string").alias("stop_lat"), F.col("lon").cast("string").alias("stop_lon"),
         F.when(F.col("seq") == 1, "1").otherwise("0").alias("location_type"),
         F.when(F.col("seq") == 2, F.lit("hub")).alias("parent_station"),

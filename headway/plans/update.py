@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from headway.operators.audit import run_stats
 from headway.operators.metrics import metrics_state, stop_metrics_both
@@ -11,24 +11,29 @@ from headway.plans.process import stop_times
 from headway.sources.writers import publish, write_partitioned
 
 
+def service_date(data_date: Column) -> Column:
+    """The day of data as a date, from a date or from text in either usual form; any other value fails the run."""
+    text = data_date.cast("string")
+    day = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "yyyyMMdd"))
+    return F.when(day.isNull(), F.raise_error(F.concat(F.lit("no service date in "), F.coalesce(text, F.lit("NULL"))))).otherwise(day)
+
+
 def new_days(pings: DataFrame, held: DataFrame | None) -> DataFrame:
     """Pings of days the stop-time table does not hold yet."""
     if held is None:
         return pings
     days = held.select(F.col("service_date").alias("__held")).distinct()
-    return pings.join(days, F.to_date("data_time") == F.col("__held"), "left_anti")
+    return pings.join(days, service_date(F.col("data_date")) == F.col("__held"), "left_anti")
 
 
 def append_stop_times(spark: SparkSession, pings: DataFrame, points: DataFrame, path: str) -> DataFrame:
     """Process pings of new days and write them as partitions by service date.
 
-    A day is replaced as a whole, so a second run of the same input leaves the
-    table as it is. Returns the run's figures.
+    The service date is the pings' ``data_date``, carried along with the trip. A day is replaced
+    as a whole, so a second run of the same input leaves the table as it is. Returns the run's figures.
     """
     done = stop_times(pings, points).stop_times
-    # The service date is the trip's day of data: the first passing time known.
-    dated = done.withColumn("service_date", F.right("unique_trip_vehicle_day", F.lit(10)).try_cast("date"))
-    write_partitioned(dated, path, ["service_date"], files_per_key=8)
+    write_partitioned(done.withColumn("service_date", service_date(F.col("data_date"))).drop("data_date"), path, ["service_date"])
     return run_stats(spark.read.parquet(path))
 
 

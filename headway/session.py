@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,25 +37,30 @@ def local_session(cpus: int = 8, memory: str = "8g", **more: str) -> SparkSessio
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only in a local session without one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="headway-")
+    """A folder all executors share: ``spark.checkpoint.dir``, or where that is unset one in the warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_headway"
 
 
 def run_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    """A new folder below the shared one, removed when the application ends."""
+    mine = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    _removed_at_exit(spark, mine)
+    return f"{mine}/{uuid.uuid4().hex}"
+
+
+def _removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system drop a folder when the driver's JVM ends."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    files.deleteOnExit(where)
 
 
 def staged(df: DataFrame) -> DataFrame:
     """The same rows, computed once and read back from the shared folder.
 
     For results that several later steps read: without it each of them would run
-    everything before it again. Files outlive lost executors.
+    everything before it again. Files outlive lost executors and go with the application.
     """
     path = f"{run_folder(df.sparkSession)}/stage"
     df.write.parquet(path)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -67,18 +69,33 @@ def read_pattern_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PATTERN_POINTS).parquet(path)
 
 
-def read_gtfs(spark: SparkSession, feed_dir: str, table: str, feed_id: str | None = None) -> DataFrame:
-    """A GTFS text table of one extracted feed, all strings, absent columns NULL.
+def read_gtfs(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A GTFS text table of all extracted feeds below ``root``, all strings, absent columns NULL.
 
-    Columns are taken by header name, since feeds order them differently.
+    A feed is the folder its files lie in; its name becomes ``feed_id``. Columns are taken by header
+    name, since feeds order them differently: files with equal headers are one scan, so there are as
+    many scans as there are different headers, however many feeds.
     """
-    raw = spark.read.option("header", True).csv(f"{feed_dir}/{table}.txt")
-    have = {c.strip().lstrip("﻿"): c for c in raw.columns}
-    cols = [
-        (F.col(f"`{have[f.name]}`") if f.name in have else F.lit(None).cast("string")).alias(f.name)
-        for f in schemas.GTFS[table].fields
-    ]
-    return raw.select(F.lit(feed_id).cast("string").alias("feed_id"), *cols)
+    fields = schemas.GTFS[table].fields
+    # A header is the line that holds two of the names; rows of data hold none.
+    names = F.transform(F.split("value", ","), lambda c: F.trim(F.translate(c, '\ufeff"\r', "")))
+    known = F.array_intersect(names, F.array(*[F.lit(f.name) for f in fields]))
+    files = spark.read.text(f"{root}/*/{table}.txt").filter(F.size(known) >= 2).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("header")
+    )
+    scans = []
+    # One entry per feed and table: names and headers, not contents.
+    for group in files.groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
+        raw = spark.read.option("header", True).csv([unquote(p) for p in group["paths"]])
+        have = {c.strip().lstrip("\ufeff"): c for c in raw.columns}
+        cols = [
+            (F.col(f"`{have[f.name]}`") if f.name in have else F.lit(None).cast("string")).alias(f.name) for f in fields
+        ]
+        feed = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("feed_id")
+        scans.append(raw.select(feed, *cols))
+    if not scans:
+        raise FileNotFoundError(f"no {table}.txt in the folders of {root}")
+    return reduce(DataFrame.unionByName, scans)
 
 
 def feed_tables(spark: SparkSession, root: str) -> DataFrame:
@@ -114,18 +131,14 @@ def read_feed_versions(spark: SparkSession, path: str, since: str) -> DataFrame:
 
 
 def polygons(features: DataFrame, name: str = "community") -> DataFrame:
-    """GeoJSON features to ``(community, rings)``; each part of a multipolygon is a row of its own."""
+    """GeoJSON features to ``(community, parts)``, one row per feature with a polygon or several."""
     kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
     parts = F.when(
         kind == "MultiPolygon", F.from_json(text, "array<array<array<array<double>>>>")
     ).when(kind == "Polygon", F.array(F.from_json(text, "array<array<array<double>>>")))
-    rings = F.transform(
-        F.col("__part"),
-        lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))),
-    )
-    return features.select(
-        F.col("properties")[name].alias("community"), F.explode(parts).alias("__part")
-    ).select("community", rings.alias("rings"))
+    corner = lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))
+    named = F.transform(parts, lambda part: F.transform(part, lambda ring: F.transform(ring, corner)))
+    return features.select(F.col("properties")[name].alias("community"), named.alias("parts")).filter("parts IS NOT NULL")
 
 
 def read_areas(spark: SparkSession, path: str, name: str = "community") -> DataFrame:

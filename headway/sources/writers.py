@@ -9,17 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from headway.functions.keys import normal_pid
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], files_per_key: int = 1) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace the partitions present in ``df`` and leave all others.
 
-    Rows are spread by key plus a salt of ``files_per_key`` values, so a key
-    holding much of the data is written by several tasks and a small key does not
-    leave a file per task.
+    Rows are rebalanced by key: adaptive execution cuts a key holding much of the data into several
+    tasks of the advisory size and puts small keys together, whatever their number.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in by]), F.lit(files_per_key))
-    spread = df.repartition(*by, salt) if files_per_key > 1 else df.repartition(*by)
     (
-        spread.write.mode("overwrite")
+        df.hint("rebalance", *by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)

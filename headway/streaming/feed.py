@@ -1,8 +1,9 @@
 """The landing folder of polls as a stream.
 
 The feed is polled every few minutes and each poll lands as one JSON file. The
-stream runs the batch transformations on newly landed files and keeps hourly
-counts; its figures equal the batch ones.
+stream runs the batch transformations on newly landed files, writes every ping and
+recounts the hours of the days it touched. Nothing is dropped for coming in late, so
+its figures equal the batch ones whatever the order of the files.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.pings import explode_snapshots, key_trips
 from headway.session import run_folder
+from headway.sources.writers import write_partitioned
 
 
 def snapshot_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -25,52 +27,53 @@ def snapshot_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
     return docs.select("value", F.col("_metadata.file_path").alias("scrape_file"))
 
 
-def keyed_pings(docs: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Keyed pings of a stream of documents; a vehicle seen twice in one minute counts once.
-
-    Watermarks need an instant, so the naive feed time is read as UTC throughout.
-    """
+def keyed_pings(docs: DataFrame) -> DataFrame:
+    """Keyed pings of documents, batch or stream, repeats included."""
     pings, _ = explode_snapshots(docs)
-    keyed = key_trips(pings.filter(F.col("data_time").isNotNull()))
-    return (
-        keyed.withColumn("event_time", F.col("data_time").cast("timestamp"))
-        .withWatermark("event_time", late)
-        .dropDuplicatesWithinWatermark(["vid", "tmstmp"])
-    )
+    return key_trips(pings.filter(F.col("data_time").isNotNull()))
 
 
 def hourly_pings(pings: DataFrame) -> DataFrame:
-    """Pings per route and clock hour, emitted once the watermark passes the hour."""
+    """Pings per day, clock hour and route; a vehicle seen twice in one minute counts once."""
     return (
-        pings.groupBy(F.window("event_time", "1 hour").alias("w"), "rt")
+        pings.dropDuplicates(["vid", "tmstmp"])
+        .groupBy("data_date", F.date_format("data_time", "yyyy-MM-dd HH").alias("hour"), "rt")
         .agg(F.count(F.lit(1)).alias("pings"))
-        .select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "rt", "pings")
     )
 
 
-def run_once(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Process what has landed, then stop. State and progress live in ``checkpoint``."""
+def merge_batch(batch: DataFrame, number: int, base: str) -> None:
+    """Write one micro-batch's pings and recount the days it touched.
+
+    Pings land under (day, batch), so a batch that is run again replaces itself. Counts of a day are
+    replaced as a whole, out of all pings of that day.
+    """
+    spark = batch.sparkSession
+    rows = batch.select("vid", "tmstmp", "rt", "data_time", "data_date")
+    write_partitioned(rows.withColumn("batch", F.lit(number)), f"{base}/pings", ["data_date", "batch"])
+    held = spark.read.parquet(f"{base}/pings")
+    touched = held.filter(F.col("batch") == number).select("data_date").distinct()
+    counts = hourly_pings(held.join(touched, "data_date", "left_semi"))
+    write_partitioned(counts, f"{base}/hours", ["data_date"])
+
+
+def run_once(pings: DataFrame, base: str) -> StreamingQuery:
+    """Process what has landed, then stop. Progress lives in ``base``, so the next run goes on from there."""
     return (
-        df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start(out)
+        pings.writeStream.foreachBatch(lambda batch, number: merge_batch(batch, number, base))
+        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     )
 
 
 def replay_hourly(
-    spark: SparkSession, table: str, to_documents: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, table: DataFrame, to_documents: Callable[[DataFrame], DataFrame], files: int = 5
 ) -> DataFrame:
-    """Stream a table's files through the feed and count what came out per hour and route.
+    """Land a table as files, stream them one per micro-batch and return the hourly counts.
 
-    The stream writes each ping once; hours still open when it stops are counted
-    from what it wrote, so the figures are complete.
+    Files are dealt by hash, so every batch brings rows of all hours and most of them late.
     """
-    folder, name = table.rsplit("/", 1)
-    rows = spark.readStream.schema(spark.read.parquet(table).schema).option("pathGlobFilter", name).parquet(folder)
-    pings = keyed_pings(to_documents(rows)).select("rt", "vid", "tmstmp", "data_time")
     base = run_folder(spark)
-    run_once(pings, f"{base}/pings", f"{base}/checkpoint").awaitTermination()
-    return (
-        spark.read.parquet(f"{base}/pings")
-        .groupBy(F.date_format("data_time", "yyyy-MM-dd HH").alias("hour"), "rt")
-        .agg(F.count(F.lit(1)).alias("pings"))
-    )
+    table.repartition(files, F.xxhash64(*table.columns)).write.parquet(f"{base}/landing")
+    rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
+    run_once(keyed_pings(to_documents(rows)), base).awaitTermination()
+    return spark.read.parquet(f"{base}/hours").select("hour", "rt", "pings")

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from headway.operators import areas as A, audit, qc, reach as RC
 from tests.conftest import rows
 
-RING = "array<array<struct<x double, y double>>>"
+PARTS = "array<array<array<struct<x double, y double>>>>"
 
 
 def _areas(spark):
     square = lambda x0: [[{"x": x0 + dx, "y": dy} for dx, dy in ((0.0, 0.0), (0.02, 0.0), (0.02, 0.02), (0.0, 0.02))]]
-    return spark.createDataFrame([("west", square(0.0)), ("east", square(0.05)), ("empty", square(9.0))], f"community string, rings {RING}")
+    return spark.createDataFrame([("west", [square(0.0)]), ("east", [square(0.05)]), ("empty", [square(9.0)])], f"community string, parts {PARTS}")
 
 
 def test_points_in_areas_keep_empty_areas(spark):
@@ -21,9 +21,74 @@ def test_points_in_areas_keep_empty_areas(spark):
         assert rows(got) == [("east", "b"), ("empty", None), ("west", "a")]
 
 
+def _random_areas(spark, chance):
+    """Stars with holes and second parts, and a plain test for points."""
+    import math
+
+    def star(x, y, r, n):
+        return [(x + r * (0.5 + 0.5 * chance.random()) * math.cos(2 * math.pi * i / n), y + r * (0.5 + 0.5 * chance.random()) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+
+    areas = {}
+    for i in range(6):
+        x, y = chance.uniform(0, 3), chance.uniform(0, 3)
+        areas[f"a{i}"] = [[star(x, y, 1.0, 9 + i), star(x, y, 0.2, 5)], [star(x + 3.0, y, 0.6, 7)]]
+    data = [(k, [[[{"x": p, "y": q} for p, q in ring] for ring in part] for part in parts]) for k, parts in areas.items()]
+
+    def inside(parts, px, py):
+        odd = False
+        for part in parts:
+            for ring in part:
+                for (x0, y0), (x1, y1) in zip(ring, ring[1:] + ring[:1]):
+                    if (y0 > py) != (y1 > py) and px < (x1 - x0) * (py - y0) / (y1 - y0) + x0:
+                        odd = not odd
+        return odd
+
+    return spark.createDataFrame(data, f"community string, parts {PARTS}"), areas, inside
+
+
+def test_points_in_areas_of_several_parts(spark):
+    import random
+
+    chance = random.Random(8)
+    df, areas, inside = _random_areas(spark, chance)
+    pts = [(i, chance.uniform(-1, 8), chance.uniform(-1, 5)) for i in range(3000)]
+    points = spark.createDataFrame(pts, "id long, lon double, lat double")
+    want = sorted((k, i) for k, parts in areas.items() for i, x, y in pts if inside(parts, x, y))
+    for cell in (0.05, 0.3, 20.0):
+        got = sorted((r.community, r.id) for r in A.points_in_areas(df, points, cell=cell).select("community", "id").collect())
+        assert got == want
+    near = A.points_near_areas(df, points.withColumnsRenamed({"lon": "x_m", "lat": "y_m"}), 0.1, cell=0.4)
+
+    def close(parts, px, py):
+        def leg(a, b):
+            (x0, y0), (x1, y1) = a, b
+            l2 = (x1 - x0) ** 2 + (y1 - y0) ** 2
+            t = max(0.0, min(1.0, ((px - x0) * (x1 - x0) + (py - y0) * (y1 - y0)) / l2))
+            return ((px - x0 - t * (x1 - x0)) ** 2 + (py - y0 - t * (y1 - y0)) ** 2) ** 0.5
+
+        return min(leg(a, b) for part in parts for ring in part for a, b in zip(ring, ring[1:] + ring[:1])) <= 0.1
+
+    want = sorted((k, i) for k, parts in areas.items() for i, x, y in pts if inside(parts, x, y) or close(parts, x, y))
+    assert sorted((r.community, r.id) for r in near.select("community", "id").collect()) == want
+
+
+def test_sizes_add_up_over_parts(spark):
+    square = lambda x, s: [{"x": x, "y": 0.0}, {"x": x + s, "y": 0.0}, {"x": x + s, "y": s}, {"x": x, "y": s}]
+    parts = [[square(0.0, 2.0), square(0.5, 1.0)], [square(10.0, 1.0)]]
+    r = A.area_sizes(spark.createDataFrame([("c", parts)], f"community string, parts {PARTS}")).first()
+    assert (r.area_m2, r.centroid_x, r.centroid_y) == (4.0, (4 * 1.0 + 10.5) / 5, (4 * 1.0 + 0.5) / 5)
+
+
+def test_cells_within_an_area_carry_no_edges(spark):
+    big = spark.createDataFrame([("c", [[[{"x": x, "y": y} for x, y in ((0.0, 0.0), (50.0, 0.0), (50.0, 50.0), (0.0, 50.0))]]])], f"community string, parts {PARTS}")
+    cells = A._cells(big, 1.0)
+    assert cells.filter(F.size("__edges") == 0).count() > 2000
+    assert cells.agg(F.sum(F.size("__edges"))).first()[0] < 1000
+
+
 def test_coverage_counts_cells_near_a_stop(spark):
     ring = [[{"x": float(x), "y": float(y)} for x, y in ((0, 0), (1000, 0), (1000, 1000), (0, 1000))]]
-    areas = spark.createDataFrame([("c", ring)], f"community string, rings {RING}")
+    areas = spark.createDataFrame([("c", [ring])], f"community string, parts {PARTS}")
     stops = spark.createDataFrame([(50.0, 50.0)] * 3, "x_m double, y_m double")
     got = A.coverage_share(areas, stops, blocks=(1, 2), block_m=100.0, cell_m=100.0).first()
     brute = lambda r: sum(((x * 100) ** 2 + (y * 100) ** 2) ** 0.5 <= r for x in range(10) for y in range(10)) / 100

@@ -74,3 +74,27 @@ def test_times_never_fall_with_corrected_anchor(spark):
     got, _ = run(spark, pings, "self")
     times = [got[s] for s in ("s0", "s1", "s2", "s4", "s5")]
     assert times == sorted(times)
+
+
+def test_windows_do_not_sit_on_the_pattern_join(spark):
+    """A pattern with a third of all trips must not be one task: rows are dealt by trip behind the join."""
+    import datetime as dt
+    import re
+
+    matched = spark.createDataFrame(
+        [("1", f"t{i}", "R", 1, dt.datetime(2024, 1, 1), k + 0.5, 0.0, 1.0 * k) for i in range(4) for k in range(3)],
+        "pid string, unique_trip_vehicle_day string, rt string, vid int, data_time timestamp_ntz, seg_combined double, x_m double, y_m double",
+    )
+    stops = spark.createDataFrame(
+        [("1", k, "S", f"s{k}", f"1-s{k}", 0.0, 1.0 * k) for k in range(4)],
+        "pid string, segment int, typ string, stpid string, p_stp_id string, x_m double, y_m double",
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = I.interpolate_stop_times(matched, stops)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    top = plan[: plan.index("SortMergeJoin")]
+    assert re.search(r"Exchange hashpartitioning\(pid#\d+, unique_trip_vehicle_day#\d+", top)
+    assert top.count("Exchange") == 1 and top.index("Window") < top.index("Exchange")

@@ -21,10 +21,17 @@ def test_ping_csv_has_declared_types(spark, tmp_path):
     assert (r.vid, r.pid, r.dly, r.unique_trip_vehicle_day) == (7, "95", False, "995.01272024-01-01")
 
 
-def test_gtfs_by_header_name(spark, tmp_path):
-    (tmp_path / "trips.txt").write_text("trip_id,route_id,extra\nt1,9,z\n")
-    r = readers.read_gtfs(spark, str(tmp_path), "trips", "f1").first()
-    assert (r.feed_id, r.route_id, r.trip_id, r.shape_id) == ("f1", "9", "t1", None)
+def test_gtfs_of_many_feeds_by_header_name(spark, tmp_path):
+    files = {"f1": "trip_id,route_id,extra\nt1,9,z\n", "f 2": "\ufeffroute_id,trip_id,shape_id\r\n7,t2,s\r\n", "f3": "trip_id,route_id,extra\nt3,8,y\n"}
+    for feed_id, text in files.items():
+        (tmp_path / feed_id).mkdir()
+        (tmp_path / feed_id / "trips.txt").write_text(text)
+    got = readers.read_gtfs(spark, str(tmp_path), "trips").select("feed_id", "route_id", "trip_id", "shape_id")
+    assert rows(got) == [("f%202", "7", "t2", "s"), ("f1", "9", "t1", None), ("f3", "8", "t3", None)] or rows(got) == [
+        ("f 2", "7", "t2", "s"), ("f1", "9", "t1", None), ("f3", "8", "t3", None)
+    ]
+    with pytest.raises(Exception):
+        readers.read_gtfs(spark, str(tmp_path), "stops")
 
 
 def test_incomplete_feeds(spark, tmp_path):
@@ -57,8 +64,8 @@ def test_geojson_polygons(spark, tmp_path):
     ]
     (tmp_path / "a.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
     got = readers.read_areas(spark, str(tmp_path / "a.geojson"))
-    assert sorted(r.community for r in got.collect()) == ["A", "B", "B"]
-    assert [(p.x, p.y) for p in got.filter("community = 'A'").first().rings[0]] == [(0, 0), (1, 0), (1, 1), (0, 0)]
+    assert sorted((r.community, len(r.parts)) for r in got.collect()) == [("A", 1), ("B", 2)]
+    assert [(p.x, p.y) for p in got.filter("community = 'A'").first().parts[0][0]] == [(0, 0), (1, 0), (1, 1), (0, 0)]
 
 
 def test_snapshot_files(spark, tmp_path):
@@ -70,7 +77,7 @@ def test_snapshot_files(spark, tmp_path):
 def test_partitioned_write_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.range(100).withColumn("day", (F.col("id") % 4).cast("int"))
-    writers.write_partitioned(first, path, ["day"], files_per_key=3)
+    writers.write_partitioned(first, path, ["day"])
     batch = first.filter("day = 2").withColumn("id", F.col("id") + 1000)
     for _ in range(2):
         writers.write_partitioned(batch, path, ["day"])
@@ -118,6 +125,18 @@ def test_incremental_run(spark, sf, tmp_path):
     full = update.append_stop_times(spark, keyed, points, path).first()
     again = update.append_stop_times(spark, keyed, points, path).first()
     assert one.total_rows < full.total_rows == again.total_rows
+    # Text dates of another form, and ids that end in no date, find the same days.
+    other = str(tmp_path / "other")
+    texted = keyed.withColumns({
+        "data_date": F.date_format("data_date", "yyyyMMdd"),
+        "unique_trip_vehicle_day": F.concat(F.col("unique_trip_vehicle_day"), F.lit("-x")),
+    })
+    for part in ("data_date < '20240115'", "data_date >= '20240115'"):
+        update.append_stop_times(spark, texted.filter(part), points, other)
+    days = lambda p: rows(spark.read.parquet(p).groupBy(F.col("service_date").cast("string")).count())
+    assert days(other) == days(path)
+    with pytest.raises(Exception, match="no service date"):
+        update.append_stop_times(spark, keyed.withColumn("data_date", F.lit(None).cast("date")), points, other)
     state = update.update_metrics(
         spark, path, T.dated_timetable(spark, sf).select(
             "route_id", "pid", "schd_trip_id", "stop_id", "stop_sequence",
@@ -128,22 +147,29 @@ def test_incremental_run(spark, sf, tmp_path):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    landing = tmp_path / "in"
+    """Files out of order, repeats across files, a run that goes on from the last one."""
+    landing, base = tmp_path / "in", str(tmp_path / "out")
     landing.mkdir()
-    vehicle = lambda v, m: {"vid": v, "tmstmp": f"20240105 10:{m:02d}", "lat": "41.9", "lon": "-87.6", "pid": "95", "rt": "9"}
-    for n, m in enumerate((0, 5, 5, 55)):
-        doc = {"c": {"bustime-response": {"vehicle": [vehicle("1", m), vehicle("2", m)]}}}
-        (landing / f"{n}.json").write_text(json.dumps(doc))
-    pings = feed.keyed_pings(feed.snapshot_stream(spark, str(landing)))
-    out = str(tmp_path / "out")
-    feed.run_once(pings.select("vid", "tmstmp", "unique_trip_vehicle_day"), out, str(tmp_path / "cp")).awaitTermination()
-    got = spark.read.parquet(out)
-    assert got.count() == 6 and got.select("vid", "tmstmp").distinct().count() == 6
-    # A second run over the same folder adds nothing.
-    feed.run_once(pings.select("vid", "tmstmp", "unique_trip_vehicle_day"), out, str(tmp_path / "cp")).awaitTermination()
-    assert spark.read.parquet(out).count() == 6
-    with pytest.raises(Exception):
-        feed.hourly_pings(pings).writeStream.format("console").outputMode("nope")
+    vehicle = lambda v, h, m: {"vid": v, "tmstmp": f"202401{5 + h // 24:02d} {h % 24:02d}:{m:02d}", "lat": "41.9", "lon": "-87.6", "pid": "95", "rt": "9"}
+
+    def land(name, *polls):
+        doc = {"c": {"bustime-response": {"vehicle": [vehicle(v, h, m) for h, m in polls for v in ("1", "2")]}}}
+        (landing / f"{name}.json").write_text(json.dumps(doc))
+
+    def run():
+        feed.run_once(feed.keyed_pings(feed.snapshot_stream(spark, str(landing), files_per_batch=1)), base).awaitTermination()
+        stream = spark.read.parquet(f"{base}/hours").select("hour", "rt", "pings")
+        batch = feed.hourly_pings(feed.keyed_pings(readers.read_snapshots(spark, str(landing)))).select("hour", "rt", "pings")
+        assert rows(stream) == rows(batch)
+        return {r.hour: r.pings for r in stream.collect()}
+
+    for n, h in enumerate((12, 18, 13, 19, 14, 30)):
+        land(n, (h, 0), (h, 5))
+    assert run() == {"2024-01-05 12": 4, "2024-01-05 18": 4, "2024-01-05 13": 4, "2024-01-05 19": 4, "2024-01-05 14": 4, "2024-01-06 06": 4}
+    land("late", (12, 5), (12, 10), (1, 0))
+    got = run()
+    assert got["2024-01-05 12"] == 6 and got["2024-01-05 01"] == 2
+    assert run() == got
 
 
 def test_missing_pattern_and_versions(spark):

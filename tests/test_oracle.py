@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -11,7 +12,8 @@ import __spark_entry__ as entry_module
 from tests.conftest import SF
 
 QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
-NO_TWIN = {"sampled_trip_profiles"}
+#: Queries of the training-data pipeline, which have tests of their own.
+NO_TWIN = re.compile(r"op\d+_\w+|pipeline").fullmatch
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +35,7 @@ def _clean(v):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) - set(ORACLE) == NO_TWIN
+    assert all(NO_TWIN(name) for name in set(QUERIES) - set(ORACLE))
     assert set(ORACLE) <= set(QUERIES)
 
 

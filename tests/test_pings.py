@@ -63,20 +63,47 @@ def test_greedy_walk(spark):
     assert rows(got, "ping_id") == [(0, 0.5), (1, 1.5), (2, 2.5), (4, 3.5)]
 
 
-def test_long_trips_stream_to_the_same_rows(spark):
+def test_long_trips_are_walked_like_short_ones(spark):
     import random
 
     rnd = random.Random(3)
-    data = []
-    for trip, n in (("long", 900), ("short", 12), ("other", 40)):
+    data, number = [], 0
+    for trip, n in (("long", 5000), ("short", 12), ("other", 40)):
         for i in range(n):
-            for s in sorted(rnd.sample(range(max(0, i // 4 - 3), i // 4 + 5), 3)):
-                data.append((trip, hash((trip, i)) % 10**9, i // 2, s + 0.5))
+            number += 1
+            for s in sorted(rnd.sample(range(max(0, i // 40 - 3), i // 40 + 5), 3)):
+                data.append((trip, number, i // 2, s + 0.5))
     c = _candidates(spark, data)
-    folded = rows(M.greedy_positions(c, fold_limit=10**6))
-    assert rows(M.greedy_positions(c, fold_limit=50)) == folded
-    assert rows(M.greedy_positions(c, fold_limit=0)) == folded
+    want, at, done = [], {}, set()
+    for trip, ping, _, s in sorted(data, key=lambda r: (r[0], r[2], r[1], r[3])):
+        if ping not in done and s > at.get(trip, 0.0):
+            at[trip] = s
+            done.add(ping)
+            want.append((ping, s))
+    got = M.greedy_positions(c)
+    assert rows(got.select("ping_id", "seg_combined")) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
     per_trip = {}
     for r in M.greedy_positions(c).orderBy("data_time", "ping_id").collect():
         per_trip.setdefault(r.unique_trip_vehicle_day, []).append(r.seg_combined)
     assert all(a < b for p in per_trip.values() for a, b in zip(p, p[1:]))
+
+
+def test_pings_are_told_apart_by_trip_and_time(spark):
+    at = dt.datetime(2024, 1, 1)
+    cols = "pid string, unique_trip_vehicle_day string, ping_id long, data_time timestamp_ntz, seg_combined double"
+    c = spark.createDataFrame([("1", "a", 7, at, 1.5), ("1", "b", 7, at, 2.5), ("1", "b", 7, None, 3.5)], cols)
+    pings = spark.createDataFrame(
+        [("1", "a", 7, at), ("1", "b", 7, at), ("1", "b", 7, None), ("1", "c", 7, at)], cols.rsplit(",", 1)[0]
+    )
+    assert [r[1] for r in M.off_route(pings, c).collect()] == ["c"]
+    assert M.first_candidate(c).count() == 3
+
+
+def test_repeated_pings_stay_two(spark):
+    from headway.plans.process import with_ping_id
+
+    at = dt.datetime(2024, 1, 1)
+    p = spark.createDataFrame([(1, at, 1.0, 2.0, "1", "t")] * 3, "vid int, data_time timestamp_ntz, lat double, lon double, pid string, unique_trip_vehicle_day string")
+    assert with_ping_id(p).select("ping_id").distinct().count() == 3
