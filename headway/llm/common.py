@@ -6,13 +6,16 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
-from typing import Any
+from typing import Any, NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
+#: Bits, sent to every executor as bytes, that tell apart the keys of a join from others.
+MOST_KEY_BITS = 1 << 24
 #: Labels that sampling takes; there are as many models.
 MOST_CLASSES = 1000
 #: Bytes of text a task turns into arrays at once; bounds memory, never results.
@@ -83,6 +86,38 @@ def batch_of(schema: pa.Schema, **columns: Any) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+class KeyBits(NamedTuple):
+    """A bit set in which every key of a table has a bit; others may share one by chance."""
+
+    size: int
+    bits: np.ndarray
+
+    def position(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.size))
+
+    def hit(self, positions: pa.Array) -> pa.Array:
+        return pa.array(self.bits[positions.to_numpy(zero_copy_only=False)])
+
+
+def key_bits(keys: DataFrame, key: str) -> KeyBits:
+    """The bit set of a column, of at most ``MOST_KEY_BITS`` bits however many keys there are.
+
+    It spares most rows without such a key a shuffle. What it lets through must still be joined; with more
+    keys it lets through more.
+    """
+    size = min(MOST_KEY_BITS, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
+    at = F.pmod(F.xxhash64(F.col(key)), F.lit(size)) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+    )
+    bits = np.zeros(size, dtype=bool)
+    for r in parts.toLocalIterator():
+        row = np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8), bitorder="little")
+        start = (r["part"] - 1) << 15
+        bits[start : start + len(row)] = row[: size - start]
+    return KeyBits(size, bits)
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """The remainder of crc32 of the id as text: which rows are held out. A null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

@@ -27,9 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway.llm.common import batch_of, blocks, kept, mapped
+from headway.llm.common import batch_of, blocks, kept, key_bits, mapped
 from headway.llm.words import DARK_BYTES, run_hashes, word_hashes
 
 WORDS = 5
@@ -37,7 +38,7 @@ THRESHOLD = 0.8
 RECALL = 0.9995
 ROWS = 6
 #: Nodes and n-grams in a block; two blocks meet in a task.
-BLOCK_NODES = 512
+BLOCK_NODES = 256
 BLOCK_GRAMS = 2_000_000
 
 
@@ -296,21 +297,21 @@ def near_copies(
     )
     work = kept(units(alone))
     wanted = work.select("node").distinct().join(digests.select("node", "digest"), "node")
-    wanted = wanted.groupBy("node").agg(F.min("digest").alias("digest")).withColumnRenamed("node", "doc_id")
+    wanted = kept(wanted.groupBy("node").agg(F.min("digest").alias("digest")))
     schema = pa.schema([("node", pa.int64()), ("digest", pa.binary()), ("grams", pa.binary())])
+    bits = key_bits(wanted, "node")
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
+        chosen = (b.filter(sent.value.hit(b.column("position"))) for b in batches)
+        for batch, texts in blocks(chosen):
             sets = [s.tobytes() for s in gram_sets(texts, words)]
             digest = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
-            same = [i for i, d in enumerate(batch.column("digest").to_pylist()) if d == digest[i]]
-            yield batch_of(
-                schema, node=batch.column("doc_id").take(pa.array(same, pa.int64())), digest=[digest[i] for i in same],
-                grams=[sets[i] for i in same],
-            )
+            yield batch_of(schema, node=batch.column("doc_id"), digest=digest, grams=sets)
 
-    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "digest")
-    sets = mapped(texts, run, "node long, digest binary, grams binary").dropDuplicates(["node"]).select("node", "grams")
+    # Texts are read again where they lie; only sets of nodes that share a bucket are shuffled.
+    read = mapped(docs.withColumn("position", bits.position(F.col("doc_id"))), run, "node long, digest binary, grams binary")
+    sets = read.join(wanted, ["node", "digest"]).dropDuplicates(["node"]).select("node", "grams")
     found = kept(verified(work.join(sets, "node"), threshold))
     # Sets under one id are connected through it.
     roots = components(found.select(F.col("node").alias("a"), F.col("star").alias("b")))
@@ -332,11 +333,24 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     classes = kept(near_copies(docs).select(F.col("doc_id").alias("__copy_id"), F.col("class_id").alias("__copy_class")))
     stays = classes.groupBy("__copy_id").agg(F.min(F.col("__copy_class")).alias("__copy_class"), F.count(F.lit(1)).alias("__copy_rows"))
-    gone = stays.where("__copy_id != __copy_class OR __copy_rows > 1")
-    marked = docs.join(gone, docs["doc_id"] == gone["__copy_id"], "left")
+    gone = kept(stays.where("__copy_id != __copy_class OR __copy_rows > 1"))
+    bits = key_bits(gone, "__copy_id")
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    placed = docs.withColumn("__copy_position", bits.position(F.col("doc_id").cast("long")))
+
+    def chosen(hit: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = sent.value.hit(b.column("__copy_position"))
+                yield b.filter(found if hit else pc.invert(found)).drop_columns(["__copy_position"])
+
+        return mapped(placed, run, docs.schema)
+
+    # Rows without a bit stay where they are; the others, few more than those that go, are joined.
+    marked = chosen(True).join(gone, F.col("doc_id") == F.col("__copy_id"), "left")
     single = marked.where("__copy_id IS NULL").drop("__copy_id", "__copy_class", "__copy_rows")
     repeated = marked.where("__copy_id = __copy_class").drop("__copy_id", "__copy_class", "__copy_rows").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated)
+    return chosen(False).unionByName(single).unionByName(repeated)
 
 
 def op5_minhash_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
