@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from headway.functions.clock import floor_to, seconds_between
-from headway.operators.periods import LIVE_PERIODS, fan_out, label_periods
+from headway.operators.periods import LIVE_PERIODS, alike, fan_out, label_periods
 from headway.operators.ranks import SHORT_PACK, histogram, pivot_pack, ranked_pack, stack_values
 from headway.operators.visits import daytime, headways, segment_times
+from headway.session import staged
 
 STOP_KEYS = ("rt", "pid", "stop_id")
 TRIP_KEYS = ("rt", "pid")
@@ -26,12 +27,17 @@ def value_histogram(
     df: DataFrame, keys: Sequence[str], time: str, values: Mapping[int, str | Column],
     periods: Sequence[str] = LIVE_PERIODS, as_of: str | None = None,
 ) -> DataFrame:
-    """Counts of each value of each metric in each (keys, period)."""
+    """Counts of each value of each metric in each (keys, period).
+
+    Rows are counted by value and by what periods can tell of their time first, and only these
+    counts fan out over the periods.
+    """
     cols = {f"__v{code}": (F.col(c) if isinstance(c, str) else c) for code, c in values.items()}
-    narrow = df.select(*keys, time, *[c.alias(name) for name, c in cols.items()])
-    spread = fan_out(narrow, time, periods, as_of)
-    stacked = stack_values(spread, [*keys, *_CODES], {code: f"__v{code}" for code in values})
-    return histogram(stacked, [*keys, *_CODES, "metric"])
+    narrow = df.select(*keys, alike(time, periods).alias("__at"), *[c.alias(name) for name, c in cols.items()])
+    stacked = stack_values(narrow, [*keys, "__at"], {code: f"__v{code}" for code in values})
+    counted = histogram(stacked, [*keys, "__at", "metric"])
+    spread = fan_out(counted, "__at", periods, as_of)
+    return spread.groupBy(*keys, *_CODES, "metric", "value").agg(F.sum("n").alias("n"))
 
 
 def count_histogram(
@@ -84,7 +90,8 @@ def period_metrics(
 def _stop_histogram(
     visits: DataFrame, kind: str, periods: Sequence[str], as_of: str | None, is_daytime: bool, bucket: str
 ) -> DataFrame:
-    base = daytime(visits) if is_daytime else visits
+    # Headways, segment times and bus counts each read the visits, so these are computed once.
+    base = staged((daytime(visits) if is_daytime else visits).select(*STOP_KEYS, "trip_id", "stop_sequence", "bus_stop_time"))
     timed = segment_times(headways(base, bucket))
     values = {_metric_code(kind, m): m for m in STOP_METRICS[:3]}
     times = value_histogram(timed, STOP_KEYS, "bus_stop_time", values, periods, as_of)

@@ -65,6 +65,24 @@ def _chosen(names: Sequence[str], as_of: str | None) -> list[tuple[int, Period]]
     return [(i, p) for i, p in enumerate(PERIODS) if p.name in names]
 
 
+#: Periods that tell the days of a month apart.
+_BY_DAY = {"dayofyear", "week", "week_abs"}
+
+
+def alike(time: str, names: Sequence[str]) -> Column:
+    """A time with the same code as ``time`` in every period named, the same for as many rows as can be.
+
+    The hour; where no period tells the days of a month apart but by weekday, that hour on the month's
+    first such weekday.
+    """
+    t = F.col(time)
+    if _BY_DAY & set(names):
+        return floor_to("hour", t)
+    first = F.trunc(t.cast("date"), "month")
+    day = F.date_add(first, F.pmod(F.weekday(t) - F.weekday(first), F.lit(7)).cast("int"))
+    return F.timestamp_add("HOUR", F.hour(t), day.cast("timestamp_ntz"))
+
+
 def fan_out(
     df: DataFrame, time: str, names: Sequence[str], as_of: str | None, with_slot: bool = False
 ) -> DataFrame:

@@ -39,7 +39,8 @@ def scheduled_visits(timetable: DataFrame, bucket: str = "month") -> DataFrame:
         F.col("stop_sequence").try_cast("double").cast("int").alias("stop_sequence"),
         F.col("bus_stop_time").cast("timestamp_ntz").alias("bus_stop_time"),
     )
-    return split_reused_trips(rows, keys=("rt", "schd_trip_id"), bucket=bucket).drop("schd_trip_id")
+    tie = ("stop_sequence", "stop_id", "pid")
+    return split_reused_trips(rows, keys=("rt", "schd_trip_id"), bucket=bucket, tie=tie).drop("schd_trip_id")
 
 
 def split_reused_trips(

@@ -41,10 +41,10 @@ def _timed(name: str, source: str, daytime: bool = True) -> str:
 {name}_g AS (
   SELECT *,
     date_sub('second', bus_stop_time, lead(bus_stop_time) OVER (PARTITION BY rt, stop_id ORDER BY bus_stop_time, trip_id)) AS time_till_next_bus,
-    coalesce(date_sub('second', lag(bus_stop_time) OVER (PARTITION BY rt, trip_id ORDER BY bus_stop_time, stop_sequence), bus_stop_time), 0) AS time_to_previous_stop
+    coalesce(date_sub('second', lag(bus_stop_time) OVER (PARTITION BY rt, trip_id ORDER BY bus_stop_time, stop_sequence, stop_id), bus_stop_time), 0) AS time_to_previous_stop
   FROM {name}_d),
 {name} AS (
-  SELECT *, CAST(sum(time_to_previous_stop) OVER (PARTITION BY rt, trip_id ORDER BY bus_stop_time, stop_sequence ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_trip_time
+  SELECT *, CAST(sum(time_to_previous_stop) OVER (PARTITION BY rt, trip_id ORDER BY bus_stop_time, stop_sequence, stop_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_trip_time
   FROM {name}_g)"""
 
 
@@ -535,14 +535,23 @@ JOIN (SELECT service_id, count(*) AS trips FROM gtrips GROUP BY 1) USING (servic
 ORACLE["active_trips"] = _with([SDAYS, GTRIPS], "SELECT trip_id, route_id, CAST(d AS VARCHAR) AS date FROM gtrips JOIN sdays USING (service_id)")
 ORACLE["trips_on_date"] = _with([SDAYS, GTRIPS], "SELECT trip_id, service_id, shape_id FROM gtrips JOIN sdays USING (service_id) WHERE d = DATE '2024-01-04'")
 EXPANDED = f"""expanded AS (
-  SELECT g.route_id, right(shape_id, 5) AS pid, g.trip_id, d, sequence, secs
+  SELECT g.route_id, right(shape_id, 5) AS pid, CAST(CAST(g.trip_id AS BIGINT) % 600 AS VARCHAR) AS schd_trip_id, g.service_id, g.trip_id, d, sequence, secs,
+    stop_id, arrival_time
   FROM gtrips g JOIN sdays USING (service_id)
   JOIN nation ON g.route_id = 'R' || CAST(n_nationkey AS VARCHAR) AND n_regionkey <> 2
-  JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, l_linenumber AS sequence, (l_orderkey % 50) * 1860 + l_linenumber * 127 AS secs FROM lineitem) USING (trip_id))"""
-ORACLE["expand_schedule"] = _with([SDAYS, GTRIPS, EXPANDED], """SELECT route_id, pid, CAST(d AS VARCHAR) AS date, count(*) AS stop_times,
-  count(DISTINCT trip_id) AS trips, CAST(sum(secs // 3600) AS BIGINT) AS hours, CAST(sum(sequence) AS BIGINT) AS sequences FROM expanded GROUP BY 1, 2, 3""")
-ORACLE["clean_schedule"] = _with([SDAYS, GTRIPS, EXPANDED], """SELECT route_id, CAST(CAST(t AS DATE) AS VARCHAR) AS day, count(*) AS rows,
-  CAST(sum(hour(t) * 60 + minute(t)) AS BIGINT) AS minutes FROM (SELECT route_id, CAST(d AS TIMESTAMP) + to_seconds(secs) AS t FROM expanded) GROUP BY 1, 2""")
+  JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_partkey % 40 AS VARCHAR) AS stop_id, l_linenumber AS sequence, {_ARRIVAL} AS arrival_time,
+      (l_orderkey % 50) * 1860 + l_linenumber * 127 AS secs FROM lineitem) USING (trip_id))"""
+ORACLE["expand_schedule"] = _with([SDAYS, GTRIPS, EXPANDED], """SELECT route_id, pid, schd_trip_id, stop_id, CAST(sequence AS VARCHAR) AS stop_sequence,
+  CAST(d AS VARCHAR) AS date, arrival_time, arrival_time AS departure_time, service_id, trip_id, 'v1' AS sha1 FROM expanded""")
+ORACLE["clean_schedule"] = _with([SDAYS, GTRIPS, EXPANDED], """SELECT route_id, pid, schd_trip_id, stop_id, CAST(sequence AS VARCHAR) AS stop_sequence, service_id, trip_id,
+  strftime(CAST(d AS TIMESTAMP) + to_seconds(secs), '%Y-%m-%d %H:%M:%S') AS bus_stop_time FROM expanded""")
+_SCHEDULED = """vsched AS (
+  SELECT rt, pid, stop_id, schd || '-' || CAST((rn - 1) // mx AS VARCHAR) AS trip_id, sequence AS stop_sequence, t AS bus_stop_time FROM (
+    SELECT *, row_number() OVER (PARTITION BY rt, schd ORDER BY t, sequence, stop_id, pid) AS rn, max(sequence) OVER (PARTITION BY rt, schd) AS mx FROM (
+      SELECT route_id AS rt, CAST(CAST(pid AS INTEGER) AS VARCHAR) AS pid, stop_id, schd_trip_id AS schd, sequence, CAST(d AS TIMESTAMP) + to_seconds(secs) AS t FROM expanded)))"""
+ORACLE["metrics_from_schedule"] = _with(
+    [SDAYS, GTRIPS, EXPANDED, _SCHEDULED, VA, *_table("actual", "va", ["hour"]), *_table("schedule", "vsched", ["hour"])],
+    f"SELECT *, median_actual_time_till_next_bus - median_schedule_time_till_next_bus AS time_till_next_bus_delay FROM m_schedule FULL JOIN m_actual USING ({_K5})")
 ORACLE["schedule_merge"] = _with([DATED, "cur AS (SELECT route_id, min(d) AS since FROM dated WHERE v = 2 GROUP BY 1)"], """
 SELECT route_id, schd_trip_id, stop_id, stop_sequence, trip_id, strftime(CAST(d AS TIMESTAMP) + to_seconds(secs), '%Y-%m-%d %H:%M:%S') AS bus_stop_time
 FROM dated LEFT JOIN cur USING (route_id) WHERE v = 2 OR CAST(d AS TIMESTAMP) + to_seconds(secs) < since""")
@@ -824,3 +833,20 @@ FROM path o JOIN orig USING (stop_id) JOIN path d ON o.rt = d.rt AND o.pid = d.p
 ORACLE["unreadable_snapshots"] = "SELECT 'poll-' || CAST(event_id AS VARCHAR) AS scrape_file FROM events WHERE CAST(event_id AS VARCHAR) LIKE '%77'"
 ORACLE["visits_on_day"] = _with([VA], """SELECT rt, pid, stop_id, trip_id, CAST(stop_sequence AS VARCHAR) AS stop_sequence FROM va
 WHERE CAST(bus_stop_time AS DATE) = DATE '2024-01-18'""")
+
+# --- what is written comes back -----------------------------------------------
+
+ORACLE["pings_csv"] = _with([PINGS], "SELECT vid, tmstmp, lat, lon, CAST(pid AS BIGINT) AS pid, rt, dly, tatripid, CAST(data_date AS VARCHAR) AS data_date FROM pings")
+ORACLE["pings_by_pattern"] = _with([PINGS], "SELECT ping_id, vid, pid FROM pings")
+ORACLE["pulls_by_day"] = _with([PINGS], """SELECT ping_id, CAST(CAST(data_time AS DATE) AS VARCHAR) AS day,
+  CASE ping_id % 2 WHEN 0 THEN '2024-02-01' ELSE '2024-02-02' END AS pull_date FROM pings""")
+ORACLE["published_versions"] = _with([ASTOPS], "SELECT stop_id, lon, lat, '2024-02-01' AS latest, '2024-01-01' AS previous FROM astop")
+ORACLE["gtfs_feeds"] = _with([GTRIPS], "SELECT 'feed' || service_id AS feed_id, trip_id, route_id, shape_id, service_id, CAST(NULL AS VARCHAR) AS schd_trip_id FROM gtrips")
+ORACLE["feed_catalogue"] = """SELECT 'sha' || CAST(n_nationkey AS VARCHAR) AS sha1, CAST(DATE '2022-01-01' + CAST(n_nationkey * 30 AS INTEGER) AS VARCHAR) AS earliest_calendar_date
+FROM nation WHERE DATE '2022-01-01' + CAST(n_nationkey * 30 AS INTEGER) >= DATE '2023-01-01'"""
+ORACLE["areas_geojson"] = _with([AREAS, ASTOPS], f"SELECT community, stop_id, CASE kind WHEN 2 THEN 2 ELSE 1 END AS parts FROM area LEFT JOIN astop ON {_IN_AREA}")
+ORACLE["stops_csv"] = _with([ASTOPS], "SELECT stop_id, lon, lat FROM astop")
+ORACLE["file_keys"] = _with([PINGS, POINTS], "SELECT pid, seq FROM pts")
+ORACLE["incremental_append"] = _with(_interpolate("5e-1", True), """SELECT trip AS unique_trip_vehicle_day, pid || '-' || stpid AS p_stp_id, CAST(data_date AS VARCHAR) AS service_date,
+  strftime(make_timestamp(CAST(round(et * 1e6) AS BIGINT) + 370000), '%Y-%m-%d %H:%M:%S') AS bus_stop_time, round(speed, 4) AS speed_mph
+FROM timed JOIN two USING (pid, trip) JOIN (SELECT DISTINCT trip, data_date FROM pings) USING (trip)""")

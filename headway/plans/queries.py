@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from headway import constants as K
+from headway import constants as K, schemas
 from headway.functions import geo, keys
 from headway.functions.clock import on_day, service_time
 from headway.operators import (
@@ -18,7 +18,8 @@ from headway.operators import (
 )
 from headway.operators.periods import OLDER_PERIODS
 from headway.plans import stand_ins as T
-from headway.session import staged
+from headway.plans.update import append_stop_times, new_days
+from headway.session import run_folder, staged
 from headway.sources import readers, writers
 from headway.streaming import feed
 
@@ -375,22 +376,28 @@ def _expanded(spark, sf):
 @query
 def expand_schedule(spark, sf):
     e = _expanded(spark, sf)
-    return e.groupBy("route_id", "pid", F.col("date").cast("string").alias("date")).agg(
-        F.count(F.lit(1)).alias("stop_times"), F.countDistinct("trip_id").alias("trips"),
-        F.sum(F.substring("arrival_time", 1, 2).cast("int")).alias("hours"),
-        F.sum(F.col("stop_sequence").cast("int")).alias("sequences"),
+    return e.select(
+        "route_id", "pid", "schd_trip_id", "stop_id", "stop_sequence", F.col("date").cast("string").alias("date"),
+        "arrival_time", "departure_time", "service_id", "trip_id", "sha1",
     )
 
 
 @query
 def clean_schedule(spark, sf):
     c = S.clean_schedule(_expanded(spark, sf))
-    return c.groupBy("route_id", F.to_date("bus_stop_time").cast("string").alias("day")).agg(
-        F.count("bus_stop_time").alias("rows"),
-        F.sum(F.hour("bus_stop_time") * 60 + F.minute("bus_stop_time")).alias("minutes"),
+    return c.select(
+        "route_id", "pid", "schd_trip_id", "stop_id", "stop_sequence", "service_id", "trip_id",
+        F.date_format("bus_stop_time", "yyyy-MM-dd HH:mm:ss").alias("bus_stop_time"),
     )
 
 
+@query
+def metrics_from_schedule(spark, sf):
+    """The schedule's whole way: feed tables, expansion, clock times, reused ids, metrics beside the actual ones."""
+    scheduled = V.scheduled_visits(S.clean_schedule(_expanded(spark, sf)))
+    return rounded(M.stop_metrics_both(T.visits_actual(spark, sf), scheduled, periods=["hour"]))
+
+
 @query
 def schedule_merge(spark, sf):
     raw = T.dated_timetable(spark, sf)
@@ -552,8 +559,7 @@ def interpolate_corrected(spark, sf):
 def metrics_from_pings(spark, sf):
     """The whole way: pings, keys, cleaning, matching, interpolation, visits, metrics."""
     st = _stop_times(spark, sf).withColumn("bus_stop_time", to_second("bus_stop_time").cast("timestamp_ntz"))
-    # Metrics read their visits several times, so the stop times are stored first, as in a real run.
-    v = staged(V.actual_visits(st.filter(F.col("bus_stop_time").isNotNull())))
+    v = V.actual_visits(st.filter(F.col("bus_stop_time").isNotNull()))
     return rounded(M.stop_metrics(v, "actual", periods=["hour"]))
 
 
@@ -957,3 +963,129 @@ def incomplete_feeds(spark, sf):
 def streamed_hourly_pings(spark, sf):
     """The feed as a stream: pings per route and hour once all files are in."""
     return feed.replay_hourly(spark, T.table(spark, sf, "events"), T.snapshots_of)
+
+
+# --- what is written comes back -----------------------------------------------
+
+
+@query
+def pings_csv(spark, sf):
+    """Daily CSV files written and read with their declared schema."""
+    path = f"{run_folder(spark)}/pings"
+    p = T.pings(spark, sf).withColumn("data_date", F.col("data_date").cast("string"))
+    have = [F.col(f.name) if f.name in p.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PINGS]
+    writers.write_csv(p.select(*have), path)
+    return readers.read_ping_days(spark, path).select(
+        "vid", "tmstmp", "lat", "lon", F.col("pid").cast("long").alias("pid"), "rt", "dly", "tatripid", "data_date"
+    )
+
+
+@query
+def pings_by_pattern(spark, sf):
+    """Pings written as one partition per pattern, twice, and read back."""
+    path = f"{run_folder(spark)}/patterns"
+    rows = writers.split_by_pattern(T.pings(spark, sf)).select("pid", "ping_id", "vid")
+    for _ in range(2):
+        writers.write_partitioned(rows, path, ["pid"])
+    return spark.read.parquet(path).select("ping_id", "vid", F.col("pid").cast("string").alias("pid"))
+
+
+@query
+def pulls_by_day(spark, sf):
+    """Two pulls of the same days, the second one repeated."""
+    path = f"{run_folder(spark)}/pulls"
+    p = T.pings(spark, sf).select("ping_id", "data_time")
+    for half, day in ((0, "2024-02-01"), (1, "2024-02-02"), (1, "2024-02-02")):
+        writers.write_pull(p.filter(F.col("ping_id") % 2 == half), path, day)
+    return spark.read.parquet(path).select(
+        "ping_id", F.col("day").cast("string").alias("day"), F.col("pull_date").cast("string").alias("pull_date")
+    )
+
+
+@query
+def published_versions(spark, sf):
+    """The newest version of a table that was published twice."""
+    path = f"{run_folder(spark)}/table"
+    stops = T.area_stops(spark, sf)
+    writers.publish(stops.withColumn("lon", F.lit(0.0)), path, "2024-01-01")
+    writers.publish(stops, path, "2024-02-01")
+    marks = writers.versions(spark, path)
+    # One row beside the table's.
+    return writers.read_latest(spark, path).select("stop_id", "lon", "lat").join(marks)
+
+
+@query
+def gtfs_feeds(spark, sf):
+    """Five extracted feeds with columns in different orders, read as one table."""
+    root = run_folder(spark)
+    trips = T.gtfs_trips(spark, sf)
+    for n in range(5):
+        cols = ["trip_id", "route_id", "shape_id", "service_id"] if n % 2 else ["shape_id", "service_id", "trip_id", "route_id"]
+        writers.write_csv(trips.filter(F.col("service_id") == str(n)).select(*cols), f"{root}/feed{n}/trips.txt")
+    return readers.read_gtfs(spark, root, "trips").select("feed_id", "trip_id", "route_id", "shape_id", "service_id", "schd_trip_id")
+
+
+@query
+def feed_catalogue(spark, sf):
+    """The catalogue of feed versions as one JSON document."""
+    path = f"{run_folder(spark)}/catalogue"
+    key = F.col("n_nationkey")
+    entry = F.struct(
+        F.concat(F.lit("sha"), key.cast("string")).alias("sha1"), F.lit("2024-01-01T00:00:00Z").alias("fetched_at"),
+        F.date_format(F.date_add(F.lit("2022-01-01").cast("date"), key * 30), "yyyy-MM-dd").alias("earliest_calendar_date"),
+    )
+    doc = T.table(spark, sf, "nation").agg(F.to_json(F.struct(F.collect_list(entry).alias("feed_versions"))).alias("value"))
+    doc.write.text(path)
+    return readers.read_feed_versions(spark, path, "2023-01-01").select("sha1", "earliest_calendar_date")
+
+
+@query
+def areas_geojson(spark, sf):
+    """Boundaries of one or several parts as GeoJSON, read back, with their stops."""
+    path = f"{run_folder(spark)}/areas"
+    corners = F.transform("parts", lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"]))))
+    kind = F.when(F.size("parts") > 1, "MultiPolygon").otherwise("Polygon")
+    text = F.when(F.size("parts") > 1, F.to_json(corners)).otherwise(F.to_json(F.get(corners, F.lit(0))))
+    feature = F.concat(
+        F.lit('{"type": "Feature", "properties": {"community": "'), F.col("community"), F.lit('"}, "geometry": {"type": "'),
+        kind, F.lit('", "coordinates": '), text, F.lit("}}"),
+    )
+    # One boundary document: as many features as there are areas.
+    doc = T.areas(spark, sf).agg(
+        F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.array_join(F.collect_list(feature), ", "), F.lit("]}")).alias("value")
+    )
+    doc.write.text(path)
+    read = readers.read_areas(spark, path)
+    stops = A.stops_in_areas(read, T.area_stops(spark, sf)).select("community", "stop_id")
+    return stops.join(read.select("community", F.size("parts").alias("parts")), "community")
+
+
+@query
+def stops_csv(spark, sf):
+    path = f"{run_folder(spark)}/stops"
+    writers.write_csv(T.area_stops(spark, sf).withColumnRenamed("stop_id", "SYSTEMSTOP"), path)
+    return readers.read_stops(spark, path, "SYSTEMSTOP")
+
+
+@query
+def file_keys(spark, sf):
+    """Pattern ids out of the names their files have."""
+    names = F.concat(F.lit("/data/v2/pid_"), F.col("pid"), F.when(F.col("seq") % 2 == 0, "_stop.parquet").otherwise("_segment.parquet"))
+    return T.pattern_points(spark, sf).select(readers.key_from_file_name(names).alias("pid"), "seq").withColumn(
+        "seq", F.col("seq").cast("long")
+    )
+
+
+@query
+def incremental_append(spark, sf):
+    """Stop times added in two runs and a repeated one, by text dates in a form that ids do not hold."""
+    path = f"{run_folder(spark)}/stop_times"
+    keyed = _keyed(spark, sf).withColumn("data_date", F.date_format("data_date", "yyyyMMdd"))
+    early = keyed.filter("data_date < '20240115'")
+    points = T.pattern_points(spark, sf)
+    append_stop_times(spark, early, points, path)
+    append_stop_times(spark, new_days(keyed, spark.read.parquet(path)), points, path)
+    append_stop_times(spark, early, points, path)
+    st = spark.read.parquet(path)
+    day = st.select("unique_trip_vehicle_day", "p_stp_id", F.col("service_date").cast("string").alias("service_date"), "bus_stop_time", "speed_mph")
+    return rounded(day.withColumn("bus_stop_time", to_second("bus_stop_time")), 4)

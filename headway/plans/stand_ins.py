@@ -162,7 +162,7 @@ def gtfs_trips(spark: SparkSession, sf: str) -> DataFrame:
         (o % 5).cast("string").alias("service_id"),
         o.cast("string").alias("trip_id"),
         F.concat(F.lit("6430"), F.lpad((o % 60 + 100).cast("string"), 5, "0")).alias("shape_id"),
-        (o % 500).cast("string").alias("schd_trip_id"),
+        (o % 600).cast("string").alias("schd_trip_id"),
     )
 
 

@@ -72,7 +72,7 @@ def read_pattern_points(spark: SparkSession, path: str) -> DataFrame:
 def read_gtfs(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A GTFS text table of all extracted feeds below ``root``, all strings, absent columns NULL.
 
-    A feed is the folder its files lie in; its name becomes ``feed_id``. Columns are taken by header
+    A feed is the folder its tables lie in, each a file or a folder of files; its name becomes ``feed_id``. Columns are taken by header
     name, since feeds order them differently: files with equal headers are one scan, so there are as
     many scans as there are different headers, however many feeds.
     """
@@ -91,7 +91,7 @@ def read_gtfs(spark: SparkSession, root: str, table: str) -> DataFrame:
         cols = [
             (F.col(f"`{have[f.name]}`") if f.name in have else F.lit(None).cast("string")).alias(f.name) for f in fields
         ]
-        feed = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias("feed_id")
+        feed = F.regexp_extract(F.col("_metadata.file_path"), rf"([^/]+)/{table}\.txt(?:/[^/]*)?$", 1).alias("feed_id")
         scans.append(raw.select(feed, *cols))
     if not scans:
         raise FileNotFoundError(f"no {table}.txt in the folders of {root}")
