@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm import bpe, copies, leaks, personal, toxicity
-from headway.llm.common import staged
+from headway.session import staged
 
 TOXIC_FROM = 0.5
 
@@ -59,8 +59,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over all documents; each stage's rows are written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = staged(docs, name)
+            docs = staged(docs)
     return docs

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any, NamedTuple
@@ -13,6 +12,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from headway.session import run_folder
+
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Bits, sent to every executor as bytes, that tell apart the keys of a join from others.
 MOST_KEY_BITS = 1 << 24
@@ -22,16 +23,11 @@ MOST_CLASSES = 1000
 BLOCK_CHARS = 1_000_000
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which executors share too."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-
-
 def kept(df: DataFrame) -> DataFrame:
     """The same rows, computed once and written to the shared folder: lineage ends here."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+        context.setCheckpointDir(run_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -49,13 +45,6 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             yield _run(batch.slice(start), text)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written to the shared folder as Parquet and read again."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _run(rows: pa.RecordBatch, text: str) -> tuple[pa.RecordBatch, list[str]]:
     return rows, [t or "" for t in rows.column(text).to_pylist()]
 

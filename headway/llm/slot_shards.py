@@ -14,11 +14,10 @@ an empty table gives an empty result and a map all the same; other columns are i
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from headway.llm.common import kept, shared_folder
+from headway.llm.common import kept
+from headway.session import run_folder
 
 #: Virtual slots; fixed for the life of a data set.
 SLOTS = 4096
@@ -60,10 +59,10 @@ def rebalanced(current: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
     with the fewest bytes.
     """
     placed = current.join(loads, "virtual_slot")
-    mean = placed.agg((F.sum("bytes") / F.lit(float(shards))).alias("mean"))
+    mean = (placed.agg(F.sum("bytes").alias("all")).first()["all"] or 0) / shards
     order = W.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot").rowsBetween(W.unboundedPreceding, 0)
-    marked = placed.withColumn("running", F.sum("bytes").over(order)).join(mean).withColumn(
-        "stays", (F.col("running") <= F.col("mean")) & (F.col("shard") < shards)
+    marked = placed.withColumn("running", F.sum("bytes").over(order)).withColumn(
+        "stays", (F.col("running") <= F.lit(mean)) & (F.col("shard") < shards)
     )
     # One row: the loads that stay, and the slots to deal. Both are bounded by the number of slots.
     held = F.filter(F.collect_list(F.when(F.col("stays"), F.struct("shard", "bytes"))), lambda x: x.isNotNull())
@@ -126,7 +125,7 @@ def assigned(rows: DataFrame, slot_map: DataFrame, loads: DataFrame) -> DataFram
 def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, path: str | None = None) -> DataFrame:
     """Place all documents: measure, add up, store version 0 and the rebalanced version 1, assign by the latter."""
     spark = docs.sparkSession
-    path = path or f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
+    path = path or f"{run_folder(spark)}/slot-map"
     rows = kept(measured(docs, slots))
     loads = kept(slot_loads(rows, slots))
     store_version(first_map(spark, shards, slots), path)

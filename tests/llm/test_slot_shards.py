@@ -65,8 +65,9 @@ def test_rebalance_moves_only_what_does_not_fit(spark, tmp_path):
     assert max(sums(maps[2], 5)) - min(sums(maps[2], 5)) <= 1000
     # Those that fit stay where they were: shards 1 to 3 held little and lose nothing.
     assert all(maps[1][s] == s % 4 for s in range(64) if s % 4)
-    moved = sum(maps[1][s] != maps[2][s] for s in range(64))
-    assert moved < 32
+    # A fifth shard needs a fifth of the bytes; not much more than that moves.
+    moved = sum(size[s] for s in range(64) if maps[1][s] != maps[2][s])
+    assert moved <= 1.5 * sum(size.values()) / 5
 
 
 @pytest.mark.parametrize("shards", [1, 64])
