@@ -65,7 +65,3 @@ def actual_without_schedule(columns: list[str]) -> Column:
         if "actual" in c and c.replace("actual", "schedule") in columns
     ]
     return reduce(or_, tests, F.lit(False))
-
-
-def not_nan(c: str | Column) -> Column:
-    return ~F.isnan(_c(c))

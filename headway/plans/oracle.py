@@ -709,8 +709,8 @@ ORACLE["reach_minutes"] = _with([*REACH, AREAS, ASTOPS, f"orig AS (SELECT DISTIN
     """SELECT o.rt, o.pid, o.stop_id AS origin_stop, d.stop_id, d.sq AS stop_sequence, round(d.el - o.el, 6) AS travel_seconds,
   CAST(floor((d.el - o.el) / 60) AS INTEGER) AS minutes, o.rt AS route
 FROM path o JOIN orig USING (stop_id) JOIN path d ON o.rt = d.rt AND o.pid = d.pid AND d.ix >= o.ix""")
-ORACLE["reach_paths"] = _with([*REACH, BUDGET, RB], """SELECT rb.rt, rb.pid, origin_stop, minutes, count(*) AS points,
-  round(min(CAST(v.stop_id AS INTEGER)) * 2e-3 + 4.18e1, 6) AS start_lat, round(max(CAST(v.stop_id AS INTEGER)) * 2e-3 + 4.18e1, 6) AS end_lat
+ORACLE["reach_paths"] = _with([*REACH, BUDGET, RB], """SELECT rb.rt, rb.pid, origin_stop, minutes,
+  string_agg(v.stop_id || '/' || v.stop_id, ',' ORDER BY CAST(v.stop_id AS INTEGER)) AS path
 FROM rb JOIN (SELECT DISTINCT pid, stop_id FROM va) v ON v.pid = rb.pid AND CAST(v.stop_id AS INTEGER) BETWEEN from_sequence AND to_sequence
 GROUP BY rb.rt, rb.pid, origin_stop, minutes""")
 

@@ -714,9 +714,17 @@ def reach_paths(spark, sf):
     pts = _visit_points(spark, sf)
     r = reach.reach_paths(reach.reach_budgets(_times(spark, sf)), pts)
     return r.select(
-        "rt", "pid", "origin_stop", "minutes", F.size("path").cast("long").alias("points"),
-        F.round(F.element_at("path", 1)["lat"], 6).alias("start_lat"),
-        F.round(F.element_at("path", -1)["lat"], 6).alias("end_lat"),
+        "rt", "pid", "origin_stop", "minutes",
+        # Every point of the path, as its place on the grid the stand-in lays stops on.
+        F.array_join(
+            F.transform(
+                "path",
+                lambda p: F.concat_ws(
+                    "/", F.round((p["lat"] - 41.8) / 0.002).cast("int").cast("string"),
+                    F.round((p["lon"] + 87.6) / -0.001).cast("int").cast("string"),
+                ),
+            ), ",",
+        ).alias("path"),
     )
 
 
@@ -1009,9 +1017,10 @@ def published_versions(spark, sf):
     stops = T.area_stops(spark, sf)
     writers.publish(stops.withColumn("lon", F.lit(0.0)), path, "2024-01-01")
     writers.publish(stops, path, "2024-02-01")
-    marks = writers.versions(spark, path)
-    # One row beside the table's.
-    return writers.read_latest(spark, path).select("stop_id", "lon", "lat").join(marks)
+    marks = writers.versions(spark, path).first()
+    return writers.read_latest(spark, path).select(
+        "stop_id", "lon", "lat", F.lit(marks["latest"]).alias("latest"), F.lit(marks["previous"]).alias("previous")
+    )
 
 
 @query
