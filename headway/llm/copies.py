@@ -261,7 +261,9 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = least(both).select("a", F.least("a", "low").alias("low"))
+        # Written down, so that the join below meets two plain shuffles and a node with very many
+        # neighbours can be split between tasks.
+        low = kept(least(both).select("a", F.least("a", "low").alias("low")))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         low = least(large)
         small = (
