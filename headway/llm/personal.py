@@ -7,8 +7,8 @@ overlapping windows on a fixed grid; the scores of all windows over a character
 of windows is decoded once, by Viterbi, over its whole length. A decoded span is added if it has the
 digits its kind needs and overlaps no base span.
 
-A span of any kind holds a digit or an at sign, so windows without either are not scored; they
-cannot change a result.
+A span of any kind holds a digit or an at sign, or has the form of a spelled-out address as a whole (``spelled``).
+Every window that touches one of these is scored, and one window on each side; no other can hold a part of a span.
 
 Training: windows around base spans of about ``SAMPLE_DOCS`` documents, taken by hash of the id, labelled by
 the patterns, and the same contexts with written-in spans of all forms, labelled by construction.
@@ -290,13 +290,18 @@ SPELLED = ((re.compile(r"\s*[\[({]\s*(?:at|@)\s*[\])}]\s*|\s+at\s+|\s*@\s*", re.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP_LIKE = re.compile(r"[0-9]{1,3}(?:[\s.,:\[\]()]+(?:dot)?[\s.,:\[\]()]*[0-9]{1,3}){3}")
 CARD_LIKE = re.compile(r"[0-9](?:[\s.\-_/]{0,2}[0-9])+")
+#: Where a span may lie apart from its digits: between those of an address, and in a spelled-out address.
+GAP = re.compile(r"(?<=[0-9])[\s.,:\[\]()]++(?:dot[\s.,:\[\]()]*+)?(?=[0-9])")
+AT = re.compile(r"[\[({]\s*+(?:at|@)\s*+[\])}]|(?<=\s)at(?=\s)|@", re.I)
+_DOT = r"(?:\s*+[\[({]\s*+(?:dot|\.)\s*+[\])}]\s*+|\s++dot\s++)"
+_TOD = r"(?:\s*+[\])}]\s*+(?:tod|\.)\s*+[\[({]\s*+|\s++tod\s++)"
+AFTER_AT = re.compile(rf"\s*+[a-z0-9-]++(?:(?:\.|{_DOT})[a-z0-9-]++)++", re.I)
+BEFORE_AT = re.compile(rf"\s*+[a-z0-9._%+-]++(?:{_TOD}[a-z0-9._%+-]++)*+", re.I)  # read backwards
 PHONE_LIKE = re.compile(r"(?:\+|00)?\s?\(?[0-9]{1,4}\)?(?:[\s./-]{1,2}\(?[0-9]{2,5}\)?){1,5}")
 
 
 def plausible(text: str, kind: int) -> bool:
     """Whether a decoded span has what its kind needs."""
-    if not HINT(text):
-        return False
     digits = _digits(text)
     if kind == 0:
         for pattern, sign in SPELLED:
@@ -309,17 +314,44 @@ def plausible(text: str, kind: int) -> bool:
     return 10 <= len(digits) <= 15 and PHONE_LIKE.fullmatch(text) is not None
 
 
+def spelled(text: str) -> Iterator[tuple[int, int]]:
+    """Longest stretches that may be an address by any at and dot signs that ``plausible`` takes; linear in the text."""
+    done = 0
+    for m in AT.finditer(text):
+        domain = AFTER_AT.match(text, m.end())
+        local = BEFORE_AT.match(text[done : m.start()][::-1]) if domain else None
+        if local:
+            yield m.start() - local.end(), domain.end()
+        done = m.end()
+
+
+def marked(text: str, x: np.ndarray) -> np.ndarray:
+    """Which characters a plausible span may hold, but for signs next to its digits."""
+    mark = (x == 1) | (x == 2)
+    for m in GAP.finditer(text):
+        mark[m.start() : m.end()] = True
+    for a, b in spelled(text):
+        mark[a:b] = True
+    return mark
+
+
 def decoded_spans(texts: list[str], m: Model) -> list[list[Span]]:
     """For each text what the network finds in it, plausible or not."""
     found: list[list[Span]] = [[] for _ in texts]
     windows, regions = [], []  # region: text, first character, first window, windows
     for n, text in enumerate(texts):
-        if not HINT(text):
+        if not HINT(text) and not AT.search(text):
             continue
         x = codes(text)
-        hint = np.concatenate(([0], np.cumsum((x == 1) | (x == 2))))
+        hint = np.concatenate(([0], np.cumsum(marked(text, x))))
         starts = np.arange(0, max(1, len(x) - (SIZE - STRIDE)), STRIDE)
-        live = starts[hint[np.minimum(starts + SIZE, len(x))] > hint[starts]]
+        held = hint[np.minimum(starts + SIZE, len(x))] > hint[starts]
+        if not held.any():
+            continue
+        near = held.copy()
+        near[1:] |= held[:-1]
+        near[:-1] |= held[1:]
+        live = starts[near]
         padded = np.concatenate((x, np.zeros(SIZE, np.uint8)))
         for run in np.split(live, np.flatnonzero(np.diff(live) > STRIDE) + 1):
             regions.append((n, int(run[0]), len(windows), len(run), min(int(run[-1]) + SIZE, len(x)) - int(run[0])))

@@ -151,3 +151,47 @@ def test_edges(spark, edges, empty, model):
     assert out.columns == edges.columns and sorted(map(str, out.collect())) == sorted(map(str, edges.collect()))
     mail = spark.createDataFrame([(1, "to ann.b@mail.org now", 99)], "doc_id long, text string, n_chars int")
     assert P.redact(mail, model).collect()[0][1:] == ("to <EMAIL> now", 14)
+
+
+def spelled_out(chance, n):
+    """Addresses without a digit or an at sign, in long texts without either."""
+    word = lambda: "".join(chance.choice("abcdefghiklmnoprstuvwz") for _ in range(chance.randint(3, 9)))
+    out = []
+    for _ in range(n):
+        new = word() + "." + word() + chance.choice([" [at] ", "(at)", " at "]) + word() + chance.choice([" [dot] ", "(dot)", " dot "]) + "com"
+        before = (P.CONTEXT + " ") * chance.randint(2, 5)
+        out.append((before + "write to " + new + " " + (P.CONTEXT + " ") * 3, len(before) + 9, len(before) + 9 + len(new)))
+    return out
+
+
+def test_spelled_addresses_without_digits_are_found(model):
+    made = spelled_out(random.Random(12), 80)
+    found = sum((a, 0, b) in more for (_, a, b), (_, more) in zip(made, P.all_spans([t for t, _, _ in made], model)))
+    assert found >= 40
+    assert P.plausible("jane.doe [at] example [dot] com", 0) and not P.plausible("at home", 0)
+
+
+def test_windows_left_out_change_nothing(model, monkeypatch):
+    chance = random.Random(13)
+    texts = [t for t, _, _ in spelled_out(chance, 60)]
+    for k in range(100):
+        text = "".join((P.CONTEXT + ". ") * chance.randint(1, 4) + P._written(chance.randrange(4), chance) + " " for _ in range(3))
+        texts.append(text + P._decoy(chance) + " " + P.CONTEXT * 3)
+    some = P.all_spans(texts, model)
+    monkeypatch.setattr(P, "marked", lambda text, x: np.ones(len(x), bool))
+    assert P.all_spans(texts, model) == some
+
+
+@pytest.mark.parametrize("text", [
+    "jane.doe [at] example [dot] com", "a_b(at)x(dot)org", "jane dot doe at mail dot example dot org", "A.B AT EXAMPLE DOT COM",
+    "x" * 200 + " { at } " + "y" * 200 + ".net", "me@here [.] org", "x ( dot ) y\n@\tz.com", "a@b.c",
+])
+def test_what_is_plausible_is_marked_whole(text):
+    assert P.plausible(text, 0)
+    whole = f"he said; {text}, of old"
+    assert P.marked(whole, P.codes(whole))[9 : 9 + len(text)].all()
+
+
+@pytest.mark.parametrize("text", ["dot " * 50000, "at a dot " * 30000, "x@" * 100000, "( " * 100000 + "at", "1" + " " * 200000 + "dot", "a at " * 60000])
+def test_marking_is_linear(text):
+    P.marked(text, P.codes(text))
