@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from headway.llm import leaks as L
@@ -90,3 +91,39 @@ def test_edges(spark, edges, empty):
     assert kept.columns == edges.columns and kept.count() == edges.count() - 4
     assert L.without_overlaps(edges, items.limit(0)).count() == edges.count()
     assert L.find_overlaps(empty, items).count() == 0 and L.find_overlaps(edges, items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", range(5, 21))
+def test_every_pattern_of_substitutions_is_found(n):
+    from itertools import combinations, islice
+
+    words, most = WORDS[:n], n - L.needed(n)
+    table = L.Table([(7, " ".join(words))])
+    patterns = list(combinations(range(n), most))
+    if len(patterns) > 6000:
+        patterns = random.Random(n).sample(patterns, 6000)
+    texts = [" ".join(f"sub{i}" if i in p else w for i, w in enumerate(words)) for p in patterns]
+    texts = [f"before it {t} and behind" if k % 2 else t for k, t in enumerate(texts)]
+    assert all(f.get(7, (0, 0, 0))[2] == L.needed(n) for f in L.overlaps(texts, table))
+    if most + 1 < n:
+        fewer = [" ".join(f"sub{i}" if i in p else w for i, w in enumerate(words)) for p in islice(combinations(range(n), most + 1), 500)]
+        assert L.overlaps(fewer, table) == [{}] * len(fewer)
+
+
+def test_thirteen_of_eighteen_in_a_long_item_are_found():
+    chance = random.Random(8)
+    words = text(chance, 60).split()
+    table = L.Table([(1, " ".join(words))])
+    runs = 0
+    for _ in range(600):
+        inner = chance.sample(range(21, 37), 5)
+        other = [w if 20 <= i < 38 and i not in inner else f"sub{i}" for i, w in enumerate(words)]
+        run = L.best_run(np.array([v == w for v, w in zip(other, words)]))
+        if run[2] == 13:
+            runs += 1
+            assert L.overlaps([" ".join(other)], table) == [{1: run}]
+    assert runs > 300
+
+
+def test_the_longest_of_equal_runs_counts():
+    assert L.best_run(np.array([1, 1, 1, 0, 1], bool)) == (0, 5, 4) and L.best_run(np.array([1, 0, 1, 1, 1], bool)) == (0, 5, 4)
