@@ -13,7 +13,8 @@ every three tokens in a row, so that a run of at most 18 tokens of which 13 agre
 The benchmark is taken in blocks of at most about ``BLOCK_TOKENS`` tokens, so that a table of bounded size
 goes to every task; a larger benchmark means more passes, never fewer items.
 
-Tokens are runs of letters, digits and underscores of the lower-cased text. Items under ``LEAST_TOKENS`` tokens name nothing and are left out.
+Tokens are runs of letters, digits and underscores of the lower-cased text, in scripts without blanks single characters.
+Items under ``LEAST_TOKENS`` tokens name nothing inside a text; they overlap with texts that have just their tokens.
 
 Defined results: null or empty texts overlap with nothing; null ids are reported as null; repeated rows are
 reported for each row; an empty benchmark gives no overlaps; other columns are ignored.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm.common import batch_of, blocks, mapped
-from headway.llm.words import WORD_BYTES, run_hashes, word_hashes
+from headway.llm.words import WORD_BYTES, run_hashes, separated, word_hashes
 
 #: Fixed masks: 1 counts, 0 is ignored.
 MASKS = ("11101001110", "11010110101", "10111100111", "11111111000", "111")
@@ -52,14 +53,17 @@ class Table:
     """Masked hashes of benchmark items, and the items' tokens."""
 
     def __init__(self, items: list[tuple[int, str]], masks: tuple[str, ...] = MASKS):
-        hashes, starts = word_hashes([t.lower() for _, t in items], WORD_BYTES)
+        hashes, starts = word_hashes([separated(t.lower()) for _, t in items], WORD_BYTES)
         self.ids: list[int] = []
         self.tokens: list[np.ndarray] = []
+        self.small: dict[bytes, list[int]] = {}
         self.seeds: dict[tuple[int, ...], int] = {}
         keys, owner, offset = [], [], []
         for (item, _), a, b in zip(items, starts, starts[1:]):
             tokens = hashes[a:b]
             if len(tokens) < LEAST_TOKENS:
+                if len(tokens):
+                    self.small.setdefault(tokens.tobytes(), []).append(item)
                 continue
             self.ids.append(item)
             self.tokens.append(tokens)
@@ -155,9 +159,12 @@ def _agreeing(hashes: np.ndarray, starts: np.ndarray, at: np.ndarray, owner: np.
 def overlaps(texts: list[str], table: Table) -> list[dict[int, tuple[int, int, int]]]:
     """For each text, by item: first and last token (exclusive) of the best overlap and how many tokens agree."""
     out: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-    if not len(table.key):
+    if not len(table.key) and not table.small:
         return out
-    hashes, starts = word_hashes([t.lower() for t in texts], WORD_BYTES)
+    hashes, starts = word_hashes([separated(t.lower()) for t in texts], WORD_BYTES)
+    for n in np.flatnonzero(np.diff(starts) < LEAST_TOKENS).tolist() if table.small else ():
+        tokens = hashes[starts[n] : starts[n + 1]]
+        out[n].update((item, (0, len(tokens), len(tokens))) for item in table.small.get(tokens.tobytes(), ()))
     found = [_agreeing(hashes, starts, at, owner, at - offset, table) for at, owner, offset in table.hits(hashes)]
     if not found:
         return out

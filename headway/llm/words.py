@@ -2,11 +2,40 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 
 _BASE = 0x100000001B3
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Bytes of words where signs separate: ASCII letters, digits, underscore, and all of other scripts.
+#: Beginnings of the names of characters in scripts without blanks.
+UNSPACED = ("CJK ", "IDEOGRAPHIC ", "HIRAGANA", "KATAKANA", "HALFWIDTH KATAKANA", "BOPOMOFO", "THAI ", "LAO ", "KHMER ", "MYANMAR ", "YI ", "NUSHU ", "TANGUT ")
+
+
+class _Signs(dict):
+    """What stands for a character: a blank for a sign or blank, nothing for an invisible one, itself between blanks in a script without them."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        kind = unicodedata.category(c)
+        if point < 128 or kind[0] in "LMN":
+            name = unicodedata.name(c, "") if point >= 128 else ""
+            out = f" {c} " if name.startswith(UNSPACED) else c
+        else:
+            out = "" if kind == "Cf" and point != 0x200B else " "
+        self[point] = out
+        return out
+
+
+_signs = _Signs()
+
+
+def separated(text: str) -> str:
+    """The text with ASCII blanks wherever signs or blanks of any script, or characters without blanks, part words."""
+    return text if text.isascii() else text.translate(_signs)
+
+
+#: Bytes of words where signs separate, in a text that is ``separated``: ASCII letters, digits, underscore, and all of other scripts.
 WORD_BYTES = np.zeros(256, dtype=bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123), (95, 96), (128, 256)):
     WORD_BYTES[_a:_b] = True

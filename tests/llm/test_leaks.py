@@ -127,3 +127,21 @@ def test_thirteen_of_eighteen_in_a_long_item_are_found():
 
 def test_the_longest_of_equal_runs_counts():
     assert L.best_run(np.array([1, 1, 1, 0, 1], bool)) == (0, 5, 4) and L.best_run(np.array([1, 0, 1, 1, 1], bool)) == (0, 5, 4)
+
+
+def test_signs_and_blanks_of_any_script_part_words():
+    item = "the quick brown fox didn't jump over any lazy dogs today"
+    other = "The\u00a0quick\u3000brown\u2014fox \u201cdidn\u2019t\u201d jump\u2009over\u2026any la\u00adzy dogs\uff0ctoday\u3002"
+    assert hits([other, f"so\u00a0{other}\u00a0he said"], [item]) == [{0: (0, 12, 12)}, {0: (1, 13, 12)}]
+    assert hits(["\u00e9t\u00e9 na\u00efve \u043c\u0438\u0440 e\u0301t \u0939\u093f\u0928\u094d\u0926\u0940"], ["\u00e9t\u00e9, na\u00efve. \u043c\u0438\u0440! e\u0301t? \u0939\u093f\u0928\u094d\u0926\u0940"]) == [{0: (0, 5, 5)}]
+
+
+@pytest.mark.parametrize("item", ["\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed", "\u6771\u4eac\u306b\u884c\u304d\u307e\u3057\u305f", "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35\u0e0a\u0e32\u0e27\u0e42\u0e25\u0e01"])
+def test_scripts_without_blanks_are_taken_by_characters(item):
+    n = len(item)
+    got = hits([item, f"\u524d\u6587{item}\u3002\u540e", item[::-1]], [item])
+    assert got == [{0: (0, n, n)}, {0: (2, 2 + n, n)}, {}]
+
+
+def test_texts_that_are_a_short_item():
+    assert hits(["Yes, it is!", "yes it is so", "\u4f60\u597d", ""], ["yes it is", "\u4f60\u597d", ""]) == [{0: (0, 3, 3)}, {}, {1: (0, 2, 2)}, {}]
