@@ -36,7 +36,7 @@ ROUNDS = 12
 # --- reading ------------------------------------------------------------------------------------
 
 TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<(?P<raw>script|style|textarea|noscript|template|svg|iframe|select|button)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--(?:.*?-->|.*\Z)|<(?P<raw>script|style|textarea)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|[^<]+|<",
     re.S | re.I,
 )
@@ -49,6 +49,9 @@ BLOCK_TAGS = frozenset(
 )
 #: Tags without content.
 EMPTY_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Tags whose content is no text of the page, from one to its own end; one without an end hides nothing.
+HIDDEN = frozenset("noscript template svg iframe select button".split())
+HIDING = re.compile(r"<(?:" + "|".join(sorted(HIDDEN)) + r")[\s/>]", re.I).search
 #: Tags that an opening tag of the same group closes.
 CLOSED_BY = {
     "p": frozenset({"p"}), "li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}),
@@ -72,6 +75,32 @@ def class_words(more: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def hidden(page: str) -> dict[int, int]:
+    """Where hidden content begins, at its tag, and where its end tag does. The end of a block around ends what is open in it."""
+    out: dict[int, int] = {}
+    if not HIDING(page):
+        return out
+    stack: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+    for m in TOKEN.finditer(page):
+        name = (m["name"] or "").lower()
+        if name not in HIDDEN and name not in BLOCK_TAGS or name in EMPTY_TAGS:
+            continue
+        if not m["end"]:
+            if not (name == "svg" and m["more"].endswith("/")):  # of these only svg can close itself
+                stack.append((name, m.start()))
+                count[name] = count.get(name, 0) + 1
+        elif count.get(name):
+            while True:
+                last, start = stack.pop()
+                count[last] -= 1
+                if last == name:
+                    break
+            if name in HIDDEN:
+                out[start] = m.start()
+    return out
+
+
 def leaf_blocks(page: str) -> list[Block]:
     out: list[Block] = []
     # Each open tag with all tags and words down to it; sets that do not grow are shared.
@@ -88,7 +117,10 @@ def leaf_blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
+    ends, shown = hidden(page), 0
     for m in TOKEN.finditer(page):
+        if m.start() < shown:
+            continue
         name = m["name"]
         if name is None:
             if m["raw"] is None and not m[0].startswith(("<!", "<?", "</")):
@@ -102,6 +134,7 @@ def leaf_blocks(page: str) -> list[Block]:
         elif name == "a":
             in_link = not m["end"]
         elif name not in BLOCK_TAGS:
+            shown = ends.get(m.start(), shown)
             continue
         elif m["end"]:
             flush()

@@ -120,3 +120,19 @@ def test_edges(spark, model):
     assert {t for i, _, t in got if i in (3, None)} == {P.main_text(PAGE, model)}
     assert P.extract(df.limit(0), model).count() == 0
     assert P.learn(df.limit(0), made=5, rounds=1) is not None
+
+
+@pytest.mark.parametrize("page,texts", [
+    ('<article><p>one<svg class="i"/></p><p>two</p></article>', ["one", "two"]), ("<p>a<svg-icon>b</svg-icon></p><p>c", ["ab", "c"]),
+    ("<button-group><p>a</p></button-group><select-box>b", ["a", "b"]), ("<div><button>a</div><p>b", ["a", "b"]), ("<select><option>a<p>b", ["a", "b"]),
+    ("x<button><div>a</div></button>y<p>b", ["xy", "b"]), ("x<svg><svg><title>t</title></svg>u</svg><p>b", ["x", "b"]), ("<noscript><p>a</noscript>b", ["b"]),
+    ("x<svg viewBox='0 0' /><svg><g/></svg><p>b", ["x", "b"]), ("<TEMPLATE><p>a</TEMPLATE >b<iframe src=x>c</iframe>", ["b"]), ("a<script-x>b</script-x>c", ["abc"]),
+    ("<button>a<button>b</button><p>c", ["a", "c"]), ("<script src=x>a", []), ("a<textarea><p>b", ["a"]),
+])
+def test_only_hidden_content_is_left_out(page, texts):
+    assert [b.text for b in P.leaf_blocks(page)] == texts
+
+
+@pytest.mark.parametrize("page", ["<svg>" * 60000 + "x", "<button>a</div>" * 30000, "<select><p></select>" * 20000, "<svg><div></svg>" * 20000])
+def test_many_hidden_tags_take_no_long_time(page):
+    P.leaf_blocks(page)
