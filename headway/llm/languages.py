@@ -110,12 +110,17 @@ def infer(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     # By falling proportion; equal ones in the order of the languages.
     rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1, kind="stable")
     best, chosen = np.full(len(texts), -np.inf), np.zeros_like(full)
+    live = np.arange(len(texts))
     for k in range(1, languages + 1):
-        share, fit = _shares(likelihood, weight, first, size, (rank < k).astype(float))
-        fit = fit - PENALTY * (k - 1) * np.log1p(size)
-        better = fit > best
-        best[better], chosen[better] = fit[better], share[better]
-        if not better.any():
+        rows = np.flatnonzero(np.repeat(np.isin(np.arange(len(texts)), live), size))
+        own = size[live]
+        share, fit = _shares(likelihood[rows], weight[rows], np.cumsum(own) - own, own, (rank[live] < k).astype(float))
+        fit = fit - PENALTY * (k - 1) * np.log1p(own)
+        better = fit > best[live]
+        best[live[better]], chosen[live[better]] = fit[better], share[better]
+        # No likelihood is over 1, so no larger set of a text fits better than its penalty lets it.
+        live = live[best[live] < -PENALTY * k * np.log1p(own)]
+        if not len(live):
             break
     # How sure: with a little of every language left in, the posterior of the main one.
     soft = 0.9 * chosen + 0.1 / languages

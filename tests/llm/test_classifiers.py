@@ -121,3 +121,20 @@ def test_toxic_windows_get_shorter():
     assert measure.shorter("they said vilexword hatedword to all of them").max() > 2
     assert measure.shorter("plain words all around and many others").max() <= 1
     assert len(measure.shorter("")) == 1 and len(measure.shorter("x" * 1000)) == 8
+
+
+def test_language_sets_do_not_depend_on_other_texts():
+    text = "a" * 32 * 60 + "b" * 32 * 25 + "c" * 32 * 15
+    log_p = np.zeros((1 << languages.BITS, 3), np.float32)
+    # Two languages much alike, one apart: the third set is the best, the second worse than the first.
+    for sign, row in (("a", (0, -1.61, -12)), ("b", (-1.61, 0, -12)), ("c", (-12, -12, 0))):
+        buffer, _, _ = languages.joined([sign * 100], languages.N)
+        log_p[languages.hashed(buffer, languages.N, languages.BITS)[10]] = np.array(row) / 32
+    model = languages.Model(["x", "y", "z"], log_p)
+    alone = languages.infer([text], model)[0][0]
+    assert (alone > 0.1).all()
+    beside = ["a" * 32 * 50 + "b" * 32 * 50, "c" * 320, "a" * 32 * 50 + "c" * 32 * 50]
+    together = languages.infer([*beside, text], model)[0]
+    assert np.allclose(together[3], alone)
+    for t, p in zip(beside, together):
+        assert np.allclose(languages.infer([t], model)[0][0], p)
