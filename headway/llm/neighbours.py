@@ -16,7 +16,7 @@ Largest inner product is turned into angle by one further coordinate that brings
 
 Defined results: vectors that are null or zero, hold null or non-finite components, or have another
 number of components than most, take no part, nor do null ids; rows with the query's id are not its neighbours; equal scores
-go by id; repeated rows are candidates one by one; an empty table gives an empty result; other columns are ignored.
+go by id; repeated rows are candidates one by one, and one query; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -124,11 +124,11 @@ class Index:
 def nearest(
     ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, coder: Coder, k: int
 ) -> list[tuple[int, int, float]]:
-    """``query, id, score`` of the best k of a block for each query."""
+    """``query, id, score`` of the best k of a block for each query, which is named by its place."""
     index = Index(coder.candidates(x))
     codes = coder.queries(queries)
     out = []
-    for q, code, own in zip(queries, codes, query_ids.tolist()):
+    for n, (q, code, own) in enumerate(zip(queries, codes, query_ids.tolist())):
         radius, bits = coder.radius, 8 * codes.shape[1]
         while True:
             found = index.within(code, radius)
@@ -141,7 +141,7 @@ def nearest(
             keep = score >= np.partition(score, len(score) - k)[len(score) - k]
             found, score = found[keep], score[keep]
         order = np.lexsort((ids[found], -score))[:k]
-        out += [(own, int(ids[found[i]]), float(score[i])) for i in order]
+        out += [(n, int(ids[found[i]]), float(score[i])) for i in order]
     return out
 
 
@@ -166,8 +166,11 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 def search(
     table: DataFrame, queries: DataFrame, k: int = 20, bits: int = BITS, sample: int = SAMPLE, block: int | None = None
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k nearest found for each query among all usable rows."""
-    rows, asked = usable(table), usable(queries)
+    """``query_id, rank, vec_id, score``: the k nearest found for each query among all usable rows.
+
+    Rows of ``queries`` with equal id and vector are one query; with other vectors an id has k of each, ranked by themselves.
+    """
+    rows, asked = usable(table), usable(queries).distinct().withColumn("form", F.xxhash64("embedding"))
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
     known = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest"), F.max(F.size("embedding")).alias("d")).first()
     if not known["n"]:
@@ -183,28 +186,31 @@ def search(
     sent = table.sparkSession.sparkContext.broadcast(coder)
     block = block or max(256, BLOCK_NUMBERS // known["d"])
     parts, query_parts = -(-known["n"] // block), -(-asked.count() // block) or 1
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("query_id", pa.int64()), ("form", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
+        columns = [(), (), (), ()]
         if len(left) and len(right):
             found = nearest(
                 left.column("vec_id").to_numpy(), _matrix(left.column("embedding")),
                 right.column("vec_id").to_numpy(), _matrix(right.column("embedding")), sent.value, k,
             )
-        columns = list(zip(*found)) or [(), (), ()]
+            if found:
+                query, near, score = zip(*found)
+                at = np.array(query)
+                columns = [right.column(c).to_numpy()[at] for c in ("vec_id", "form")] + [near, score]
         return pa.table([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
     def dealt(some: DataFrame, own: str, own_parts: int, other: str, other_parts: int) -> DataFrame:
         return some.select(
-            "vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(own_parts)).cast("int").alias(own),
+            "*", F.pmod(F.xxhash64("vec_id"), F.lit(own_parts)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1))).alias(other),
         )
 
     left = dealt(rows, "part", parts, "query_part", query_parts).groupBy("part", "query_part")
     right = dealt(asked, "query_part", query_parts, "part", parts).groupBy("part", "query_part")
-    found = left.cogroup(right).applyInArrow(run, "query_id long, vec_id long, score double")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.cogroup(right).applyInArrow(run, "query_id long, form long, vec_id long, score double")
+    best = W.partitionBy("query_id", "form").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

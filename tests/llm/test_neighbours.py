@@ -84,3 +84,16 @@ def test_learning_from_few(n):
     x = np.random.default_rng(1).normal(size=(n, 4))
     coder = N.learn(x, float(np.linalg.norm(x, axis=1).max()), 20)
     assert 0 <= coder.radius <= N.BITS and coder.candidates(x).shape == (n, N.BITS // 8)
+
+
+def test_a_repeated_query_has_all_its_neighbours(spark):
+    rows = [(i, [1.0, i / 300, 0.0]) for i in range(1, 300)] + [(1000, [0.0, 1.0, 0.0])] * 3
+    got = searched(spark, rows, 20, ask="vec_id = 1000")
+    assert [i for i, _ in got[1000]] == list(range(299, 279, -1))
+
+
+def test_other_vectors_under_one_query_id_have_their_own_neighbours(spark):
+    rows = [(i, [1.0, i / 300, 0.0]) for i in range(1, 300)] + [(1000, [0.0, 1.0, 0.0]), (1000, [0.0, -1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r["rank"], r["vec_id"]) for r in N.search(df, df.where("vec_id = 1000"), 5).collect())
+    assert got == sorted((n + 1, i) for n in range(5) for i in (299 - n, 1 + n))
