@@ -88,14 +88,14 @@ class KeyBits(NamedTuple):
         return pa.array(self.bits[positions.to_numpy(zero_copy_only=False)])
 
 
-def key_bits(keys: DataFrame, key: str) -> KeyBits:
+def key_bits(keys: DataFrame, key: str, hashed: bool = True) -> KeyBits:
     """The bit set of a column, of at most ``MOST_KEY_BITS`` bits however many keys there are.
 
     It spares most rows without such a key a shuffle. What it lets through must still be joined; with more
-    keys it lets through more.
+    keys it lets through more. Without ``hashed`` the key is a number whose remainder is its place.
     """
     size = min(MOST_KEY_BITS, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
-    at = F.pmod(F.xxhash64(F.col(key)), F.lit(size)) + 1
+    at = F.pmod(F.xxhash64(F.col(key)) if hashed else F.col(key), F.lit(size)) + 1
     parts = keys.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
     )

@@ -14,7 +14,7 @@ text is one run of all its words. Two texts are linked if the Jaccard similarity
    the stars that connect linked nodes - rows in proportion to its nodes, never its pairs.
 5. Classes are the connected components of those stars.
 
-Defined results: rows with a null id are left out; null and empty texts, and texts of white space alone, are
+Defined results: rows with a null id are left out, but not by the query, where they are documents of their own; null and empty texts, and texts of white space alone, are
 equal to one another and to nothing else; repeated rows are copies of one another; texts under one id fall into
 one class; an empty table gives an empty result; other columns are ignored.
 """
@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from headway.llm.common import batch_of, blocks, kept, key_bits, mapped
 from headway.llm.words import DARK_BYTES, run_hashes, word_hashes
@@ -277,49 +278,63 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def near_copies(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD,
-    recall: float = RECALL, rows: int = ROWS,
-) -> DataFrame:
-    """``doc_id, class_id, n_links, n_text_links, n_copies`` of every document.
-
-    ``class_id``: the least id of its class; ``n_links``: other documents linked with it, copies included;
-    ``n_text_links``: texts with other sets linked with it; ``n_copies``: documents with its set, itself included.
-    """
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
+def linked_texts(docs: DataFrame, words: int, threshold: float, recall: float, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of ``doc_id, text``: rows with their digest; ``digest, node, copies, least`` of each set; links of its node."""
     sketched = kept(sketches(docs, band_count(threshold, recall, rows), rows, words))
     nodes = sketched.groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"), F.first("bands").alias("bands")
-    )
-    # Sets under one id are one node for what follows; its set is that of the least digest.
-    digests = kept(nodes)
-    alone = digests.groupBy("node").agg(
-        F.min_by("copies", "digest").alias("copies"), F.min_by("grams", "digest").alias("grams"),
-        F.min_by("bands", "digest").alias("bands"), F.min("digest").alias("digest"),
+        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"), F.first("bands").alias("bands")
     )
-    work = kept(units(alone))
-    wanted = work.select("node").distinct().join(digests.select("node", "digest"), "node")
-    wanted = kept(wanted.groupBy("node").agg(F.min("digest").alias("digest")))
-    schema = pa.schema([("node", pa.int64()), ("digest", pa.binary()), ("grams", pa.binary())])
-    bits = key_bits(wanted, "node")
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    # Numbers of sets, fixed by being written down.
+    nodes = kept(nodes.withColumn("node", F.monotonically_increasing_id()))
+    work = kept(units(nodes))
+    mark = F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10).cast("long")
+    wanted = kept(work.select("node").distinct().join(nodes.select("node", "digest", "least"), "node").withColumn("mark", mark))
+    schema = pa.schema([("digest", pa.binary()), ("grams", pa.binary())])
+    bits, marks = key_bits(wanted, "least"), key_bits(wanted, "mark", hashed=False)
+    sent, sent_marks = (docs.sparkSession.sparkContext.broadcast(b) for b in (bits, marks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = sent_marks.value
         chosen = (b.filter(sent.value.hit(b.column("position"))) for b in batches)
-        for batch, texts in blocks(chosen):
+        for _, texts in blocks(chosen):
             sets = [s.tobytes() for s in gram_sets(texts, words)]
             digest = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
-            yield batch_of(schema, node=batch.column("doc_id"), digest=digest, grams=sets)
+            some = [i for i, d in enumerate(digest) if near.bits[int.from_bytes(d[:4], "big") % near.size]]
+            yield batch_of(schema, digest=[digest[i] for i in some], grams=[sets[i] for i in some])
 
     # Texts are read again where they lie; only sets of nodes that share a bucket are shuffled.
-    read = mapped(docs.withColumn("position", bits.position(F.col("doc_id"))), run, "node long, digest binary, grams binary")
-    sets = read.join(wanted, ["node", "digest"]).dropDuplicates(["node"]).select("node", "grams")
-    found = kept(verified(work.join(sets, "node"), threshold))
+    read = mapped(docs.withColumn("position", bits.position(F.col("doc_id"))), run, "digest binary, grams binary")
+    sets = read.join(wanted.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "grams")
+    return sketched, nodes.select("digest", "node", "copies", "least", "grams"), kept(verified(work.join(sets, "node"), threshold))
+
+
+def near_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD,
+    recall: float = RECALL, rows: int = ROWS, without_id: bool = False,
+) -> DataFrame:
+    """``doc_id, class_id, n_links, n_text_links, n_copies`` of every document; with ``without_id`` those with a null id too.
+
+    ``class_id``: the least id of its class; ``n_links``: other documents linked with it, copies included;
+    ``n_text_links``: texts with other sets linked with it; ``n_copies``: documents with its set, itself included.
+    """
+    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = docs if without_id else docs.where("doc_id IS NOT NULL")
+    sketched, digests, found = linked_texts(docs, words, threshold, recall, rows)
+    edges = found.select(F.col("node").alias("a"), F.col("star").alias("b"))
     # Sets under one id are connected through it.
-    roots = components(found.select(F.col("node").alias("a"), F.col("star").alias("b")))
+    several = sketched.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("digest").alias("digest"), F.max("digest").alias("last"))
+    several = kept(several.where("digest != last").join(digests, "digest").select("doc_id", F.col("node").alias("b")))
+    same = sketched.select("doc_id", "digest").join(several, "doc_id").select("digest", "b").distinct()
+    edges = edges.unionByName(same.join(digests, "digest").select(F.col("node").alias("a"), "b"))
+    roots = kept(components(edges).join(digests.select("node", "least"), "node"))
+    # A root is not among its class.
+    tops = roots.select(F.col("root").alias("node")).distinct().join(digests.select("node", "least"), "node").select("node", F.col("node").alias("root"), "least")
+    roots = kept(roots.select("node", "root", "least").unionByName(tops).distinct())
+    low = kept(roots.groupBy("root").agg(F.min("least").alias("class_id")))
+    of_class = roots.select("node", "root").join(low, "root").select("node", "class_id")
     links = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
-    classes = digests.select("digest", "node", "copies").join(roots, "node", "left").join(links, "node", "left").select(
-        "digest", "copies", F.coalesce("root", "node").alias("class_id"),
+    classes = digests.join(of_class, "node", "left").join(links, "node", "left").select(
+        "digest", "copies", F.coalesce("class_id", "least").alias("class_id"),
         F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("texts", F.lit(0)).alias("texts"),
     )
     return sketched.select("doc_id", "digest").join(classes, "digest").select(
@@ -329,32 +344,46 @@ def near_copies(
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, of one document of each class: the one with the least id.
+    """The rows, with all their columns, of one text of each class of linked texts: the one with the least id, null last.
 
-    Rows without id stay. Of rows that repeat an id that stays, one stays.
+    Other texts under the same id are judged by themselves. Of rows with equal id and set, one stays. Rows with neither
+    id nor words stay.
     """
-    classes = kept(near_copies(docs).select(F.col("doc_id").alias("__copy_id"), F.col("class_id").alias("__copy_class")))
-    stays = classes.groupBy("__copy_id").agg(F.min(F.col("__copy_class")).alias("__copy_class"), F.count(F.lit(1)).alias("__copy_rows"))
-    gone = kept(stays.where("__copy_id != __copy_class OR __copy_rows > 1"))
-    bits = key_bits(gone, "__copy_id")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sketched, digests, found = linked_texts(narrow, WORDS, THRESHOLD, RECALL, ROWS)
+    roots = components(found.select(F.col("node").alias("a"), F.col("star").alias("b")))
+    named = kept(digests.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    first = F.struct(F.col("least").isNull().alias("none"), "least", "node")
+    best = kept(named.groupBy("root").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("sets")))
+    # Sets whose rows do not all stay, and whether one of them does.
+    gone = named.join(best, "root").where("sets > 1 OR copies > 1").select("digest", "least", "grams", (F.col("first.node") == F.col("node")).alias("wins"))
+    verdict = sketched.select("doc_id", "digest").distinct().join(kept(gone), "digest").where("doc_id IS NOT NULL OR grams > 0").select(
+        F.col("doc_id").alias("__copy_id"), F.col("digest").alias("__copy_of"), (F.col("wins") & F.col("doc_id").eqNullSafe(F.col("least"))).alias("__copy_stays")
+    )
+    verdict = kept(verdict)
+    bits = key_bits(verdict, "__copy_id")
     sent = docs.sparkSession.sparkContext.broadcast(bits)
     placed = docs.withColumn("__copy_position", bits.position(F.col("doc_id").cast("long")))
 
-    def chosen(hit: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                found = sent.value.hit(b.column("__copy_position"))
-                yield b.filter(found if hit else pc.invert(found)).drop_columns(["__copy_position"])
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pc.invert(sent.value.hit(b.column("__copy_position")))).drop_columns(["__copy_position"])
 
-        return mapped(placed, run, docs.schema)
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in blocks(b.filter(sent.value.hit(b.column("__copy_position"))) for b in batches):
+            digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in gram_sets(texts)]
+            yield b.drop_columns(["__copy_position"]).append_column("__copy_digest", pa.array(digest, type=pa.binary()))
 
     # Rows without a bit stay where they are; the others, few more than those that go, are joined.
-    marked = chosen(True).join(gone, F.col("doc_id") == F.col("__copy_id"), "left")
-    single = marked.where("__copy_id IS NULL").drop("__copy_id", "__copy_class", "__copy_rows")
-    repeated = marked.where("__copy_id = __copy_class").drop("__copy_id", "__copy_class", "__copy_rows").dropDuplicates(["doc_id"])
-    return chosen(False).unionByName(single).unionByName(repeated)
+    schema = StructType([*docs.schema.fields, StructField("__copy_digest", BinaryType())])
+    marked = mapped(placed, hit, schema).join(
+        verdict, F.col("doc_id").cast("long").eqNullSafe(F.col("__copy_id")) & (F.col("__copy_digest") == F.col("__copy_of")), "left"
+    )
+    single = marked.where("__copy_of IS NULL").select(*docs.columns)
+    repeated = marked.where("__copy_stays").dropDuplicates(["__copy_digest"]).select(*docs.columns)
+    return mapped(placed, left, docs.schema).unionByName(single).unionByName(repeated)
 
 
 def op5_minhash_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes and numbers of links of all documents."""
-    return near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"), without_id=True)

@@ -119,3 +119,26 @@ def test_intersections_by_products():
 @pytest.mark.parametrize("text", ["", "a", "a b c d e f"])
 def test_sets_of_short_texts(text):
     assert len(C.gram_sets([text])[0]) == len(grams(text))
+
+
+def test_every_text_of_an_id_is_compared(spark):
+    chance = random.Random(6)
+    texts = [t for _ in range(12) for t in family(chance, 2, 80, 2)] + family(chance, 3, 60, 0)
+    # One id for every other text; the rest have their own.
+    rows = [(7 if i % 2 else 100 + i, t) for i, t in enumerate(texts)] + [(500, "some other words that stand alone here")]
+    assert found(spark, rows, recall=0.999999) == brute(rows)
+
+
+def test_rows_without_id_are_documents_of_the_query(spark):
+    rows = [(3, "one two three four five six"), (None, "one two three four five six"), (None, "alone"), (None, "alone"), (None, None), (4, "four")]
+    out = C.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), without_id=True)
+    got = sorted((tuple(r) for r in out.select("doc_id", "class_id", "n_links", "n_copies").collect()), key=str)
+    assert got == sorted([(3, 3, 1, 2), (None, 3, 1, 2), (None, None, 1, 2), (None, None, 1, 2), (None, None, 0, 1), (4, 4, 0, 1)], key=str)
+
+
+def test_one_of_each_judges_every_text(spark):
+    chance = random.Random(7)
+    (a, b), (c, d), e = family(chance, 2, 80, 0), family(chance, 2, 80, 1), "some words of their own"
+    rows = [(1, a), (2, b), (1, c), (1, c), (3, d), (1, e), (None, a), (None, "no id here"), (None, "no id here"), (None, None), (None, ""), (9, "")]
+    got = sorted(map(tuple, C.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted([(1, a), (1, c), (1, e), (None, "no id here"), (None, None), (None, ""), (9, "")], key=str)
