@@ -15,7 +15,7 @@ what is unset by then is longer, so the suffixes on both sides of it repeat.
 
 *Anchors with very many strings* (a line that a third of all texts hold, with other words around it): each of their
 strings is cut in two, on the anchor and half of the bytes missing to ``length`` on its left or its right side. Where that is
-too many again, half of the rest is added, until the anchor is the window itself and there is one string. So no group grows
+too many again, each window is its own anchor, of which there is one string. So no group grows
 with the input, nothing is capped and no string lost.
 
 Only strings, runs and the texts that keep a part are shuffled. Bit sets that say which texts to read again have a fixed
@@ -123,13 +123,18 @@ def _cut(raw: list[bytes], pieces: list[tuple[int, int, int]], length: int, hot:
         return mixed((total[at + gram] - total[at]) * inverse[at]).view(np.int64)
 
     key = keys()
-    for bits in hot:  # only what is cut further goes on
+    for level, bits in enumerate(hot):  # only what is cut further goes on
         many = bits.bits[key % bits.size]
-        more = -(-(length - gram) // 2)
-        gram += more
-        left = _part(many, at - more, first, np.minimum(last, at - more))
-        right = _part(many, at, np.maximum(first, at - more + 1), last)
-        at, first, last = (np.concatenate(x) for x in zip(left, right))
+        if level == 0:
+            more = -(-(length - gram) // 2)
+            gram += more
+            left = _part(many, at - more, first, np.minimum(last, at - more))
+            right = _part(many, at, np.maximum(first, at - more + 1), last)
+            at, first, last = (np.concatenate(x) for x in zip(left, right))
+        else:  # every window by itself
+            begin, count = first[many], (last - first + 1)[many]
+            at = first = last = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+            gram = length
         key = keys()
     piece = np.searchsorted(ends, first, side="right")
     moved = begin[piece] - (ends - end + begin)[piece]
@@ -403,8 +408,10 @@ def spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_STRINGS) -> Da
         repeated_keys = _passing(keys, "key", many, False) if many else keys
         bits = key_bits(repeated_keys, "key", hashed=False)
         some = staged(_passing(forms, "key", bits).join(repeated_keys, "key"))
-        same = some.where("forms = 1").select("key", "digest", F.lit(0).alias("low"), F.col("size").alias("high"))
-        runs_here = same.unionByName(_runs(texts, some.where("forms > 1"), length, hot))
+        runs_here = some.where("forms = 1").select("key", "digest", F.lit(0).alias("low"), F.col("size").alias("high"))
+        several = some.where("forms > 1")
+        if several.head(1):
+            runs_here = runs_here.unionByName(_runs(texts, several, length, hot))
         found.append(
             _passing(strings, "key", bits).join(runs_here, ["key", "digest"])
             .select("node_a", "node_b", "bytes", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
