@@ -136,7 +136,7 @@ def distance_to_edges(px: str | Column, py: str | Column, edges: str | Column) -
 
 def ring_area(ring: str | Column) -> Column:
     """Shoelace area of one ring."""
-    return F.abs(_signed_area(_c(ring)))
+    return F.abs(signed_area(_c(ring)))
 
 
 def _closed_pairs(ring: Column) -> Column:
@@ -154,14 +154,15 @@ def _sum(arr: Column, body) -> Column:
     return F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + body(e))
 
 
-def _signed_area(ring: Column) -> Column:
+def signed_area(ring: Column) -> Column:
+    """Shoelace area of one ring, positive where it runs to the left."""
     return _sum(_closed_pairs(ring), lambda e: e["cross"]) / 2
 
 
 def ring_centroid(ring: str | Column) -> Column:
     """Centre of mass of one ring as ``struct<x,y>``."""
     r = _c(ring)
-    six_area = F.nullif(_signed_area(r) * 6, F.lit(0.0))
+    six_area = F.nullif(signed_area(r) * 6, F.lit(0.0))
     pairs = _closed_pairs(r)
     return F.struct(
         (_sum(pairs, lambda e: e["sx"] * e["cross"]) / six_area).alias("x"),

@@ -73,7 +73,7 @@ def headways(visits: DataFrame, bucket: str = "day", within_day: bool = False) -
     By default the last headway of a day reaches to the next day's first bus;
     ``within_day`` leaves it NULL.
     """
-    out = bucketed_next(visits, ("rt", "stop_id"), "bus_stop_time", ("trip_id",), "__due", bucket)
+    out = bucketed_next(visits, ("rt", "stop_id"), "bus_stop_time", ("trip_id", "pid", "stop_sequence"), "__due", bucket)
     gap = seconds_between("bus_stop_time", "__due")
     if within_day:
         same = F.to_date("__due") == F.to_date("bus_stop_time")
@@ -81,13 +81,23 @@ def headways(visits: DataFrame, bucket: str = "day", within_day: bool = False) -
     return out.withColumn("time_till_next_bus", gap).drop("__due")
 
 
+def headways_by_stop(visits: DataFrame) -> DataFrame:
+    """``headways`` for visits that are stored by stop: one window per (rt, stop_id), which such a table needs no shuffle for.
+
+    For tables that are not, ``headways`` cuts a busy stop by day; here it is one task, as it is one bucket.
+    """
+    order = W.partitionBy("rt", "stop_id").orderBy("bus_stop_time", "trip_id", "pid", "stop_sequence")
+    due = F.lead("bus_stop_time").over(order)
+    return visits.withColumn("time_till_next_bus", seconds_between("bus_stop_time", due))
+
+
 def segment_times(visits: DataFrame, bucket: str | None = None) -> DataFrame:
     """Seconds from the previous stop of the trip (0 at the first) and their running sum.
 
     A trip is one vehicle on one service day, so its window is small by nature.
     Where trip ids are unreliable, ``bucket`` ("hour", "day") cuts long trips.
     """
-    keys, time, tie = ("rt", "trip_id"), "bus_stop_time", ("stop_sequence", "stop_id")
+    keys, time, tie = ("rt", "trip_id"), "bus_stop_time", ("stop_sequence", "stop_id", "pid")
     gap = lambda before: F.coalesce(seconds_between(before, time), F.lit(0)).cast("long")
     if bucket is not None:
         timed = bucketed_previous(visits, keys, time, tie, "__before", bucket)

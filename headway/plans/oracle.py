@@ -35,16 +35,17 @@ VA = _visits("va", "ts", 4)
 VS = _visits("vs", "ts + to_minutes(CAST(((event_id % 7) - 3) * 17 AS INTEGER))", 5)
 
 
-def _timed(name: str, source: str, daytime: bool = True) -> str:
+def _timed(name: str, source: str, daytime: bool = True, row: str = "pid") -> str:
+    """``row`` ends the order within a trip: rows alike up to there must be equal, or two windows may sort them apart."""
     where = "WHERE hour(bus_stop_time) BETWEEN 6 AND 20" if daytime else ""
     return f"""{name}_d AS (SELECT * FROM {source} {where}),
 {name}_g AS (
   SELECT *,
-    date_sub('second', bus_stop_time, lead(bus_stop_time) OVER (PARTITION BY rt, stop_id ORDER BY bus_stop_time, trip_id)) AS time_till_next_bus,
-    coalesce(date_sub('second', lag(bus_stop_time) OVER (PARTITION BY rt, trip_id ORDER BY bus_stop_time, stop_sequence, stop_id), bus_stop_time), 0) AS time_to_previous_stop
+    date_sub('second', bus_stop_time, lead(bus_stop_time) OVER (PARTITION BY rt, stop_id ORDER BY bus_stop_time, trip_id, pid, stop_sequence)) AS time_till_next_bus,
+    coalesce(date_sub('second', lag(bus_stop_time) OVER (PARTITION BY rt, trip_id ORDER BY bus_stop_time, stop_sequence, stop_id, {row}), bus_stop_time), 0) AS time_to_previous_stop
   FROM {name}_d),
 {name} AS (
-  SELECT *, CAST(sum(time_to_previous_stop) OVER (PARTITION BY rt, trip_id ORDER BY bus_stop_time, stop_sequence, stop_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_trip_time
+  SELECT *, CAST(sum(time_to_previous_stop) OVER (PARTITION BY rt, trip_id ORDER BY bus_stop_time, stop_sequence, stop_id, {row} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_trip_time
   FROM {name}_g)"""
 
 
@@ -126,11 +127,11 @@ _TIMES = ("time_till_next_bus", "time_to_previous_stop", "cum_trip_time")
 _SHORT = ("count", "median", "q25", "q75")
 
 
-def _table(kind: str, source: str, periods: list[str], which: tuple[str, ...] = _SHORT) -> list[str]:
+def _table(kind: str, source: str, periods: list[str], which: tuple[str, ...] = _SHORT, row: str = "pid") -> list[str]:
     """CTEs ending in ``m_<kind>``: all four metrics."""
     k = kind
     return [
-        _timed(f"tm_{k}", source),
+        _timed(f"tm_{k}", source, row=row),
         _spread(f"sp_{k}", f"tm_{k}", "bus_stop_time", periods, "rt, pid, stop_id, " + ", ".join(_TIMES)),
         _slots(f"sl_{k}", f"tm_{k}_d", periods),
         f"mt_{k} AS (SELECT {_K5}, " + ", ".join(_stats(m, f"{k}_{m}", which) for m in _TIMES) + f" FROM sp_{k} GROUP BY {_K5})",
@@ -515,7 +516,7 @@ ORACLE["trip_profiles"] = _with([VA, _timed("tm", "va"), TOP.format(src="tm_d")]
     "SELECT rt, pid, trip_id, stop_id, stop_sequence, cum_trip_time FROM tm JOIN top USING (rt, pid)")
 ORACLE["sampled_trip_profiles"] = _with([VA, _timed("tm", "va"), TOP.format(src="tm_d"),
     """chosen AS (SELECT rt, trip_id FROM (SELECT DISTINCT rt, trip_id FROM tm JOIN top USING (rt, pid))
-  QUALIFY row_number() OVER (PARTITION BY rt ORDER BY md5(trip_id || ':7'), trip_id) <= 5)"""],
+  QUALIFY row_number() OVER (PARTITION BY rt ORDER BY md5(trip_id || ':7'), trip_id) <= 100)"""],
     "SELECT rt, pid, trip_id, stop_id, stop_sequence, cum_trip_time FROM tm JOIN top USING (rt, pid) JOIN chosen USING (rt, trip_id)")
 ORACLE["median_profile"] = _with(_both(["year"], _CMS), """SELECT rt, pid, stop_id, median_actual_cum_trip_time, median_schedule_cum_trip_time
 FROM m WHERE period_value = '2024'""")
@@ -546,11 +547,11 @@ ORACLE["expand_schedule"] = _with([SDAYS, GTRIPS, EXPANDED], """SELECT route_id,
 ORACLE["clean_schedule"] = _with([SDAYS, GTRIPS, EXPANDED], """SELECT route_id, pid, schd_trip_id, stop_id, CAST(sequence AS VARCHAR) AS stop_sequence, service_id, trip_id,
   strftime(CAST(d AS TIMESTAMP) + to_seconds(secs), '%Y-%m-%d %H:%M:%S') AS bus_stop_time FROM expanded""")
 _SCHEDULED = """vsched AS (
-  SELECT rt, pid, stop_id, schd || '-' || CAST((rn - 1) // mx AS VARCHAR) AS trip_id, sequence AS stop_sequence, t AS bus_stop_time FROM (
+  SELECT rt, pid, stop_id, schd || '-' || CAST((rn - 1) // mx AS VARCHAR) AS trip_id, sequence AS stop_sequence, t AS bus_stop_time, rn FROM (
     SELECT *, row_number() OVER (PARTITION BY rt, schd ORDER BY t, sequence, stop_id, pid) AS rn, max(sequence) OVER (PARTITION BY rt, schd) AS mx FROM (
       SELECT route_id AS rt, CAST(CAST(pid AS INTEGER) AS VARCHAR) AS pid, stop_id, schd_trip_id AS schd, sequence, CAST(d AS TIMESTAMP) + to_seconds(secs) AS t FROM expanded)))"""
 ORACLE["metrics_from_schedule"] = _with(
-    [SDAYS, GTRIPS, EXPANDED, _SCHEDULED, VA, *_table("actual", "va", ["hour"]), *_table("schedule", "vsched", ["hour"])],
+    [SDAYS, GTRIPS, EXPANDED, _SCHEDULED, VA, *_table("actual", "va", ["hour"]), *_table("schedule", "vsched", ["hour"], row="rn")],
     f"SELECT *, median_actual_time_till_next_bus - median_schedule_time_till_next_bus AS time_till_next_bus_delay FROM m_schedule FULL JOIN m_actual USING ({_K5})")
 ORACLE["schedule_merge"] = _with([DATED, "cur AS (SELECT route_id, min(d) AS since FROM dated WHERE v = 2 GROUP BY 1)"], """
 SELECT route_id, schd_trip_id, stop_id, stop_sequence, trip_id, strftime(CAST(d AS TIMESTAMP) + to_seconds(secs), '%Y-%m-%d %H:%M:%S') AS bus_stop_time
@@ -666,6 +667,75 @@ FROM area LEFT JOIN (
     SELECT e.community, s.stop_id FROM edge e CROSS JOIN sxy s WHERE {_dist('s.x_m', 's.y_m', 'e.x0', 'e.y0', 'e.x1', 'e.y1')} <= 1609.34e0 / 8
     UNION ALL SELECT community, stop_id FROM area JOIN astop ON {_IN_AREA}) GROUP BY community) USING (community)""")
 ORACLE["population_by_area"] = _with([AREAS, TRACTS], f"SELECT community, CAST(coalesce(sum(pop), 0) AS BIGINT) AS pop FROM area LEFT JOIN tract ON {_IN_AREA} GROUP BY community")
+_CLOSED = "lon AS x0, lat AS y0, coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS x1, coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS y1"
+TRACT_AREAS = [
+    _scatter("tbase", "c_custkey", "customer", "CAST(c_custkey AS VARCHAR) AS geoid, c_custkey % 1000 AS pop, c_custkey % 3 AS kind, "
+             "CASE WHEN c_custkey % 50 = 0 THEN 8.31e-2 ELSE 3.1e-3 + 2e-4 * (c_custkey % 7) END AS r"),
+    """tcorner AS (
+  SELECT geoid, ring, i, tbase.lon + r * dx AS lon, tbase.lat + r * dy AS lat FROM tbase JOIN (
+    SELECT kind, ring, i, mid + s * ux AS dx, s * uy AS dy FROM
+      (VALUES (0, 0, 0e0, 1e0), (1, 0, 0e0, 1e0), (1, 1, 0e0, 5e-1), (2, 0, 0e0, 1e0), (2, 2, 3e0, 1e0)) AS a(kind, ring, mid, s),
+      (VALUES (0, 1e0, 0e0), (1, 0e0, 1e0), (2, -1e0, 0e0), (3, 0e0, -1e0)) AS b(i, ux, uy)) USING (kind))""",
+    f"tedge AS (SELECT geoid, {_CLOSED} FROM tcorner WINDOW w AS (PARTITION BY geoid, ring ORDER BY i))",
+    f"aedge AS (SELECT community, {_CLOSED} FROM corner WINDOW w AS (PARTITION BY community, ring ORDER BY i))",
+]
+
+
+def _side(s: str, px: str, py: str) -> str:
+    return f"sign(({s}.x1 - {s}.x0) * ({py} - {s}.y0) - ({s}.y1 - {s}.y0) * ({px} - {s}.x0))"
+
+
+def _within(edges: str, key: str, px: str, py: str) -> str:
+    """Whether a point crosses an odd number of a shape's edges to its right."""
+    return f"""(SELECT count(*) FROM {edges} e WHERE e.{key} AND (e.y0 > {py}) <> (e.y1 > {py})
+    AND {px} < (e.x1 - e.x0) * ({py} - e.y0) / (e.y1 - e.y0) + e.x0) % 2 = 1"""
+
+
+MEET = [
+    AREAS, CORNERS, *TRACT_AREAS,
+    f"""meet AS (
+  SELECT a.community, t.geoid FROM aedge a JOIN tedge t
+    ON least(a.x0, a.x1) <= greatest(t.x0, t.x1) AND least(t.x0, t.x1) <= greatest(a.x0, a.x1)
+    AND least(a.y0, a.y1) <= greatest(t.y0, t.y1) AND least(t.y0, t.y1) <= greatest(a.y0, a.y1)
+    AND {_side('a', 't.x0', 't.y0')} * {_side('a', 't.x1', 't.y1')} <= 0 AND {_side('t', 'a.x0', 'a.y0')} * {_side('t', 'a.x1', 'a.y1')} <= 0
+  UNION SELECT area.community, t.geoid FROM area JOIN tcorner t ON t.ring <> 1 AND t.i = 0 AND {_within('aedge', 'community = area.community', 't.lon', 't.lat')}
+  UNION SELECT c.community, tbase.geoid FROM tbase JOIN corner c ON c.ring <> 1 AND c.i = 0
+    AND abs(c.lon - tbase.lon) < 5 * r AND abs(c.lat - tbase.lat) < 5 * r AND {_within('tedge', 'geoid = tbase.geoid', 'c.lon', 'c.lat')})""",
+]
+ORACLE["tracts_meeting_areas"] = _with(MEET, "SELECT community, geoid FROM meet")
+ORACLE["population_by_overlap"] = _with(MEET, """SELECT community, CAST(coalesce(sum(pop), 0) AS BIGINT) AS pop, count(geoid) AS tracts
+FROM area LEFT JOIN (SELECT * FROM meet JOIN tbase USING (geoid)) USING (community) GROUP BY community""")
+ORACLE["dissolved_areas"] = _with([
+    AREAS, CORNERS,
+    """snapped AS (
+  SELECT n_regionkey AS region, community, ring, i, CAST(round(lon / 1e-9) AS BIGINT) AS x, CAST(round(lat / 1e-9) AS BIGINT) AS y
+  FROM corner JOIN nation ON n_name = community)""",
+    # Outlines are listed to the left, holes as well.
+    """side AS (
+  SELECT region, CASE ring WHEN 1 THEN d ELSE a END AS a, CASE ring WHEN 1 THEN e ELSE b END AS b, CASE ring WHEN 1 THEN a ELSE d END AS c, CASE ring WHEN 1 THEN b ELSE e END AS d
+  FROM (SELECT region, ring, x AS a, y AS b, coalesce(lead(x) OVER w, first_value(x) OVER w) AS d, coalesce(lead(y) OVER w, first_value(y) OVER w) AS e
+    FROM snapped WINDOW w AS (PARTITION BY community, ring ORDER BY i)))""",
+    """stop_at AS (
+  SELECT DISTINCT s.region, s.a, s.b, s.c, s.d, p.x, p.y, (p.x - s.a) * (s.c - s.a) + (p.y - s.b) * (s.d - s.b) AS far FROM side s
+  JOIN (SELECT DISTINCT region, x, y FROM snapped) p ON p.region = s.region AND (s.c - s.a) * (p.y - s.b) = (s.d - s.b) * (p.x - s.a)
+    AND p.x BETWEEN least(s.a, s.c) AND greatest(s.a, s.c) AND p.y BETWEEN least(s.b, s.d) AND greatest(s.b, s.d))""",
+    """piece AS (
+  SELECT DISTINCT region, x AS a, y AS b, c2 AS c, d2 AS d FROM (
+    SELECT *, lead(x) OVER w AS c2, lead(y) OVER w AS d2 FROM stop_at WINDOW w AS (PARTITION BY region, a, b, c, d ORDER BY far)) WHERE c2 IS NOT NULL)""",
+    """rim AS (
+  SELECT row_number() OVER (ORDER BY region, a, b, c, d) AS id, * FROM piece p
+  WHERE NOT EXISTS (SELECT 1 FROM piece q WHERE q.region = p.region AND q.a = p.c AND q.b = p.d AND q.c = p.a AND q.d = p.b))""",
+    """follow AS (
+  SELECT p.id, p.region, p.a, p.b, p.c, p.d, q.id AS nxt, (p.c - p.a) * (q.d - q.b) - (p.d - p.b) * (q.c - q.a) AS bend
+  FROM rim p JOIN rim q ON q.region = p.region AND q.a = p.c AND q.b = p.d
+  QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY atan2(CAST((p.c - p.a) * (q.d - q.b) - (p.d - p.b) * (q.c - q.a) AS DOUBLE),
+    CAST((p.c - p.a) * (q.c - q.a) + (p.d - p.b) * (q.d - q.b) AS DOUBLE)) DESC) = 1)""",
+    """tour AS (
+  SELECT id AS start, id AS cur FROM follow
+  UNION SELECT t.start, f.nxt FROM tour t JOIN follow f ON f.id = t.cur)""",
+    """ringed AS (SELECT f.*, label FROM follow f JOIN (SELECT start, min(cur) AS label FROM tour GROUP BY start) ON start = f.id)""",
+    """ring_sums AS (SELECT label, sum(CAST(a AS HUGEINT) * d - CAST(c AS HUGEINT) * b) AS twice, count(*) FILTER (bend <> 0) AS size FROM ringed GROUP BY label)""",
+], "SELECT region, twice < 0 AS hole, CAST(size AS INTEGER) AS ring_size, c AS x, d AS y FROM ringed JOIN ring_sums USING (label) WHERE bend <> 0")
 ORACLE["stops_per_capita"] = _with([AREAS, TRACTS, ASTOPS], f"""SELECT community, pop, n_stops, round(n_stops * 1000e0 / nullif(pop, 0), 6) AS stops_percap FROM (
   SELECT community, CAST(coalesce((SELECT sum(pop) FROM tract WHERE {_IN_AREA}), 0) AS BIGINT) AS pop,
     (SELECT count(*) FROM astop WHERE {_IN_AREA}) AS n_stops FROM area)""")
@@ -689,6 +759,46 @@ ORACLE["coverage_share"] = _with([AREAS, ASTOPS, *EDGES, _xy("sxy", "astop"),
         f"round(count(*) FILTER (d <= {b} * 1609.34e0 / 8) / count(*), 6) AS percent_{b}b" for b in (1, 2, 3, 4)
     ) + " FROM dst GROUP BY community")
 
+_LINE = "(j + 5e-1) * 2e1"
+ORACLE["coverage_by_lines"] = _with([AREAS, ASTOPS, *EDGES, _xy("sxy", "astop"),
+    f"""hits AS (
+  SELECT community, j, (x1 - x0) * ({_LINE} - y0) / (y1 - y0) + x0 AS a FROM (
+    SELECT *, unnest(range(CAST(floor(least(y0, y1) / 2e1) AS BIGINT), CAST(floor(greatest(y0, y1) / 2e1) AS BIGINT) + 1)) AS j FROM edge)
+  WHERE (y0 > {_LINE}) <> (y1 > {_LINE}))""",
+    """stretch AS (
+  SELECT community, j, a, b FROM (SELECT *, lead(a) OVER w AS b, row_number() OVER w AS n FROM hits WINDOW w AS (PARTITION BY community, j ORDER BY a))
+  WHERE n % 2 = 1 AND b > a)""",
+    f"""chord AS (
+  SELECT block, j, x_m - sqrt(r * r - ({_LINE} - y_m) ** 2) AS lo, x_m + sqrt(r * r - ({_LINE} - y_m) ** 2) AS hi FROM (
+    SELECT DISTINCT x_m, y_m, block, r, unnest(range(CAST(floor((y_m - r) / 2e1) AS BIGINT), CAST(floor((y_m + r) / 2e1) AS BIGINT) + 1)) AS j
+    FROM sxy CROSS JOIN (SELECT k AS block, k * (1609.34e0 / 8) AS r FROM (VALUES (1), (2), (3), (4)) AS v(k)))
+  WHERE abs({_LINE} - y_m) < r)""",
+    """adds AS (
+  SELECT block, j, greatest(lo, coalesce(max(hi) OVER (PARTITION BY block, j ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo)) AS lo, hi FROM chord)""",
+    """got AS (
+  SELECT community, block, sum(least(b, hi) - greatest(a, lo)) AS m FROM stretch JOIN adds ON stretch.j = adds.j AND lo < hi AND lo < b AND hi > a GROUP BY community, block)"""],
+    "SELECT community, round(20 * total, 1) AS area_m2, " + ", ".join(
+        f"round(coalesce((SELECT m FROM got WHERE got.community = s.community AND block = {b}), 0) / total, 6) AS percent_{b}b" for b in (1, 2, 3, 4)
+    ) + " FROM (SELECT community, sum(b - a) AS total FROM stretch GROUP BY community) s")
+
+
+def _utm16() -> str:
+    """UTM zone 16 on WGS 84 by the same series, written out; degrees are those that went in."""
+    n = 1 / 298.257223563 / (2 - 1 / 298.257223563)
+    a1, a2 = n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440
+    a3, a4 = 61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280
+    e, r = 2 * math.sqrt(n) / (1 + n), 0.9996 * 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    v = lambda x: f"{x:.17e}"
+    series = lambda f, g: " + ".join(f"{v(c)} * {f}(2 * {j} * xi) * {g}(2 * {j} * eta)" for j, c in enumerate((a1, a2, a3, a4), 1))
+    return f"""SELECT ping_id, round(5e5 + {v(r)} * (eta + {series('cos', 'sinh')}), 3) AS x_m, round({v(r)} * (xi + {series('sin', 'cosh')}), 3) AS y_m,
+  round(lat, 8) AS lat, round(lon, 8) AS lon FROM (
+  SELECT *, atan2(t, cos(w)) AS xi, atanh(sin(w) / sqrt(1 + t * t)) AS eta FROM (
+    SELECT *, radians(lon + 87) AS w, sinh(atanh(sin(radians(lat))) - {v(e)} * atanh({v(e)} * sin(radians(lat)))) AS t FROM pings))"""
+
+
+ORACLE["projected_both_ways"] = _with([PINGS], _utm16())
+ORACLE["stored_headways"] = _with([VA, _timed("tm", "va")], "SELECT rt, pid, stop_id, trip_id, stop_sequence AS event_id, time_till_next_bus FROM tm")
+
 # --- reach --------------------------------------------------------------------
 
 REACH = [VA, *_table("actual", "va", ["year"]),
@@ -842,11 +952,17 @@ ORACLE["pulls_by_day"] = _with([PINGS], """SELECT ping_id, CAST(CAST(data_time A
   CASE ping_id % 2 WHEN 0 THEN '2024-02-01' ELSE '2024-02-02' END AS pull_date FROM pings""")
 ORACLE["published_versions"] = _with([ASTOPS], "SELECT stop_id, lon, lat, '2024-02-01' AS latest, '2024-01-01' AS previous FROM astop")
 ORACLE["gtfs_feeds"] = _with([GTRIPS], "SELECT 'feed' || service_id AS feed_id, trip_id, route_id, shape_id, service_id, CAST(NULL AS VARCHAR) AS schd_trip_id FROM gtrips")
-ORACLE["feed_catalogue"] = """SELECT 'sha' || CAST(n_nationkey AS VARCHAR) AS sha1, CAST(DATE '2022-01-01' + CAST(n_nationkey * 30 AS INTEGER) AS VARCHAR) AS earliest_calendar_date
-FROM nation WHERE DATE '2022-01-01' + CAST(n_nationkey * 30 AS INTEGER) >= DATE '2023-01-01'"""
+ORACLE["feed_catalogue"] = """SELECT CAST(o_orderkey AS VARCHAR) || v AS sha1, CAST(d AS VARCHAR) AS earliest_calendar_date FROM (
+  SELECT o_orderkey, v, CAST(DATE '2022-01-01' + CAST(o_orderkey % 700 + plus AS INTEGER) AS DATE) AS d FROM orders CROSS JOIN (VALUES ('a', 0), ('b', 90)) AS t(v, plus))
+WHERE d >= DATE '2023-01-01'"""
+ORACLE["pattern_inventory"] = _with([PINGS], "SELECT DISTINCT pid FROM pings")
+ORACLE["points_json_file"] = ORACLE["points_json"]
 ORACLE["areas_geojson"] = _with([AREAS, ASTOPS], f"SELECT community, stop_id, CASE kind WHEN 2 THEN 2 ELSE 1 END AS parts FROM area LEFT JOIN astop ON {_IN_AREA}")
 ORACLE["stops_csv"] = _with([ASTOPS], "SELECT stop_id, lon, lat FROM astop")
 ORACLE["file_keys"] = _with([PINGS, POINTS], "SELECT pid, seq FROM pts")
 ORACLE["incremental_append"] = _with(_interpolate("5e-1", True), """SELECT trip AS unique_trip_vehicle_day, pid || '-' || stpid AS p_stp_id, CAST(data_date AS VARCHAR) AS service_date,
   strftime(make_timestamp(CAST(round(et * 1e6) AS BIGINT) + 370000), '%Y-%m-%d %H:%M:%S') AS bus_stop_time, round(speed, 4) AS speed_mph
 FROM timed JOIN two USING (pid, trip) JOIN (SELECT DISTINCT trip, data_date FROM pings) USING (trip)""")
+ORACLE["incremental_metrics"] = _with(
+    [VA, VS, """vi AS (SELECT * FROM va WHERE bus_stop_time < DATE '2024-01-16' UNION ALL SELECT * FROM vs WHERE bus_stop_time >= DATE '2024-01-16')""",
+     *_table("actual", "vi", _LIVE)], "SELECT * FROM m_actual")

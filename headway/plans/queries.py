@@ -10,14 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway import constants as K, schemas
-from headway.functions import geo, keys
+from headway.functions import geo, keys, projection
 from headway.functions.clock import on_day, service_time
 from headway.operators import (
-    areas as A, audit, exports, interpolate, leg_speed, matching, metrics as M, patterns as P,
+    areas as A, audit, exports, interpolate, leg_speed, matching, metrics as M, overlay, patterns as P,
     pings as PG, qc, ranks, reach, rollup as R, schedule as S, visits as V,
 )
 from headway.operators.periods import OLDER_PERIODS
 from headway.plans import stand_ins as T
+from headway.plans.incremental import MetricStore
 from headway.plans.update import append_stop_times, new_days
 from headway.session import run_folder, staged
 from headway.sources import readers, writers
@@ -333,7 +334,7 @@ def trip_profiles(spark, sf):
 
 @query
 def sampled_trip_profiles(spark, sf):
-    p = R.trip_profiles(V.daytime(T.visits_actual(spark, sf)), n=5, seed=7)
+    p = R.trip_profiles(V.daytime(T.visits_actual(spark, sf)), n=100, seed=7)
     return p.select("rt", "pid", "trip_id", "stop_id", "stop_sequence", "cum_trip_time")
 
 
@@ -643,6 +644,28 @@ def population_by_area(spark, sf):
     return A.population_by_area(T.areas(spark, sf), T.tracts(spark, sf))
 
 
+@query
+def tracts_meeting_areas(spark, sf):
+    return overlay.intersecting(T.areas(spark, sf), T.tract_areas(spark, sf))
+
+
+@query
+def population_by_overlap(spark, sf):
+    return overlay.population_by_overlap(T.areas(spark, sf), T.tract_areas(spark, sf))
+
+
+@query
+def dissolved_areas(spark, sf):
+    """Corners of the unions of each region's areas, with the size of the ring they are on."""
+    nation = T.table(spark, sf, "nation").select(F.col("n_name").alias("community"), F.col("n_regionkey").alias("region"))
+    whole = overlay.dissolve(T.areas(spark, sf).join(nation, "community"), "region")
+    rings = whole.select("region", F.explode("parts").alias("part")).select("region", F.posexplode("part").alias("n", "ring"))
+    units = lambda c: F.round(F.col(f"corner.{c}") / overlay.SNAP_DEG).cast("long").alias(c)
+    return rings.select("region", (F.col("n") > 0).alias("hole"), F.size("ring").alias("ring_size"), F.explode("ring").alias("corner")).select(
+        "region", "hole", "ring_size", units("x"), units("y")
+    )
+
+
 @query
 def stops_per_capita(spark, sf):
     return rounded(A.stops_per_capita(T.areas(spark, sf), T.area_stops(spark, sf), T.tracts(spark, sf)))
@@ -662,6 +685,35 @@ def coverage_share(spark, sf):
     return rounded(A.coverage_share(A.project_rings(T.areas(spark, sf)), stops))
 
 
+@query
+def coverage_by_lines(spark, sf):
+    stops = geo.with_xy(T.area_stops(spark, sf))
+    return rounded(A.covered_area(A.project_rings(T.areas(spark, sf)), stops), 6, area_m2=1)
+
+
+@query
+def projected_both_ways(spark, sf):
+    """Pings in another zone than the engine's own, and back from there."""
+    zone = projection.utm(16)
+    there = zone.project(T.pings(spark, sf).select("ping_id", "lat", "lon"))
+    back = zone.unproject(there.select("ping_id", "x_m", "y_m"))
+    return back.select(
+        "ping_id", F.round("x_m", 3).alias("x_m"), F.round("y_m", 3).alias("y_m"),
+        F.round("lat", 8).alias("lat"), F.round("lon", 8).alias("lon"),
+    )
+
+
+@query
+def stored_headways(spark, sf):
+    """Headways of visits stored by stop, which need no shuffle."""
+    base = run_folder(spark)
+    name = f"visits_{base.rsplit('/', 1)[-1]}"
+    writers.write_by_stop(V.daytime(T.visits_actual(spark, sf)), f"{base}/visits", name)
+    return V.headways_by_stop(spark.table(name)).select(
+        "rt", "pid", "stop_id", "trip_id", F.col("stop_sequence").alias("event_id"), "time_till_next_bus"
+    )
+
+
 # --- reach -------------------------------------------------------------------
 
 
@@ -1036,16 +1088,41 @@ def gtfs_feeds(spark, sf):
 
 @query
 def feed_catalogue(spark, sf):
-    """The catalogue of feed versions as one JSON document."""
+    """Catalogues of feed versions as JSON documents, one for each order, with two versions each."""
     path = f"{run_folder(spark)}/catalogue"
-    key = F.col("n_nationkey")
-    entry = F.struct(
-        F.concat(F.lit("sha"), key.cast("string")).alias("sha1"), F.lit("2024-01-01T00:00:00Z").alias("fetched_at"),
-        F.date_format(F.date_add(F.lit("2022-01-01").cast("date"), key * 30), "yyyy-MM-dd").alias("earliest_calendar_date"),
+    key = F.col("o_orderkey")
+
+    def entry(name: str, days: F.Column) -> F.Column:
+        start = F.date_format(F.date_add(F.lit("2022-01-01").cast("date"), days.cast("int")), "yyyy-MM-dd")
+        return F.struct(
+            F.concat(key.cast("string"), F.lit(name)).alias("sha1"), F.lit("2024-01-01T00:00:00Z").alias("fetched_at"),
+            start.alias("earliest_calendar_date"),
+        )
+
+    versions = F.array(entry("a", key % 700), entry("b", key % 700 + 90))
+    T.table(spark, sf, "orders").select(F.to_json(F.struct(versions.alias("feed_versions")))).write.text(path)
+    return readers.read_feed_versions(spark, path, "2023-01-01", one_document=False).select("sha1", "earliest_calendar_date")
+
+
+@query
+def pattern_inventory(spark, sf):
+    """Patterns held, out of the names of the files they were written to."""
+    path = f"{run_folder(spark)}/patterns"
+    writers.write_partitioned(writers.split_by_pattern(T.pings(spark, sf)).select("pid", "ping_id"), path, ["pid"])
+    return readers.file_inventory(spark, path, folder="pid")
+
+
+@query
+def points_json_file(spark, sf):
+    """Points written as JSON lines and read back."""
+    path = f"{run_folder(spark)}/points"
+    points = exports.ping_points(T.pings(spark, sf))
+    writers.write_json(points, path)
+    read = spark.read.schema(points.schema).json(path)
+    return read.select(
+        "id", F.date_format("tmstmp", "yyyy-MM-dd HH:mm:ss").alias("tmstmp"), "delayed",
+        F.round(F.col("position")[0], 6).alias("lat"), F.round(F.col("position")[1], 6).alias("lon"),
     )
-    doc = T.table(spark, sf, "nation").agg(F.to_json(F.struct(F.collect_list(entry).alias("feed_versions"))).alias("value"))
-    doc.write.text(path)
-    return readers.read_feed_versions(spark, path, "2023-01-01").select("sha1", "earliest_calendar_date")
 
 
 @query
@@ -1098,3 +1175,16 @@ def incremental_append(spark, sf):
     st = spark.read.parquet(path)
     day = st.select("unique_trip_vehicle_day", "p_stp_id", F.col("service_date").cast("string").alias("service_date"), "bus_stop_time", "speed_mph")
     return rounded(day.withColumn("bus_stop_time", to_second("bus_stop_time")), 4)
+
+
+@query
+def incremental_metrics(spark, sf):
+    """Metrics kept up to date by runs: first days, corrected and further days, and those again."""
+    dated = lambda v: v.withColumn("service_date", F.to_date("bus_stop_time"))
+    first, second = dated(T.visits_actual(spark, sf)), dated(T.visits_scheduled(spark, sf))
+    day = F.col("service_date")
+    corrected = second.filter(day >= "2024-01-16")
+    store = MetricStore(spark, f"{run_folder(spark)}/metrics")
+    for batch in (first.filter(day < "2024-01-20"), corrected, corrected):
+        store.add(batch)
+    return rounded(store.metrics(T.AS_OF))

@@ -263,6 +263,22 @@ def tracts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def tract_areas(spark: SparkSession, sf: str) -> DataFrame:
+    """One area per customer: a diamond (k % 3 = 0), one with a hole (1) or two apart (2); every fiftieth is large."""
+    k = F.col("c_custkey")
+    lon, lat = _scatter("c_custkey")
+    size = F.when(k % 50 == 0, F.lit(0.0831)).otherwise(F.lit(0.0031) + F.lit(0.0002) * (k % 7))
+    at = lambda dx, dy: F.struct((F.col("lon") + F.col("r") * dx).alias("x"), (F.col("lat") + F.col("r") * dy).alias("y"))
+    diamond = lambda dx, s: F.array(at(dx + s, 0.0), at(dx, s), at(dx - s, 0.0), at(dx, -s))
+    parts = (
+        F.when(k % 3 == 0, F.array(F.array(diamond(0.0, 1.0))))
+        .when(k % 3 == 1, F.array(F.array(diamond(0.0, 1.0), diamond(0.0, 0.5))))
+        .otherwise(F.array(F.array(diamond(0.0, 1.0)), F.array(diamond(3.0, 1.0))))
+    )
+    based = table(spark, sf, "customer").select(k, lon.alias("lon"), lat.alias("lat"), size.alias("r"))
+    return based.select(k.cast("string").alias("geoid"), (k % 1000).alias("pop"), parts.alias("parts"))
+
+
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON document per ping: its vehicle in the first chunk, an error in the second now and then."""
     return snapshots_of(table(spark, sf, "events"))

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -59,34 +59,55 @@ def key_from_file_name(path: Column) -> Column:
     return F.nullif(F.regexp_extract(name, r"\d+", 0), F.lit(""))
 
 
-def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Keys of a folder whose file names carry them. Only names are read, not contents."""
+def file_inventory(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
+    """Keys of a folder whose file names carry them, or the names of the folders they lie in, as ``<folder>=<key>``.
+
+    Only names are read, not contents.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(key_from_file_name(F.col("path")).alias("pid")).filter("pid is not null").distinct()
+    key = key_from_file_name(F.col("path"))
+    if folder is not None:
+        key = F.nullif(F.regexp_extract("path", rf"/{folder}=([^/]+)/[^/]+$", 1), F.lit(""))
+    return files.select(key.alias("pid")).filter("pid is not null").distinct()
 
 
 def read_pattern_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PATTERN_POINTS).parquet(path)
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str], at_once: int = 16) -> list[str]:
+    """The first line of each file, by whatever file system it lies in: one short read a file."""
+    hadoop, java = spark._jvm.org.apache.hadoop, spark._jvm.java
+    settings = spark._jsc.hadoopConfiguration()
+
+    def first(path: str) -> str:
+        where = hadoop.fs.Path(path)
+        stream = where.getFileSystem(settings).open(where)
+        try:
+            return java.io.BufferedReader(java.io.InputStreamReader(stream, "UTF-8"), 4096).readLine() or ""
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(first, paths))
+
+
 def read_gtfs(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A GTFS text table of all extracted feeds below ``root``, all strings, absent columns NULL.
 
     A feed is the folder its tables lie in, each a file or a folder of files; its name becomes ``feed_id``. Columns are taken by header
     name, since feeds order them differently: files with equal headers are one scan, so there are as
-    many scans as there are different headers, however many feeds.
+    many scans as there are different headers, however many feeds. Only the first line of a file is read for that.
     """
     fields = schemas.GTFS[table].fields
-    # A header is the line that holds two of the names; rows of data hold none.
-    names = F.transform(F.split("value", ","), lambda c: F.trim(F.translate(c, '\ufeff"\r', "")))
-    known = F.array_intersect(names, F.array(*[F.lit(f.name) for f in fields]))
-    files = spark.read.text(f"{root}/*/{table}.txt").filter(F.size(known) >= 2).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("header")
-    )
+    files = spark.read.format("binaryFile").load(f"{root}/*/{table}.txt").filter("length > 0").select("path")
+    paths = [r["path"] for r in files.collect()]
+    same: dict[str, list[str]] = {}
+    for path, header in zip(paths, first_lines(spark, paths)):
+        same.setdefault(header, []).append(path)
     scans = []
-    # One entry per feed and table: names and headers, not contents.
-    for group in files.groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
-        raw = spark.read.option("header", True).csv([unquote(p) for p in group["paths"]])
+    for group in same.values():
+        raw = spark.read.option("header", True).csv(group)
         have = {c.strip().lstrip("\ufeff"): c for c in raw.columns}
         cols = [
             (F.col(f"`{have[f.name]}`") if f.name in have else F.lit(None).cast("string")).alias(f.name) for f in fields
@@ -122,9 +143,12 @@ def incomplete_feeds(tables: DataFrame, required: Sequence[str] = REQUIRED_FEED_
     )
 
 
-def read_feed_versions(spark: SparkSession, path: str, since: str) -> DataFrame:
-    """Published feed versions whose calendar starts at ``since`` or later."""
-    docs = spark.read.schema(schemas.FEED_VERSIONS).option("multiLine", True).json(path)
+def read_feed_versions(spark: SparkSession, path: str, since: str, one_document: bool = True) -> DataFrame:
+    """Published feed versions whose calendar starts at ``since`` or later.
+
+    A file is one document, or has one on every line.
+    """
+    docs = spark.read.schema(schemas.FEED_VERSIONS).option("multiLine", one_document).json(path)
     return docs.select(F.inline("feed_versions")).filter(
         F.col("earliest_calendar_date").try_cast("date") >= F.lit(since).cast("date")
     )

@@ -31,6 +31,34 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_by_stop(
+    df: DataFrame, path: str, table: str, keys: Sequence[str] = ("rt", "stop_id"), order: Sequence[str] = ("bus_stop_time",),
+    buckets: int = 64,
+) -> None:
+    """A table dealt to buckets by ``keys`` and sorted within them, so that windows, joins and sums by them need no shuffle.
+
+    The number of buckets is part of the layout: tables that are joined have the same. Rows are dealt before they are written, so a
+    bucket is one file.
+    """
+    dealt = df.repartition(buckets, *keys)
+    (
+        dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys, *order)
+        .option("path", path).saveAsTable(table)
+    )
+
+
+def table_by_stop(
+    spark: SparkSession, path: str, table: str, schema: str, keys: Sequence[str] = ("rt", "stop_id"),
+    order: Sequence[str] = ("bus_stop_time",), buckets: int = 64,
+) -> DataFrame:
+    """Name a table that another session wrote by ``write_by_stop`` with the same layout."""
+    by, sort = ", ".join(keys), ", ".join([*keys, *order])
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet CLUSTERED BY ({by}) SORTED BY ({sort}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table)
+
+
 def append_merge(existing: DataFrame | None, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Existing rows plus a batch, where a key in the batch replaces its old rows.
 

@@ -188,3 +188,69 @@ def test_pull_adds_to_its_days_once(spark, tmp_path):
     for _ in range(2):
         writers.write_pull(pull(5, 31), path, "2024-02-02")
     assert rows(spark.read.parquet(path).groupBy("day").count().select(F.col("day").cast("string"), "count")) == [("2024-01-01", 3), ("2024-01-02", 2)]
+
+
+def test_late_pings_are_counted_once(spark, tmp_path):
+    """Vehicles whose minutes have left the state, seen again and seen for the first time."""
+    import datetime as dt
+    import random
+
+    chance, base = random.Random(9), str(tmp_path / "out")
+    seen = [(str(chance.randrange(4)), chance.randrange(20), chance.randrange(6), chance.randrange(60), f"r{chance.randrange(2)}") for _ in range(600)]
+    rows_ = [(v, f"202401{1 + d:02d} {h:02d}:{m:02d}", dt.datetime(2024, 1, 1 + d, h, m), dt.date(2024, 1, 1 + d), "r" + v) for v, d, h, m, _ in seen]
+    schema = "vid string, tmstmp string, data_time timestamp_ntz, data_date date, rt string"
+    for i in range(4):
+        spark.createDataFrame(rows_[150 * i : 150 * i + 200], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    feed.run_once(stream, base, keep_days=3).awaitTermination()
+    want = feed.hourly_pings(spark.createDataFrame(rows_, schema)).select("data_date", "hour", "rt", "pings")
+    assert rows(spark.read.parquet(f"{base}/hours").select("data_date", "hour", "rt", "pings")) == rows(want)
+    assert spark.read.parquet(f"{base}/pings").filter("late = 'true'").count() > 0
+
+
+def test_minutes_in_state():
+    import pandas as pd
+
+    days = {}
+    row = lambda *p: pd.DataFrame([{"day": d, "minute": m} for d, m in p])
+    assert feed.remember(days, row((10, 0), (10, 0), (10, 1439), (12, 5)), 3)["late"].tolist() == [False] * 3
+    assert feed.remember(days, row((10, 0), (16, 5), (11, 1)), 3)["late"].tolist() == [True, False, True]
+    assert list(days) == [16]
+
+
+def test_headers_are_first_lines(spark, tmp_path):
+    """A line of data that holds names of columns is data."""
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "trips.txt").write_text("trip_id,route_id\nt1,r1\ntrip_id,route_id\n")
+    got = readers.read_gtfs(spark, str(tmp_path), "trips").select("trip_id", "route_id")
+    assert rows(got) == [("t1", "r1"), ("trip_id", "route_id")]
+
+
+def test_tables_by_stop_need_no_shuffle(spark, tmp_path):
+    from headway.operators import visits as V
+
+    import datetime as dt
+    import random
+
+    chance = random.Random(3)
+    data = [(f"R{i % 3}", "1", str(i % 7), f"t{i}", i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=chance.randrange(10**6))) for i in range(400)]
+    schema = "rt string, pid string, stop_id string, trip_id string, stop_sequence long, bus_stop_time timestamp_ntz"
+    df = spark.createDataFrame(data, schema)
+    writers.write_by_stop(df, str(tmp_path / "v"), "visits_here", buckets=8)
+    stored = V.headways_by_stop(spark.table("visits_here"))
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" in plan
+    names = ["stop_sequence", "time_till_next_bus"]
+    assert rows(stored.select(names)) == rows(V.headways(df).select(names))
+    spark.sql("DROP TABLE visits_here")
+    again = writers.table_by_stop(spark, str(tmp_path / "v"), "visits_there", schema, buckets=8)
+    plan = V.headways_by_stop(again)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and rows(V.headways_by_stop(again).select(names)) == rows(V.headways(df).select(names))
+    joined = again.join(again.groupBy("rt", "stop_id").count(), ["rt", "stop_id"])
+    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_inventory_of_folders(spark, tmp_path):
+    writers.write_partitioned(spark.range(9).selectExpr("id", "cast(id % 3 as string) as pid"), str(tmp_path / "p"), ["pid"])
+    assert rows(readers.file_inventory(spark, str(tmp_path / "p"), folder="pid")) == [("0",), ("1",), ("2",)]

@@ -107,3 +107,30 @@ def test_repeated_pings_stay_two(spark):
     at = dt.datetime(2024, 1, 1)
     p = spark.createDataFrame([(1, at, 1.0, 2.0, "1", "t")] * 3, "vid int, data_time timestamp_ntz, lat double, lon double, pid string, unique_trip_vehicle_day string")
     assert with_ping_id(p).select("ping_id").distinct().count() == 3
+
+
+def test_chunks_of_a_trip_walk_like_the_whole(spark):
+    """Trips cut into chunks of any size, over several levels of step functions."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(4)
+    data, number = [], 0
+    for trip, n in (("a", 700), ("b", 90), ("c", 3), ("d", 260)):
+        for i in range(n):
+            number += 1
+            for s in rnd.sample(range(-1, 30), rnd.randint(1, 3)):
+                data.append((trip, number, rnd.randrange(3 * n) if trip != "d" else i // 9, s - 0.5 if trip == "b" else s + 0.5))
+    c = _candidates(spark, data)
+    c = c.join(c.groupBy("ping_id").agg(F.min("data_time").alias("t")), "ping_id").withColumn("data_time", F.col("t")).drop("t")
+    c = c.withColumn("data_time", F.when(F.col("ping_id") != 5, F.col("data_time"))).select(*_candidates(spark, []).columns)
+    cols = ["unique_trip_vehicle_day", "ping_id", "data_time", "seg_combined"]
+    want = rows(M.greedy_positions(c, chunk=10**6).select(cols))
+    assert want
+    for chunk, fan_in in ((256, 64), (10, 64), (3, 4), (1, 2)):
+        M.FAN_IN = fan_in
+        try:
+            assert rows(M.greedy_positions(c, chunk=chunk, bucket="hour").select(cols)) == want
+        finally:
+            M.FAN_IN = 64
