@@ -6,7 +6,7 @@ index from value to codes. Two codes within a Hamming radius agree up to a share
 in at least one substring; probing every value within that share in every substring therefore
 retrieves every code within the radius. Those are reranked by exact inner products.
 
-Vectors are dealt to blocks by hash and every block is indexed in the task that searches it; queries are dealt
+Vectors are dealt to blocks by a hash of id and vector, so an id that many rows share is spread, and every block is indexed in the task that searches it; queries are dealt
 to blocks too, and each pair of blocks is one unit of work. A unit returns the best of its
 block for each of its queries. The radius is learned on the sample, for ``RECALL`` there; where a block
 has fewer codes than neighbours wanted within it, the radius grows until there are enough. Nothing is
@@ -16,7 +16,7 @@ Largest inner product is turned into angle by one further coordinate that brings
 
 Defined results: vectors that are null or zero, hold null or non-finite components, or have another
 number of components than most, take no part, nor do null ids; rows with the query's id are not its neighbours; equal scores
-go by id; repeated rows are candidates one by one, and one query; an empty table gives an empty result; other columns are ignored.
+go by id; repeated rows are candidates one by one (they travel as one with a number), and one query; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -124,7 +124,7 @@ class Index:
 def nearest(
     ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, coder: Coder, k: int
 ) -> list[tuple[int, int, float]]:
-    """``query, id, score`` of the best k of a block for each query, which is named by its place."""
+    """``query, row, score`` of the best k of a block for each query; queries and rows are named by their places."""
     index = Index(coder.candidates(x))
     codes = coder.queries(queries)
     out = []
@@ -141,7 +141,7 @@ def nearest(
             keep = score >= np.partition(score, len(score) - k)[len(score) - k]
             found, score = found[keep], score[keep]
         order = np.lexsort((ids[found], -score))[:k]
-        out += [(n, int(ids[found[i]]), float(score[i])) for i in order]
+        out += [(n, int(found[i]), float(score[i])) for i in order]
     return out
 
 
@@ -170,15 +170,17 @@ def search(
 
     Rows of ``queries`` with equal id and vector are one query; with other vectors an id has k of each, ranked by themselves.
     """
-    rows, asked = usable(table), usable(queries).distinct().withColumn("form", F.xxhash64("embedding"))
+    rows = usable(table).groupBy("vec_id", "embedding").agg(F.count(F.lit(1)).alias("copies"))
+    asked = usable(queries).distinct().withColumn("form", F.xxhash64("embedding"))
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
     known = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest"), F.max(F.size("embedding")).alias("d")).first()
     if not known["n"]:
         return rows.select(
             F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         ).limit(0)
-    taken = rows.where(unit_hash(F.col("vec_id"), F.lit("index")) < F.lit(sample / known["n"])).toPandas()
-    taken = taken.sort_values("vec_id")
+    by = unit_hash(F.col("vec_id"), F.xxhash64("embedding"), F.lit("index"))
+    taken = rows.select("vec_id", "embedding", by.alias("by")).where(F.col("by") < F.lit(sample / known["n"])).toPandas()
+    taken = taken.sort_values(["vec_id", "by"])
     x = np.array(taken["embedding"].tolist(), dtype=float).reshape(len(taken), -1)
     x = x if len(x) else np.eye(1, known["d"])
     coder = learn(x, known["longest"], k, bits)
@@ -186,30 +188,33 @@ def search(
     sent = table.sparkSession.sparkContext.broadcast(coder)
     block = block or max(256, BLOCK_NUMBERS // known["d"])
     parts, query_parts = -(-known["n"] // block), -(-asked.count() // block) or 1
-    schema = pa.schema([("query_id", pa.int64()), ("form", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema(
+        [("query_id", pa.int64()), ("form", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("copies", pa.int64())]
+    )
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        columns = [(), (), (), ()]
+        columns = [(), (), (), (), ()]
         if len(left) and len(right):
             found = nearest(
                 left.column("vec_id").to_numpy(), _matrix(left.column("embedding")),
                 right.column("vec_id").to_numpy(), _matrix(right.column("embedding")), sent.value, k,
             )
             if found:
-                query, near, score = zip(*found)
-                at = np.array(query)
-                columns = [right.column(c).to_numpy()[at] for c in ("vec_id", "form")] + [near, score]
+                query, near, score = (np.array(x) for x in zip(*found))
+                columns = [right.column(c).to_numpy()[query] for c in ("vec_id", "form")]
+                columns += [left.column("vec_id").to_numpy()[near], score, left.column("copies").to_numpy()[near]]
         return pa.table([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
     def dealt(some: DataFrame, own: str, own_parts: int, other: str, other_parts: int) -> DataFrame:
         return some.select(
-            "*", F.pmod(F.xxhash64("vec_id"), F.lit(own_parts)).cast("int").alias(own),
+            "*", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(own_parts)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1))).alias(other),
         )
 
     left = dealt(rows, "part", parts, "query_part", query_parts).groupBy("part", "query_part")
     right = dealt(asked, "query_part", query_parts, "part", parts).groupBy("part", "query_part")
-    found = left.cogroup(right).applyInArrow(run, "query_id long, form long, vec_id long, score double")
+    found = left.cogroup(right).applyInArrow(run, "query_id long, form long, vec_id long, score double, copies long")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k)).cast("int"))))
     best = W.partitionBy("query_id", "form").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

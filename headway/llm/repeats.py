@@ -53,6 +53,7 @@ STRING_SCHEMA = pa.schema(
     [("key", pa.int64()), ("digest", pa.int64()), ("node_a", pa.int64()), ("node_b", pa.int64()), ("start", pa.int64()), ("size", pa.int32()), ("bytes", pa.int64())]
 )
 TEXT_SCHEMA = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("string", pa.binary())])
+PAIR_SCHEMA = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("string", pa.binary())])
 RUN_SCHEMA = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("low", pa.int32()), ("high", pa.int32())])
 
 
@@ -327,7 +328,7 @@ def _fetcher(length: int, hot: list[KeyBits], marks: KeyBits):
 
 
 def _expander(length: int):
-    """Tasks that transform whole anchors, in the order of key and digest, and give the runs of windows that repeat."""
+    """Tasks that transform whole anchors, one after another, and give the runs of windows that repeat."""
 
     def solved(held: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
         rows = [
@@ -338,26 +339,38 @@ def _expander(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, bytes]] = []
-        size, key, d, n, string = 0, None, None, None, None
+        size, key = 0, None
         for batch in batches:
-            for k, e, count, s in zip(*(c.to_pylist() for c in batch.columns)):
-                if (k, e) != (key, d):
-                    if n is not None and string is not None:
-                        held.append((key, d, n, string))
-                        size += len(string)
-                    if k != key and size >= BLOCK_BYTES:
-                        yield solved(held)
-                        held, size = [], 0
-                    key, d, n, string = k, e, None, None
-                n, string = (count if n is None else n), (s if string is None else string)
-        if n is not None and string is not None:
-            held.append((key, d, n, string))
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] != key and size >= BLOCK_BYTES:
+                    yield solved(held)
+                    held, size = [], 0
+                key = row[0]
+                held.append(row)
+                size += len(row[3])
         if held:
             yield solved(held)
 
     return run
 
 
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key and digest: the number of each wanted string with its bytes, whatever tasks found them."""
+    key, n, string = None, None, None
+    for batch in batches:
+        out: list[tuple] = []
+        for k, d, count, s in zip(*(c.to_pylist() for c in batch.columns)):
+            if (k, d) != key:
+                if n is not None and string is not None:
+                    out.append((*key, n, string))
+                key, n, string = (k, d), None, None
+            n, string = (count if n is None else n), (s if string is None else string)
+        if out:
+            yield batch_of(PAIR_SCHEMA, **dict(zip(PAIR_SCHEMA.names, map(list, zip(*out)))))
+    if n is not None and string is not None:
+        yield batch_of(PAIR_SCHEMA, key=[key[0]], digest=[key[1]], n=[n], string=[string])
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Joins the runs of a text to spans, end exclusive."""
     for batch in batches:
@@ -434,7 +447,11 @@ def _runs(texts: DataFrame, wanted: DataFrame, length: int, hot: list[KeyBits])
     both = wanted.select("key", "digest", "n", F.lit(None).cast("binary").alias("string")).unionByName(
         fetched.select("key", "digest", F.lit(None).cast("long").alias("n"), "string")
     )
-    dealt = both.repartition("key").sortWithinPartitions("key", "digest")
+    # A text in many tasks brings its strings from each, so those are put together before strings of an anchor meet.
+    paired = mapped(
+        both.repartition("key", "digest").sortWithinPartitions("key", "digest"), _paired, "key long, digest long, n long, string binary"
+    )
+    dealt = paired.repartition("key").sortWithinPartitions("key")
     return staged(mapped(dealt, _expander(length), "key long, digest long, low int, high int"))
 
 

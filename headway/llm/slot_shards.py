@@ -5,10 +5,14 @@ slot, and a versioned table says which shard each slot lives in. Rebalancing edi
 table: slots stay where they are while their shard has room, the rest moves. Records are
 never rehashed, so a new version moves whole slots only.
 
+Rows that are equal in id and text would all hash to one slot. Where they are so many that they outweigh
+an eighth of a slot's share, the hash takes the row's place in the table as well, so a third of all rows may be equal
+and shards stay even. There are at most eight times as many such groups as slots.
+
 DataFrame operations only. What is gathered in one task has one row per slot.
 
 Defined results: a null text has no bytes and the checksum of empty text; a null id is
-hashed like any value; repeated rows are placed one by one and, being equal, share a slot;
+hashed like any value; repeated rows are placed one by one, and few of them share a slot;
 an empty table gives an empty result and a map all the same; other columns are ignored.
 """
 
@@ -32,10 +36,27 @@ def measured(docs: DataFrame, slots: int = SLOTS, key: str = "doc_id", text: str
         F.col(key).alias("doc_id"),
         (F.octet_length(whole) + F.lit(RECORD_BYTES)).cast("long").alias("size"),
         F.crc32(whole.cast("binary")).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("row"),
     )
     return rows.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int"))
 
 
+def spread(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Rows of large groups of equal ones dealt to many slots. ``rows`` are kept, so that their places stay what they are."""
+    most = max(1, rows.count() // (8 * slots))
+    equal = ["doc_id", "text_crc32", "size"]
+    many = rows.groupBy(*equal).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(
+        *[F.col(c).alias(f"__{c}") for c in equal], F.lit(True).alias("__many")
+    )
+    same = F.lit(True)
+    for c in equal:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    salted = F.pmod(F.xxhash64("doc_id", "text_crc32", "row"), F.lit(slots)).cast("int")
+    # At most 8 x slots groups: a side whose size is bounded by the plan, whatever the table.
+    found = rows.join(F.broadcast(many), same, "left")
+    return found.withColumn("virtual_slot", F.when(F.col("__many"), salted).otherwise(F.col("virtual_slot"))).select(rows.columns)
+
+
 def slot_loads(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Records and bytes of every slot, empty ones included."""
     every = rows.sparkSession.range(slots).select(F.col("id").cast("int").alias("virtual_slot"))
@@ -126,7 +147,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, path:
     """Place all documents: measure, add up, store version 0 and the rebalanced version 1, assign by the latter."""
     spark = docs.sparkSession
     path = path or f"{run_folder(spark)}/slot-map"
-    rows = kept(measured(docs, slots))
+    rows = spread(kept(measured(docs, slots)), slots)
     loads = kept(slot_loads(rows, slots))
     store_version(first_map(spark, shards, slots), path)
     store_version(rebalanced(stored_version(spark, path, 0), loads, shards), path)

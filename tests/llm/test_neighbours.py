@@ -97,3 +97,16 @@ def test_other_vectors_under_one_query_id_have_their_own_neighbours(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = sorted((r["rank"], r["vec_id"]) for r in N.search(df, df.where("vec_id = 1000"), 5).collect())
     assert got == sorted((n + 1, i) for n in range(5) for i in (299 - n, 1 + n))
+
+
+def test_a_third_of_the_rows_share_an_id(spark):
+    """Other vectors and equal ones under one id are candidates row by row, and are spread over blocks."""
+    chance = np.random.default_rng(8)
+    rows = [(7 if i % 3 else i, [float(np.float32(a)) for a in v]) for i, v in enumerate(chance.normal(size=(600, 8)))]
+    rows += [(7, rows[1][1])] * 50 + [(3001, rows[0][1])] * 4
+    want = brute(rows, 10, lambda i: i % 20 == 0)
+    got = searched(spark, rows, 10, block=100, sample=100)
+    assert got.keys() == want.keys()
+    right = sum(sum(a == b for a, b in zip(got[q], near)) for q, near in want.items())
+    same = sum(len(set(got[q]) & set(near)) for q, near in want.items())
+    assert all(len(v) == 10 for v in got.values()) and same >= 0.85 * sum(len(set(v)) for v in want.values()) and right

@@ -74,3 +74,11 @@ def test_rebalance_moves_only_what_does_not_fit(spark, tmp_path):
 def test_few_and_many_shards(spark, shards):
     docs = [(i, "y" * i) for i in range(50)]
     check(S.shard_documents(spark.createDataFrame(docs, "doc_id long, text string"), shards, 128).collect(), docs, shards)
+
+
+def test_a_third_of_the_rows_is_one_row(spark):
+    docs = [(7, "the same text") if i % 3 == 0 else (i, "x" * (i % 40)) for i in range(30000)] + [(None, None)] * 3000
+    placed = S.shard_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), 6, 512)
+    loads = check(placed.collect(), docs, 6)
+    assert max(loads) - min(loads) < 0.02 * sum(loads) / 6
+    assert placed.where("doc_id = 7").select("virtual_slot").distinct().count() > 400
