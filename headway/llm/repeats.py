@@ -133,8 +133,8 @@ def _cut(raw: list[bytes], pieces: list[tuple[int, int, int]], length: int, hot:
             right = _part(many, at, np.maximum(first, at - more + 1), last)
             at, first, last = (np.concatenate(x) for x in zip(left, right))
         else:  # every window by itself
-            begin, count = first[many], (last - first + 1)[many]
-            at = first = last = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+            lowest, count = first[many], (last - first + 1)[many]
+            at = first = last = np.repeat(lowest - np.cumsum(count) + count, count) + np.arange(count.sum())
             gram = length
         key = keys()
     piece = np.searchsorted(ends, first, side="right")
