@@ -1,12 +1,12 @@
 """Source divergence audit: how the terms of each source differ from those of other sources and of its language.
 
 For each language a ``CountVectorizer`` (at least three documents a term, the largest vocabulary an integer allows) turns
-documents into exact sparse count vectors, whose entries are added up by source: a row for each source and term it has.
+documents into exact sparse count vectors, whose entries are added up by source: a row for each term, with the sources that have it.
 Everything behind works on those rows. Shares are integers: ``p = 1 + floor(10^9 (count + 1) / (N + V))``.
 
 *Pairs of sources* are evaluated on what is not zero. Were both counts of every term zero, the value would be V times one number;
 what the terms of the one source, and of the other, change in that depends on a term's count alone, so it is added up over the
-histogram of counts of that source; only terms that both have are joined, for what they change together.
+histogram of counts of that source; only for terms that both have, what they change together is added up, by integers in numpy.
 
 *Bounded driver.* A fit holds its vocabulary on the driver and sends it to tasks. Languages with more than ``SLICE_TERMS`` terms are
 fitted in slices of their terms by hash, each a vectorizer of its own; the vectors of all slices together are the exact ones.
@@ -19,10 +19,17 @@ are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from headway.llm.common import batch_of, mapped
 from headway.session import run_folder, staged
 
 #: Documents that hold a kept term, at least; the units shares are counted in; ranks of terms that are reported.
@@ -31,6 +38,11 @@ LEAST_DOCUMENTS, UNITS, TOP = 3, 1_000_000_000, 200
 WHOLE_VOCABULARY = 2**31 - 1
 #: Terms of a language, about, that one fit may bring to the driver.
 SLICE_TERMS = 1_000_000
+#: Share of documents whose terms are counted to tell how many slices to take, and the chance that a kept term is among them.
+SAMPLED = 1 / 16
+SEEN = 1 - (1 - SAMPLED) ** LEAST_DOCUMENTS
+#: Pairs of sources that are evaluated at once.
+PAIRS = 1 << 19
 #: What stands between terms: ASCII but letters.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,20 +50,26 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def tokens(text: Column) -> Column:
     """Longest runs of ASCII letters and anything beyond ASCII, only A to Z in lower case."""
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), BETWEEN), lambda t: t != "")
+    # Where all is ASCII, lower case is the same and faster.
+    lower = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(lower, BETWEEN), "")
 
 
 def _slices(rows: DataFrame, slice_terms: int) -> dict[str, tuple[int, int]]:
-    """For each language key its documents, and the slices its terms are fitted in."""
-    terms = rows.select("lang_key", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang_key").agg(
+    """For each language key its documents, and the slices its terms are fitted in.
+
+    Terms are counted in a sample of documents. A term of ``LEAST_DOCUMENTS`` is in the sample with ``SEEN`` at least, so what
+    the sample holds, divided by that, is no less than the terms to be kept.
+    """
+    terms = rows.sample(SAMPLED, seed=1).select("lang_key", F.explode("terms").alias("term")).groupBy("lang_key").agg(
         F.approx_count_distinct("term").alias("terms")
     )
     known = rows.groupBy("lang_key").agg(F.count(F.lit(1)).alias("documents")).join(terms, "lang_key", "left")
-    return {r["lang_key"]: (r["documents"], 1 + (r["terms"] or 0) // slice_terms) for r in known.collect()}
+    return {r["lang_key"]: (r["documents"], 1 + int((r["terms"] or 0) / SEEN) // slice_terms) for r in known.collect()}
 
 
 def source_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, slice_terms: int = SLICE_TERMS) -> tuple[DataFrame, DataFrame]:
-    """``lang_key, lang, source`` of all groups; ``lang_key, source, term, count`` of kept terms where a source has them."""
+    """``lang_key, lang, source`` of all groups; ``lang_key, term, cells`` of kept terms with their sources and counts."""
     spark = docs.sparkSession
     lang, source, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text"))
     path = f"{run_folder(spark)}/terms"
@@ -67,10 +85,10 @@ def source_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, slice_terms: in
                 own = own.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(slices)) == n))
             part = _slice_counts(own.select("source", "terms"), least)
             if part is not None:
-                counted.append(part.select(F.lit(key).alias("lang_key"), "source", "term", "count"))
+                counted.append(part.select(F.lit(key).alias("lang_key"), "term", "cells"))
     groups = staged(rows.select("lang_key", "lang", "source").distinct())
     if not counted:
-        return groups, spark.createDataFrame([], "lang_key string, source string, term string, count long")
+        return groups, spark.createDataFrame([], "lang_key string, term string, cells array<struct<source:string,count:bigint>>")
     whole = counted[0]
     for more in counted[1:]:
         whole = whole.unionByName(more)
@@ -78,7 +96,10 @@ def source_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, slice_terms: in
 
 
 def _slice_counts(rows: DataFrame, least: int) -> DataFrame | None:
-    """``source, term, count`` over the document vectors of one fit, added up by source without making them dense."""
+    """``term, cells``: over the document vectors of one fit, added up by source without making them dense.
+
+    A term's cells are its sources: no more than the language has.
+    """
     spark = rows.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=WHOLE_VOCABULARY)
     model = vectorizer.fit(rows)
@@ -88,10 +109,11 @@ def _slice_counts(rows: DataFrame, least: int) -> DataFrame | None:
     vector = F.unwrap_udt("vector")
     entries = model.transform(rows).select("source", F.inline(F.arrays_zip(vector["indices"].alias("place"), vector["values"].alias("n"))))
     sums = entries.groupBy("source", "place").agg(F.sum(F.col("n").cast("long")).alias("count"))
+    cells = sums.groupBy("place").agg(F.collect_list(F.struct("source", "count")).alias("cells"))
     names = spark.createDataFrame(
         pa.table({"place": pa.array(range(len(vocabulary)), pa.int32()), "term": pa.array(vocabulary, pa.string())})
     )
-    return staged(sums.join(names, "place").select("source", "term", "count"))
+    return staged(cells.join(names, "place").select("term", "cells"))
 
 
 def share(count: Column, size: Column, terms: Column) -> Column:
@@ -105,11 +127,82 @@ def gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def pair_values(groups: DataFrame, shares: DataFrame) -> DataFrame:
+PAIR_SCHEMA = pa.schema([("lang_key", pa.string()), ("source", pa.string()), ("other", pa.string()), ("value", pa.int64())])
+
+
+class Sizes(NamedTuple):
+    """Of one language: its sources in order, their sizes, and its kept terms."""
+
+    sources: list[str]
+    sizes: np.ndarray
+    terms: int
+
+    def share(self, count: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Exact while counts stay under 9 * 10^9; beyond, in Python's integers."""
+        if len(count) and count.max() >= 9 * 10**9:
+            return np.array([1 + UNITS * (c + 1) // (n + self.terms) for c, n in zip(count.tolist(), self.sizes[at].tolist())], dtype=np.int64)
+        return 1 + UNITS * (count + 1) // (self.sizes[at] + self.terms)
+
+
+def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (p - q) * (p - q) // q
+
+
+def _both(of: Sizes, term: np.ndarray, at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What terms that two sources both have add to their value: sources by number, and the sum. Rows are sorted by term."""
+    k = len(of.sources)
+    p, p0 = of.share(count, at), of.share(np.zeros(k, dtype=np.int64), np.arange(k))
+    # For each row the first one of its term, and how many the term has: with so many it makes pairs.
+    edges = np.flatnonzero(np.diff(term, prepend=-1))
+    size = np.diff(np.append(edges, len(term)))
+    first, each = np.repeat(edges, size), np.repeat(size, size)
+    before = np.concatenate(([0], np.cumsum(each)))
+    sums: dict[int, int] = defaultdict(int)
+    begin = 0
+    while begin < len(term):
+        end = max(begin + 1, int(np.searchsorted(before, before[begin] + PAIRS, side="right")) - 1)
+        left = np.repeat(np.arange(begin, end), each[begin:end])
+        right = np.arange(len(left)) - np.repeat(before[begin:end] - before[begin] - first[begin:end], each[begin:end])
+        a, b = at[left], at[right]
+        x, y, x0, y0 = p[left], p[right], p0[a], p0[b]
+        value = _gap(x, y) - _gap(x, y0) - _gap(x0, y) + _gap(x0, y0)
+        code = a * k + b
+        order = np.argsort(code, kind="stable")
+        starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+        for c, v in zip(code[order][starts].tolist(), np.add.reduceat(value[order], starts).tolist()):
+            sums[c] += v
+        begin = end
+    codes = np.array(sorted(c for c in sums if c // k != c % k), dtype=np.int64)
+    return codes // max(1, k), codes % max(1, k), np.array([sums[c] for c in codes.tolist()], dtype=np.int64)
+
+
+def _pair_adder(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = {key: {s: i for i, s in enumerate(of.sources)} for key, of in sent.value.items()}
+        for batch in batches:
+            keys = batch.column("lang_key").to_numpy(zero_copy_only=False)
+            lists = batch.column("cells")
+            flat = lists.flatten()
+            term = np.repeat(np.arange(len(keys)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            source = flat.field("source").dictionary_encode()
+            named, count = source.indices.to_numpy(), flat.field("count").to_numpy()
+            for key in sorted(set(keys.tolist())):
+                own = keys[term] == key
+                at = np.array([numbers[key].get(s, 0) for s in source.dictionary.to_pylist()], dtype=np.int64)[named[own]]
+                a, b, value = _both(sent.value[key], term[own], at, count[own])
+                names = sent.value[key].sources
+                yield batch_of(
+                    PAIR_SCHEMA, lang_key=[key] * len(a), source=[names[i] for i in a.tolist()], other=[names[i] for i in b.tolist()], value=value
+                )
+
+    return run
+
+
+def pair_values(groups: DataFrame, terms: DataFrame, levels: DataFrame) -> DataFrame:
     """``lang_key, lang, source, other, value`` for each source and each other one of its language.
 
-    ``groups``: ``lang_key, lang, source, terms`` (kept by the language) and ``zero``, the share of a term the source has not;
-    ``shares``: ``lang_key, source, term, share, zero`` of those it has.
+    ``groups``: ``lang_key, lang, source, size, terms`` (kept by the language) and ``zero``, the share of a term the source has not;
+    ``terms``: ``lang_key, cells`` of kept terms; ``levels``: how many terms have a share in a source.
     """
     mine = groups.select("lang_key", "lang", "source", "terms", F.col("zero").alias("p0"))
     its = groups.select("lang_key", F.col("source").alias("other"), F.col("zero").alias("q0"))
@@ -118,17 +211,17 @@ def pair_values(groups: DataFrame, shares: DataFrame) -> DataFrame:
     f00 = gap(F.col("p0"), F.col("q0"))
     base = pairs.select(*at, (F.col("terms") * f00).alias("value"))
     # Terms with equal counts change a pair alike.
-    levels = staged(shares.groupBy("lang_key", "source", "share").agg(F.count(F.lit(1)).alias("m")))
     own = pairs.join(levels, ["lang_key", "source"]).select(*at, (F.col("m") * (gap(F.col("share"), F.col("q0")) - f00)).alias("value"))
     theirs = pairs.join(levels.withColumnRenamed("source", "other"), ["lang_key", "other"]).select(
         *at, (F.col("m") * (gap(F.col("p0"), F.col("share")) - f00)).alias("value")
     )
-    p = shares.select("lang_key", "source", "term", F.col("share").alias("p"), F.col("zero").alias("p0"))
-    q = shares.select("lang_key", F.col("source").alias("other"), "term", F.col("share").alias("q"), F.col("zero").alias("q0"))
-    p_, q_ = F.col("p"), F.col("q")
-    both = p.join(q, ["lang_key", "term"]).where(F.col("source") != F.col("other")).select(
-        *at, (gap(p_, q_) - gap(p_, F.col("q0")) - gap(F.col("p0"), q_) + f00).alias("value")
-    )
+    # A row for each group; the result itself holds one for each pair of them.
+    known: dict[str, list] = defaultdict(list)
+    for r in groups.select("lang_key", "source", "size", "terms").toLocalIterator():
+        known[r["lang_key"]].append((r["source"], r["size"], r["terms"]))
+    sizes = {k: Sizes([x[0] for x in sorted(v)], np.array([x[1] for x in sorted(v)], dtype=np.int64), v[0][2]) for k, v in known.items()}
+    sent = groups.sparkSession.sparkContext.broadcast(sizes)
+    both = mapped(terms.select("lang_key", "cells"), _pair_adder(sent), "lang_key string, source string, other string, value long")
     # Each part is added up by itself first: no more rows meet than pairs.
     parts = [x.groupBy(*at).agg(F.sum("value").alias("value")) for x in (base, own, theirs, both)]
     whole = parts[0]
@@ -138,12 +231,9 @@ def pair_values(groups: DataFrame, shares: DataFrame) -> DataFrame:
     return values.join(groups.select("lang_key", "lang", "source"), ["lang_key", "source"])
 
 
-def term_values(groups: DataFrame, shares: DataFrame, top: int) -> DataFrame:
+def term_values(groups: DataFrame, cells: DataFrame, top: int) -> DataFrame:
     """``lang, source, term, value, rank`` of the terms a source has more of than its language, only the first ranks."""
-    size = shares.groupBy("lang_key").agg(F.sum("count").alias("size"))
-    totals = shares.groupBy("lang_key", "term").agg(F.sum("count").alias("total"), F.first("terms").alias("terms")).join(size, "lang_key")
-    totals = totals.select("lang_key", "term", share(F.col("total"), F.col("size"), F.col("terms")).alias("q"))
-    more = shares.join(totals, ["lang_key", "term"]).where(F.col("share") > F.col("q"))
+    more = cells.where(F.col("share") > F.col("q"))
     ranked = W.partitionBy("lang_key", "source").orderBy(F.desc("value"), "term")
     first = more.select("lang_key", "source", "term", gap(F.col("share"), F.col("q")).alias("value")).withColumn(
         "rank", F.row_number().over(ranked)
@@ -153,25 +243,29 @@ def term_values(groups: DataFrame, shares: DataFrame, top: int) -> DataFrame:
 
 def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP, slice_terms: int = SLICE_TERMS) -> DataFrame:
     """``lang, source, part, item, value, rank``: parts ``pair`` (all ranks) and ``term`` (ranks to ``top``)."""
-    groups, counts = source_counts(docs, least, slice_terms)
-    vocabulary = counts.groupBy("lang_key", "term").agg(F.lit(1).alias("one")).groupBy("lang_key").agg(F.count(F.lit(1)).alias("terms"))
-    sizes = counts.groupBy("lang_key", "source").agg(F.sum("count").alias("size"))
-    known = groups.join(vocabulary, "lang_key", "left").join(sizes, ["lang_key", "source"], "left").na.fill(0, ["terms", "size"])
+    groups, terms = source_counts(docs, least, slice_terms)
+    vocabulary = terms.groupBy("lang_key").agg(F.count(F.lit(1)).alias("terms"))
+    total = F.aggregate("cells", F.lit(0).cast("long"), lambda acc, c: acc + c["count"])
+    flat = terms.select("lang_key", "term", total.alias("total"), F.inline("cells"))
+    sizes = staged(flat.groupBy("lang_key", "source").agg(F.sum("count").alias("size")))
+    whole = sizes.groupBy("lang_key").agg(F.sum("size").alias("whole"))
+    known = groups.join(vocabulary, "lang_key", "left").join(whole, "lang_key", "left").join(sizes, ["lang_key", "source"], "left")
     none = F.lit(0).cast("long")
     # Without terms there is nothing to share; one keeps the division defined.
     zero = F.when(F.col("terms") > 0, share(none, F.col("size"), F.col("terms"))).otherwise(F.lit(1).cast("long"))
-    groups = staged(known.withColumn("zero", zero))
-    shares = staged(
-        counts.join(groups.select("lang_key", "source", "terms", "size", "zero"), ["lang_key", "source"])
-        .withColumn("share", share(F.col("count"), F.col("size"), F.col("terms"))).drop("size")
+    groups = staged(known.na.fill(0, ["terms", "size", "whole"]).withColumn("zero", zero))
+    cells = flat.join(groups.select("lang_key", "source", "terms", "size", "whole"), ["lang_key", "source"]).select(
+        "lang_key", "source", "term", share(F.col("count"), F.col("size"), F.col("terms")).alias("share"),
+        share(F.col("total"), F.col("whole"), F.col("terms")).alias("q"),
     )
-    pairs = pair_values(groups, shares)
+    levels = staged(cells.groupBy("lang_key", "source", "share").agg(F.count(F.lit(1)).alias("m")))
+    pairs = pair_values(groups, terms, levels)
     order = W.partitionBy("lang_key", "source").orderBy(F.desc("value"), "other")
     pairs = pairs.withColumn("rank", F.row_number().over(order))
-    terms = term_values(groups, shares, top)
+    first = term_values(groups, cells, top)
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return pairs.select("lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), "value", "rank").unionByName(
-        terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
+        first.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
     ).select(*columns)
 
 

@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,8 +49,11 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("slice_terms", [D.SLICE_TERMS, 1])
-def test_against_brute_force(spark, slice_terms):
+@pytest.mark.parametrize("slice_terms,pairs", [(D.SLICE_TERMS, D.PAIRS), (3, 1)])
+def test_against_brute_force(spark, monkeypatch, slice_terms, pairs):
+    """With terms in several slices, and pairs evaluated one row at a time."""
+    monkeypatch.setattr(D, "SAMPLED", 1.0)
+    monkeypatch.setattr(D, "PAIRS", pairs)
     got = D.audit(table(spark, ROWS).repartition(3), slice_terms=slice_terms)
     assert sorted(map(tuple, got.collect())) == brute(ROWS)
     assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
@@ -79,3 +83,29 @@ def test_large_counts_do_not_overflow(spark):
     row = spark.createDataFrame([(9_000_000_000_000, 9_500_000_000_000, 10)], "c long, n long, v long")
     p = row.select(D.share(F.col("c"), F.col("n"), F.col("v"))).first()[0]
     assert p == 1 + 10**9 * (9_000_000_000_000 + 1) // (9_500_000_000_000 + 10)
+
+
+def test_pairs_of_a_block_do_not_matter(monkeypatch):
+    chance = np.random.default_rng(3)
+    term = np.sort(chance.integers(0, 40, 300))
+    at = np.concatenate([chance.permutation(25)[: (term == t).sum()] for t in range(40)])
+    count = chance.integers(1, 50, 300)
+    of = D.Sizes([str(i) for i in range(25)], chance.integers(100, 900, 25), 40)
+    whole = [x.tolist() for x in D._both(of, term, at, count)]
+    p0 = of.share(np.zeros(25, dtype=np.int64), np.arange(25))
+    want = Counter()
+    for t in range(40):
+        own = [(int(s), int(c)) for s, c in zip(at[term == t], count[term == t])]
+        f = lambda p, q: (p - q) ** 2 // q
+        share = lambda s, c: 1 + 10**9 * (c + 1) // (int(of.sizes[s]) + 40)
+        for a, m in own:
+            for b, n in own:
+                if a != b:
+                    p, q, x, y = share(a, m), share(b, n), int(p0[a]), int(p0[b])
+                    want[a, b] += f(p, q) - f(p, y) - f(x, q) + f(x, y)
+    assert dict(zip(zip(*whole[:2]), whole[2])) == {k: v for k, v in want.items()}
+    for pairs in (1, 7, 100):
+        monkeypatch.setattr(D, "PAIRS", pairs)
+        assert [x.tolist() for x in D._both(of, term, at, count)] == whole
+    large = D.Sizes(["a"], np.array([3 * 10**13]), 40)
+    assert large.share(np.array([10**13]), np.array([0]))[0] == 1 + 10**9 * (10**13 + 1) // (3 * 10**13 + 40)
