@@ -88,11 +88,12 @@ class KeyBits(NamedTuple):
         return pa.array(self.bits[positions.to_numpy(zero_copy_only=False)])
 
 
-def key_bits(keys: DataFrame, key: str, hashed: bool = True) -> KeyBits:
+def key_bits(keys: DataFrame, key: str, hashed: bool = True, at_once: bool = False) -> KeyBits:
     """The bit set of a column, of at most ``MOST_KEY_BITS`` bits however many keys there are.
 
     It spares most rows without such a key a shuffle. What it lets through must still be joined; with more
-    keys it lets through more. Without ``hashed`` the key is a number whose remainder is its place.
+    keys it lets through more. Without ``hashed`` the key is a number whose remainder is its place. ``at_once``: brought
+    over by one job, not partition by partition; there are ``MOST_KEY_BITS`` bits at most either way.
     """
     size = min(MOST_KEY_BITS, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
     at = F.pmod(F.xxhash64(F.col(key)) if hashed else F.col(key), F.lit(size)) + 1
@@ -100,7 +101,7 @@ def key_bits(keys: DataFrame, key: str, hashed: bool = True) -> KeyBits:
         F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
     )
     bits = np.zeros(size, dtype=bool)
-    for r in parts.toLocalIterator():
+    for r in parts.collect() if at_once else parts.toLocalIterator():
         row = np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8), bitorder="little")
         start = (r["part"] - 1) << 15
         bits[start : start + len(row)] = row[: size - start]

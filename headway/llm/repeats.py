@@ -307,19 +307,20 @@ def _fetcher(length: int, hot: list[KeyBits], marks: KeyBits):
     """Tasks that give the bytes of the strings that lie where a mark says, each once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
+        done: set[tuple[int, int]] = set()
         for _, texts in blocks(batches):
             raw = [r for r in (t.encode() for t in texts) if len(r) >= length]
             found = Strings(raw, length, hot)
             mark = found.key ^ np.array([node_of(r)[0] for r in raw], dtype=np.int64)[found.text] ^ found.first
             some = marks.bits[mark % marks.size]
             keys, digests, strings = [], [], []
-            for k, m, i, a, b in zip(*(x[some].tolist() for x in (found.key, mark, found.text, found.first, found.last))):
-                if m not in done:
-                    done.add(m)
-                    string = raw[i][a : b + length]
+            for k, i, a, b in zip(*(x[some].tolist() for x in (found.key, found.text, found.first, found.last))):
+                string = raw[i][a : b + length]
+                name = (k, digest(string))
+                if name not in done:
+                    done.add(name)
                     keys.append(k)
-                    digests.append(digest(string))
+                    digests.append(name[1])
                     strings.append(string)
             if keys:
                 yield batch_of(TEXT_SCHEMA, key=keys, digest=digests, string=strings)
@@ -416,10 +417,10 @@ def spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_STRINGS) -> Da
         keys = forms.groupBy("key").agg(F.sum("n").alias("strings"), F.count(F.lit(1)).alias("forms")).where("strings > 1")
         keys = staged(keys.select("key", "forms"))
         too_many = keys.where(F.col("forms") > most).select("key")
-        many = key_bits(too_many, "key", hashed=False) if too_many.head(1) else None
+        many = key_bits(too_many, "key", hashed=False, at_once=True) if too_many.head(1) else None
         # What shares a bit with an anchor of too many strings is cut as well, so that all strings of an anchor are.
         repeated_keys = _passing(keys, "key", many, False) if many else keys
-        bits = key_bits(repeated_keys, "key", hashed=False)
+        bits = key_bits(repeated_keys, "key", hashed=False, at_once=True)
         some = staged(_passing(forms, "key", bits).join(repeated_keys, "key"))
         runs_here = some.where("forms = 1").select("key", "digest", F.lit(0).alias("low"), F.col("size").alias("high"))
         several = some.where("forms > 1")
@@ -442,7 +443,7 @@ def spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_STRINGS) -> Da
 
 def _runs(texts: DataFrame, wanted: DataFrame, length: int, hot: list[KeyBits]) -> DataFrame:
     """``key, digest, low, high``: the bytes of the wanted strings that repeated windows cover, run by run."""
-    marks = key_bits(wanted, "mark", hashed=False)
+    marks = key_bits(wanted, "mark", hashed=False, at_once=True)
     fetched = mapped(texts, _fetcher(length, hot, marks), "key long, digest long, string binary")
     both = wanted.select("key", "digest", "n", F.lit(None).cast("binary").alias("string")).unionByName(
         fetched.select("key", "digest", F.lit(None).cast("long").alias("n"), "string")
@@ -511,7 +512,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, most: int = MOST_STRI
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     # Texts that go as a whole are not needed again. A text that keeps a part has no copy, so each is needed once.
-    partly = key_bits(found.where(F.col("spans")[0][1] - F.col("spans")[0][0] < F.col("bytes")), "node_a", hashed=False)
+    partly = key_bits(found.where(F.col("spans")[0][1] - F.col("spans")[0][0] < F.col("bytes")), "node_a", hashed=False, at_once=True)
     sized = mapped(rows, _reader(length, partly), f"doc_id {kind}, node_a long, node_b long, n_bytes long, whole string, raw binary")
     joined = sized.join(found.drop("bytes"), ["node_a", "node_b"], "left")
     return mapped(joined, _writer, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
