@@ -70,7 +70,7 @@ def tree(centroids: np.ndarray, leaf: int = LEAF) -> list[Node]:
         order = np.argsort(away, kind="stable")
         half = len(rest) // 2
         children = tuple(
-            (build(rest[part]), float(away[part].min()), float(away[part].max())) for part in (order[:half], order[half:])
+            (build(rest[part]), float(away[part].min()), float(away[part].max())) for part in (order[:half], order[half:]) if len(part)
         )
         nodes[here] = Node((int(members[at]),), children)
         return here

@@ -77,7 +77,7 @@ def test_few_and_many_shards(spark, shards):
 
 
 def test_a_third_of_the_rows_is_one_row(spark):
-    docs = [(7, "the same text") if i % 3 == 0 else (i, "x" * (i % 40)) for i in range(30000)] + [(None, None)] * 3000
+    docs = [(7, "the same text") if i % 3 == 0 else (i, "x" * (i % 40)) for i in range(30000)] + [(-8, None)] * 3000
     placed = S.shard_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), 6, 512)
     loads = check(placed.collect(), docs, 6)
     assert max(loads) - min(loads) < 0.02 * sum(loads) / 6
