@@ -7,7 +7,7 @@ its anchor (the leftmost of equal ones), so equal windows have equal anchors whe
 anchor make up one string of up to twice ``length`` bytes. Strings that are equal byte for byte count as one with a number;
 of anchors that occur once in the whole table nothing can repeat. The rest is read once more and dealt by anchor.
 
-*Transform.* A task takes whole anchors, half a megabyte of text at a time, sorts the suffixes of their strings by
+*Transform.* A task takes whole anchors, a quarter of a megabyte of text at a time, sorts the suffixes of their strings by
 ``length`` bytes or more (each string with an end of its own), writes the transform and expands intervals breadth first: all intervals
 of prefixes of n bytes are extended backward by every byte before them, and each new interval sets the common prefix behind its
 last suffix to n, if no shorter prefix has. Common prefixes thus come in the order of their values. Expansion stops at ``length``:
@@ -43,7 +43,7 @@ LENGTH = 400
 #: Strings of one anchor that are sorted together; more are cut at longer anchors.
 MOST_STRINGS = 1024
 #: Bytes of strings that are transformed together (one anchor at least).
-BLOCK_BYTES = 500_000
+BLOCK_BYTES = 250_000
 #: Bytes of a long text whose windows are searched at once, and of shorter ones together; a string may end at the border of a slice.
 SLICE, PIECES = 4_000_000, 250_000
 #: The end of a string; no byte of UTF-8.
