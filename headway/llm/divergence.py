@@ -36,8 +36,8 @@ from headway.session import run_folder, staged
 LEAST_DOCUMENTS, UNITS, TOP = 3, 1_000_000_000, 200
 #: The largest vocabulary a vectorizer can be asked for.
 WHOLE_VOCABULARY = 2**31 - 1
-#: Terms of a language, about, that one fit may bring to the driver.
-SLICE_TERMS = 1_000_000
+#: Terms of a language, about, that one fit may bring to the driver; what is told from the sample counts rare terms too, so far fewer come.
+SLICE_TERMS = 3_000_000
 #: Share of documents whose terms are counted to tell how many slices to take, and the chance that a kept term is among them.
 SAMPLED = 1 / 16
 SEEN = 1 - (1 - SAMPLED) ** LEAST_DOCUMENTS
