@@ -83,8 +83,7 @@ def greedy_positions(candidates: DataFrame, chunk: int = CHUNK, bucket: str = "h
     (one vehicle id for a fleet), see ``_walk_in_chunks``; candidates are staged, as their numbers decide which it is.
     """
     pings = staged(candidates.select(*PING, "seg_combined").groupBy(*PING).agg(F.collect_set("seg_combined").alias("__at")))
-    sizes = pings.groupBy(*TRIP).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > chunk)
-    long = staged(sizes.select(*TRIP))
+    long = pings.groupBy(*TRIP).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > chunk).select(*TRIP)
     if not long.head(1):
         return _walk(pings, TRIP, F.lit(0.0))
     short = pings.join(long, list(TRIP), "left_anti")
