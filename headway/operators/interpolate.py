@@ -9,6 +9,7 @@ from headway.functions import geo
 from headway.functions.clock import add_seconds, exact_seconds_between
 from headway.functions.measures import plausible_speed, plausible_step, speed_mph
 from headway.operators.pings import TRIP
+from headway.session import dealt
 
 
 def trip_rows(matched: DataFrame, stops: DataFrame) -> DataFrame:
@@ -19,6 +20,8 @@ def trip_rows(matched: DataFrame, stops: DataFrame) -> DataFrame:
     unpacked behind the shuffle: one row per trip is moved, not one per stop.
     Joined rows are dealt by trip before they are unpacked. Without that the windows
     that follow would sit on the partitions of the join, where one pattern is one task.
+    Trips are sorted while they are one row each, and their rows in the array: the windows'
+    own sort of all rows then finds them in order.
     """
     none = F.lit(None)
     row = lambda at, typ, stpid, p_stp_id, time: F.struct(
@@ -35,10 +38,9 @@ def trip_rows(matched: DataFrame, stops: DataFrame) -> DataFrame:
     )
     patterns = stops.groupBy("pid").agg(F.collect_list(point).alias("__points"))
     return (
-        trips.filter(F.size("__pings") > 1)
-        .join(patterns, "pid")
-        .repartition(*TRIP)
-        .select(*TRIP, "rt", "vid", *day, F.inline(F.concat("__pings", "__points")))
+        dealt(trips.filter(F.size("__pings") > 1).join(patterns, "pid"), *TRIP)
+        .sortWithinPartitions(*TRIP)
+        .select(*TRIP, "rt", "vid", *day, F.inline(F.array_sort(F.concat("__pings", "__points"))))
     )
 
 

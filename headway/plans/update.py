@@ -14,7 +14,10 @@ from headway.sources.writers import publish, write_partitioned
 def service_date(data_date: Column) -> Column:
     """The day of data as a date, from a date or from text in either usual form; any other value fails the run."""
     text = data_date.cast("string")
-    day = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "yyyyMMdd"))
+    iso = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    # Formatted parsing fails by an exception, row by row, so the two usual shapes are cast; it decides on all others.
+    plain = F.when(text.rlike(r"^[0-9]{8}\z"), iso).when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text).try_cast("date")
+    day = F.coalesce(plain, F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "yyyyMMdd"))
     return F.when(day.isNull(), F.raise_error(F.concat(F.lit("no service date in "), F.coalesce(text, F.lit("NULL"))))).otherwise(day)
 
 

@@ -98,3 +98,31 @@ def test_windows_do_not_sit_on_the_pattern_join(spark):
     top = plan[: plan.index("SortMergeJoin")]
     assert re.search(r"Exchange hashpartitioning\(pid#\d+, unique_trip_vehicle_day#\d+", top)
     assert top.count("Exchange") == 1 and top.index("Window") < top.index("Exchange")
+
+
+def test_rows_reach_the_windows_in_order(spark):
+    """Pings and points of a trip are sorted before the windows sort all rows."""
+    from headway.operators.interpolate import trip_rows
+
+    at = "2024-01-01 08:00:00"
+    matched = spark.createDataFrame(
+        [("1", f"t{t}", "R", "v", at, float(-k), 0.0, k + 0.5) for t in range(30) for k in (7, 2, 5)],
+        "pid string, unique_trip_vehicle_day string, rt string, vid string, data_time string, x_m double, y_m double, seg_combined double",
+    ).withColumn("data_time", F.col("data_time").cast("timestamp_ntz"))
+    stops = spark.createDataFrame(
+        [("1", k, "S", str(k), f"1-{k}", float(k), 0.0) for k in (3, 9, 0, 6, 1)],
+        "pid string, segment int, typ string, stpid string, p_stp_id string, x_m double, y_m double",
+    )
+    parts = trip_rows(matched, stops).select("unique_trip_vehicle_day", "seg_combined").rdd.glom().collect()
+    assert sum(map(len, parts)) == 30 * 8
+    assert all([tuple(r) for r in p] == sorted(tuple(r) for r in p) for p in parts)
+
+
+def test_service_dates_in_all_forms(spark):
+    from headway.plans.update import service_date
+
+    forms = spark.createDataFrame([("20240131",), ("2024-01-31",)], "d string")
+    assert {str(r[0]) for r in forms.select(service_date(F.col("d"))).collect()} == {"2024-01-31"}
+    for bad in ("20240231", "2024-1-31", "2024-01-31 ", "x", None):
+        with pytest.raises(Exception, match="no service date"):
+            spark.createDataFrame([(bad,)], "d string").select(service_date(F.col("d"))).collect()
