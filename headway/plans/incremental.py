@@ -9,9 +9,10 @@ state alone, whose size follows stops, periods and distinct values, not days.
 * Headways stay within a calendar day but for the last one of each stop, which ends at the stop's next visit on whatever
   day. First and last visits, one narrow row for each route, stop and day, are kept as edges; where a day changes, the headways
   that cross into it, out of it or over it are repaired by the edges of its stops.
+* Values are held for the finest periods; the others are made of whole parts of these when metrics are made.
 * Bus counts per slot longer than a day are sums over days, so visits per slot are the state, and how often each count
   occurs is counted when metrics are made.
-* ``last_full_month`` moves with ``as_of`` and equals ``month_abs`` of that month; it is taken from there.
+* ``last_full_month`` moves with ``as_of`` and equals ``month_abs`` of that month; bus counts are taken from there.
 
 Everything a run writes lies under its number and counts only once its commit is written, last. A run that broke off is
 written over by the next one; a run that brings the same dates again changes nothing.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from headway.functions.clock import floor_to, seconds_between
 from headway.operators.metrics import KINDS, STOP_KEYS, STOP_METRICS, _metric_code, _names, packs_by_period
-from headway.operators.periods import BY_NAME, LIVE_PERIODS, PERIODS, alike, fan_out
+from headway.operators.periods import BY_NAME, LIVE_PERIODS, alike, fan_out, finest, period_number
 from headway.operators.ranks import SHORT_PACK, histogram, stack_values
 from headway.operators.visits import daytime, segment_times
 from headway.session import staged
@@ -121,7 +122,7 @@ class MetricStore:
 
         values = trips.unionByName(inner.where(F.col("metric") != _BUSES)).unionByName(across)
         changed = values.groupBy(*_AT).agg(F.sum("n").alias("n")).where("n != 0")
-        spread = fan_out(changed, "at", self.periods, None)
+        spread = fan_out(changed, "at", finest(self.periods), None)
         self._append("values", spread.groupBy(*_STATE_KEYS, "value").agg(F.sum("n").alias("n")), run)
         counts = inner.where(F.col("metric") == _BUSES).groupBy(*_AT).agg(F.sum("n").alias("n")).where("n != 0").drop("value")
         slots = fan_out(counts, "at", self.periods, None, with_slot=True)
@@ -211,29 +212,31 @@ class MetricStore:
             rows = rows.unionByName(self._there(f"{self.base}/compacted/upto={upto}/{state}", _STATES[state]))
         return rows.groupBy(*keys).agg(F.sum("n").alias("n")).where("n != 0")
 
-    def _histogram(self) -> DataFrame:
-        values = self._state("values", [*_STATE_KEYS, "value"])
+    def _histograms(self) -> tuple[DataFrame, DataFrame]:
+        """Of times, for the finest periods, and of bus counts, for all but the last full month."""
+        # Stores of earlier versions hold values for other periods, too.
+        held = F.col("__period").isin([period_number(p) for p in finest(self.periods)])
+        values = self._state("values", [*_STATE_KEYS, "value"]).where(held)
         # A NULL value keeps its group alive and counts for nothing.
         values = values.withColumn("n", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(F.lit(0)))
         slots = self._state("slots", [*_STATE_KEYS, "__slot"]).withColumnRenamed("n", "value")
-        return values.unionByName(histogram(slots, _STATE_KEYS).select(*values.columns))
+        return values, histogram(slots, _STATE_KEYS).select(*values.columns)
 
     def metrics(self, as_of: str | None = None, stats: Sequence[str] = SHORT_PACK) -> DataFrame:
         """All four metrics of actual service as ``stop_metrics`` gives them for the visits that count."""
-        hist = self._histogram()
+        values, counts = self._histograms()
         periods = list(self.periods)
         if self.last_full_month:
             if as_of is None:
                 raise ValueError("period last_full_month needs as_of")
-            number = {p.name: i for i, p in enumerate(PERIODS)}
             month = BY_NAME["month_abs"].code(F.add_months(F.lit(as_of).cast("date"), -1).cast("timestamp_ntz"))
-            newest = hist.where((F.col("__period") == number["month_abs"]) & (F.col("__code") == month))
+            newest = counts.where((F.col("__period") == period_number("month_abs")) & (F.col("__code") == month))
             whole = BY_NAME["last_full_month"]
-            hist = hist.unionByName(newest.withColumns({
-                "__period": F.lit(number[whole.name]).cast("tinyint"), "__code": whole.code(F.lit(None)).cast("int"),
+            counts = counts.unionByName(newest.withColumns({
+                "__period": F.lit(period_number(whole.name)).cast("tinyint"), "__code": whole.code(F.lit(None)).cast("int"),
             }))
             periods.append(whole.name)
-        return packs_by_period(hist, STOP_KEYS, _names(KINDS[:1]), periods, stats)
+        return packs_by_period(values, STOP_KEYS, _names(KINDS[:1]), periods, stats, as_of, counts)
 
     def compact(self) -> None:
         """Put the differences of all committed runs into one table; it counts once its marker is written."""

@@ -39,3 +39,27 @@ def test_weighted_median_half_counts(spark):
 def test_group_medians_ignore_nulls(spark):
     df = spark.createDataFrame([("a", 1.0, None), ("a", 3.0, 5.0), ("a", None, None)], "k string, x double, y double")
     assert [tuple(r) for r in R.group_medians(df, ["k"], ["x", "y"]).collect()] == [("a", 2.0, 5.0)]
+
+
+def test_whole_periods_are_made_of_their_parts(spark):
+    """Only the finest periods are counted; others, of one part or of several, equal those counted by themselves."""
+    import datetime as dt
+    import random
+
+    from headway.operators import metrics as M
+
+    chance = random.Random(3)
+    start = dt.datetime(2022, 11, 20)
+    data = [
+        ("R", "1", chance.choice(["s", None]), start + dt.timedelta(minutes=chance.randrange(800_000)), chance.choice([None, *range(9)]))
+        for _ in range(400)
+    ] + [("R", "1", "lone", dt.datetime(2024, 1, 5, 8), 7), ("R", "1", "lone", None, 3)]
+    visits = spark.createDataFrame(data, "rt string, pid string, stop_id string, bus_stop_time timestamp_ntz, v long")
+    as_of = "2023-06-15"
+    counted = M.value_histogram(visits, M.STOP_KEYS, "bus_stop_time", {0: "v"}, as_of=as_of)
+    assert counted.select("__period").distinct().count() == 3
+    whole = M.period_metrics(visits, "m", "v", as_of=as_of)
+    for name in M.LIVE_PERIODS:
+        alone = M.period_metrics(visits, "m", "v", periods=[name], as_of=as_of)
+        got = sorted(map(tuple, whole.where(f"period = '{name}'").collect()), key=str)
+        assert got and got == sorted(map(tuple, alone.collect()), key=str)
