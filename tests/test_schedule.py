@@ -83,3 +83,22 @@ def test_two_buses_in_one_second(spark):
     )
     got = {r.trip_id: r.time_till_next_bus for r in V.headways(df).collect()}
     assert got == {"a": 0, "b": 600, "c": None}
+
+
+def test_clocks_are_read_before_days_are_unpacked(spark):
+    trips = spark.createDataFrame(
+        [("1", "A", "t1", "643000095", "9"), ("1", "A", "t1", "643000095", "9")],
+        "route_id string, service_id string, trip_id string, shape_id string, schd_trip_id string",
+    )
+    times = spark.createDataFrame(
+        [("t1", "s", "1", "24:05:00", ""), ("t1", "u", "2.0", "25:61:00", ""), ("t1", None, "3", None, ""), ("t1", "w", "x", "7:05:09", "")],
+        "trip_id string, stop_id string, stop_sequence string, arrival_time string, departure_time string",
+    )
+    feed = (trips, times, _calendar(spark, {"monday", "friday"}), _exceptions(spark, ("A", "20240102", "1"), ("A", "20240101", "2")))
+    packed, plain = S.expand_schedule(*feed, packed=True), S.expand_schedule(*feed)
+    for strict in (False, True):
+        assert rows(S.clean_schedule(packed, strict)) == rows(S.clean_schedule(plain, strict))
+    assert rows(V.scheduled_visits(S.clean_schedule(packed, packed=True))) == rows(V.scheduled_visits(S.clean_schedule(plain)))
+    plan = S.clean_schedule(packed)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode", 1)
+    assert "substring_index" not in above and "substring_index" in below
