@@ -1,16 +1,14 @@
 """Source divergence audit: how the terms of each source differ from those of other sources and of its language.
 
-For each language a ``CountVectorizer`` (at least three documents a term, the largest vocabulary an integer allows) turns
-documents into exact sparse count vectors, whose entries are added up by source: a row for each term, with the sources that have it.
-Everything behind works on those rows. Shares are integers: ``p = 1 + floor(10^9 (count + 1) / (N + V))``.
+Tasks count the terms of their documents by language and source, in how many of them each is too; counts meet by term, are added up
+and make a row for each term that enough documents of its language hold, with the sources that have it. Everything behind works
+on those rows. Shares are integers: ``p = 1 + floor(10^9 (count + 1) / (N + V))``.
 
 *Pairs of sources* are evaluated on what is not zero. Were both counts of every term zero, the value would be V times one number;
 what the terms of the one source, and of the other, change in that depends on a term's count alone, so it is added up over the
 histogram of counts of that source; only for terms that both have, what they change together is added up, by integers in numpy.
 
-*Bounded driver.* A fit holds its vocabulary on the driver and sends it to tasks. Languages with more than ``SLICE_TERMS`` terms are
-fitted in slices of their terms by hash, each a vectorizer of its own; the vectors of all slices together are the exact ones.
-Tokens are staged once, a folder for each language, so every fit reads its own language only.
+*Bounded tasks.* A task hands its counts on whenever it holds ``SLICE_TERMS`` of them; no vocabulary comes to the driver.
 
 Defined results: null text, lang and source are empty strings; every row is a document, repeated or not; a language without kept terms
 has pairs of value 0 and no terms; a language with one source has no pairs; an empty table gives an empty result; other columns
@@ -19,101 +17,78 @@ are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from headway.llm.common import batch_of, mapped
-from headway.session import run_folder, staged
+from headway.llm.common import batch_of, blocks, mapped
+from headway.session import staged
 
 #: Documents that hold a kept term, at least; the units shares are counted in; ranks of terms that are reported.
 LEAST_DOCUMENTS, UNITS, TOP = 3, 1_000_000_000, 200
-#: The largest vocabulary a vectorizer can be asked for.
-WHOLE_VOCABULARY = 2**31 - 1
-#: Terms of a language, about, that one fit may bring to the driver; what is told from the sample counts rare terms too, so far fewer come.
-SLICE_TERMS = 1_000_000
-#: Share of documents whose terms are counted to tell how many slices to take, and the chance that a kept term is among them.
-SAMPLED = 1 / 16
-SEEN = 1 - (1 - SAMPLED) ** LEAST_DOCUMENTS
+#: Counts that a task holds, about; counts of one batch it hands on.
+SLICE_TERMS, ROWS = 500_000, 50_000
+#: Share of documents that are counted: all. Nothing is sampled any more; the name stays for a test that sets it to this.
+SAMPLED = 1.0
 #: Pairs of sources that are evaluated at once.
 PAIRS = 1 << 19
-#: What stands between terms: ASCII but letters.
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Byte by byte: A to Z in lower case, other ASCII than letters a blank, what is beyond ASCII as it is. Terms are what blanks part.
+TERMS = bytes(b if b >= 128 or chr(b) in LOWER else b + 32 if chr(b) in UPPER else 32 for b in range(256))
+COUNT_SCHEMA = pa.schema([("lang_key", pa.string()), ("source", pa.string()), ("term", pa.string()), ("count", pa.int64()), ("held", pa.int64())])
 
 
-def tokens(text: Column) -> Column:
-    """Longest runs of ASCII letters and anything beyond ASCII, only A to Z in lower case."""
-    # Where all is ASCII, lower case is the same and faster.
-    lower = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.array_remove(F.split(lower, BETWEEN), "")
+def _counter(most: int):
+    """Counts the terms of each (lang, source) over a task's rows and hands them on whenever it holds ``most`` of them."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, held, size = defaultdict(Counter), defaultdict(Counter), 0
+        for rows, texts in blocks(batches):
+            for lang, source, text in zip(rows.column("lang").to_pylist(), rows.column("source").to_pylist(), texts):
+                terms = text.encode().translate(TERMS).split()
+                own = counts[lang, source]
+                before = len(own)
+                own.update(terms)
+                held[lang, source].update(set(terms))
+                size += len(own) - before
+                if size >= most:
+                    yield from _counted(counts, held)
+                    counts, held, size = defaultdict(Counter), defaultdict(Counter), 0
+        yield from _counted(counts, held)
 
-def _slices(rows: DataFrame, slice_terms: int) -> dict[str, tuple[int, int]]:
-    """For each language key its documents, and the slices its terms are fitted in.
-
-    Terms are counted in a sample of documents. A term of ``LEAST_DOCUMENTS`` is in the sample with ``SEEN`` at least, so what
-    the sample holds, divided by that, is no less than the terms to be kept.
-    """
-    terms = rows.sample(SAMPLED, seed=1).select("lang_key", F.explode("terms").alias("term")).groupBy("lang_key").agg(
-        F.approx_count_distinct("term").alias("terms")
-    )
-    known = rows.groupBy("lang_key").agg(F.count(F.lit(1)).alias("documents")).join(terms, "lang_key", "left")
-    return {r["lang_key"]: (r["documents"], 1 + int((r["terms"] or 0) / SEEN) // slice_terms) for r in known.collect()}
+    return run
 
 
-def source_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, slice_terms: int = SLICE_TERMS) -> tuple[DataFrame, DataFrame]:
-    """``lang_key, lang, source`` of all groups; ``lang_key, term, cells`` of kept terms with their sources and counts."""
-    spark = docs.sparkSession
-    lang, source, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text"))
-    path = f"{run_folder(spark)}/terms"
-    docs.select(lang.alias("lang"), source.alias("source"), tokens(text).alias("terms"), F.md5(lang).alias("lang_key")).write.partitionBy(
-        "lang_key"
-    ).parquet(path)
-    rows = spark.read.schema("lang string, source string, terms array<string>, lang_key string").parquet(path)
-    counted = []
-    for key, (documents, slices) in sorted(_slices(rows, slice_terms).items()):
-        for n in range(slices if documents >= least else 0):
-            own = rows.where(F.col("lang_key") == key)
-            if slices > 1:
-                own = own.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(slices)) == n))
-            part = _slice_counts(own.select("source", "terms"), least)
-            if part is not None:
-                counted.append(part.select(F.lit(key).alias("lang_key"), "term", "cells"))
-    groups = staged(rows.select("lang_key", "lang", "source").distinct())
-    if not counted:
-        return groups, spark.createDataFrame([], "lang_key string, term string, cells array<struct<source:string,count:bigint>>")
-    whole = counted[0]
-    for more in counted[1:]:
-        whole = whole.unionByName(more)
-    return groups, whole
+def _counted(counts: dict[tuple[str, str], Counter], held: dict[tuple[str, str], Counter]) -> Iterator[pa.RecordBatch]:
+    for (lang, source), own in counts.items():
+        terms = list(own)
+        for begin in range(0, len(terms), ROWS):
+            part = terms[begin : begin + ROWS]
+            yield batch_of(
+                COUNT_SCHEMA, lang_key=pa.repeat(lang, len(part)), source=pa.repeat(source, len(part)),
+                term=pa.array(part, pa.binary()).cast(pa.string()), count=[own[t] for t in part], held=[held[lang, source][t] for t in part],
+            )
 
 
-def _slice_counts(rows: DataFrame, least: int) -> DataFrame | None:
-    """``term, cells``: over the document vectors of one fit, added up by source without making them dense.
+def source_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, slice_terms: int = SLICE_TERMS) -> tuple[DataFrame, DataFrame]:
+    """``lang_key, lang, source`` of all groups; ``lang_key, term, cells`` of kept terms with their sources and counts.
 
     A term's cells are its sources: no more than the language has.
     """
-    spark = rows.sparkSession
-    vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=WHOLE_VOCABULARY)
-    model = vectorizer.fit(rows)
-    vocabulary = model.vocabulary
-    if not vocabulary:
-        return None
-    vector = F.unwrap_udt("vector")
-    entries = model.transform(rows).select("source", F.inline(F.arrays_zip(vector["indices"].alias("place"), vector["values"].alias("n"))))
-    sums = entries.groupBy("source", "place").agg(F.sum(F.col("n").cast("long")).alias("count"))
-    cells = sums.groupBy("place").agg(F.collect_list(F.struct("source", "count")).alias("cells"))
-    names = spark.createDataFrame(
-        pa.table({"place": pa.array(range(len(vocabulary)), pa.int32()), "term": pa.array(vocabulary, pa.string())})
+    rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    groups = staged(rows.select(F.col("lang").alias("lang_key"), "lang", "source").distinct())
+    counted = mapped(rows, _counter(slice_terms), "lang_key string, source string, term string, count long, held long")
+    # Dealt by term once, which serves both sums.
+    by_source = counted.repartition("lang_key", "term").groupBy("lang_key", "term", "source").agg(
+        F.sum("count").alias("count"), F.sum("held").alias("held")
     )
-    return staged(cells.join(names, "place").select("term", "cells"))
+    terms = by_source.groupBy("lang_key", "term").agg(F.sum("held").alias("held"), F.collect_list(F.struct("source", "count")).alias("cells"))
+    return groups, staged(terms.where(F.col("held") >= least).select("lang_key", "term", "cells"))
 
 
 def share(count: Column, size: Column, terms: Column) -> Column:
