@@ -4,13 +4,18 @@ For each language a ``CountVectorizer`` (at least three documents a term, the la
 documents into exact sparse count vectors, whose entries are added up by source: a row for each term, with the sources that have it.
 Everything behind works on those rows. Shares are integers: ``p = 1 + floor(10^9 (count + 1) / (N + V))``.
 
+*Folded documents.* A vectorizer's work grows with the words it is given, so tasks fold the documents of some megabytes first, and
+nothing that it finds changes. It is fitted on documents in which a term is once for each document of its language that holds it, as far
+as ``least`` of them: that many hold it in all just when that many did before. It transforms documents of one source that have a weight,
+a power of two, and hold the terms whose number there has that binary digit: their vectors, times the weights, add up to the same counts.
+
 *Pairs of sources* are evaluated on what is not zero. Were both counts of every term zero, the value would be V times one number;
 what the terms of the one source, and of the other, change in that depends on a term's count alone, so it is added up over the
 histogram of counts of that source; only for terms that both have, what they change together is added up, by integers in numpy.
 
 *Bounded driver.* A fit holds its vocabulary on the driver and sends it to tasks. Languages with more than ``SLICE_TERMS`` terms are
 fitted in slices of their terms by hash, each a vectorizer of its own; the vectors of all slices together are the exact ones.
-Tokens are staged once, a folder for each language, so every fit reads its own language only.
+Folded documents are staged once, a folder for each language, so every fit reads its own language only.
 
 Defined results: null text, lang and source are empty strings; every row is a document, repeated or not; a language without kept terms
 has pairs of value 0 and no terms; a language with one source has no pairs; an empty table gives an empty result; other columns
@@ -36,57 +41,156 @@ from headway.session import run_folder, staged
 LEAST_DOCUMENTS, UNITS, TOP = 3, 1_000_000_000, 200
 #: The largest vocabulary a vectorizer can be asked for.
 WHOLE_VOCABULARY = 2**31 - 1
-#: Terms of a language, about, that one fit may bring to the driver; what is told from the sample counts rare terms too, so far fewer come.
+#: Terms of a language, about, that one fit may bring to the driver.
 SLICE_TERMS = 1_000_000
-#: Share of documents whose terms are counted to tell how many slices to take, and the chance that a kept term is among them.
+#: Share of terms, by hash, that are counted to tell how many slices to take.
 SAMPLED = 1 / 16
-SEEN = 1 - (1 - SAMPLED) ** LEAST_DOCUMENTS
+#: Bytes of text a task folds at once (one document at least), and terms that a folded document has at most; bounds memory, never results.
+FOLD_BYTES, FOLD_TERMS = 16_000_000, 20_000
 #: Pairs of sources that are evaluated at once.
 PAIRS = 1 << 19
-#: What stands between terms: ASCII but letters.
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def tokens(text: Column) -> Column:
-    """Longest runs of ASCII letters and anything beyond ASCII, only A to Z in lower case."""
-    # Where all is ASCII, lower case is the same and faster.
-    lower = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.array_remove(F.split(lower, BETWEEN), "")
-
+#: Byte by byte: A to Z in lower case, other ASCII than letters a blank, what is beyond ASCII as it is. Terms are what blanks part.
+BLANK = 32
+TERMS = bytes(b if b >= 128 or chr(b) in LOWER else b + 32 if chr(b) in UPPER else BLANK for b in range(256))
+FOLD_SCHEMA = pa.schema(
+    [("lang", pa.string()), ("source", pa.string()), ("weight", pa.int64()), ("documents", pa.int64()), ("terms", pa.list_(pa.string()))]
+)
 
-def _slices(rows: DataFrame, slice_terms: int) -> dict[str, tuple[int, int]]:
-    """For each language key its documents, and the slices its terms are fitted in.
 
-    Terms are counted in a sample of documents. A term of ``LEAST_DOCUMENTS`` is in the sample with ``SEEN`` at least, so what
-    the sample holds, divided by that, is no less than the terms to be kept.
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """The same rows, ``most`` bytes of text at a time (one row at least)."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(int(np.searchsorted(ends, before + most - size, side="right")), begin if held else begin + 1)
+            if end > begin:
+                held.append(batch.slice(begin, end - begin))
+                size += int(ends[end - 1]) - before
+            begin = end
+            if begin < batch.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All terms of all texts in order, by number of a dictionary, and the text each is in.
+
+    Terms are longest runs of ASCII letters and anything beyond ASCII, only A to Z in lower case.
     """
-    terms = rows.sample(SAMPLED, seed=1).select("lang_key", F.explode("terms").alias("term")).groupBy("lang_key").agg(
-        F.approx_count_distinct("term").alias("terms")
-    )
-    known = rows.groupBy("lang_key").agg(F.count(F.lit(1)).alias("documents")).join(terms, "lang_key", "left")
-    return {r["lang_key"]: (r["documents"], 1 + int((r["terms"] or 0) / SEEN) // slice_terms) for r in known.collect()}
+    texts = texts.cast(pa.large_binary())
+    edges = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    data = np.frombuffer((raw.slice(int(edges[0]), int(edges[-1] - edges[0])).to_pybytes() if raw else b"").translate(TERMS), dtype=np.uint8)
+    edges = edges - edges[0]
+    inside = data != BLANK
+    # A term ends where its text does.
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[edges] = True
+    cut[1:] |= ~inside
+    starts = np.flatnonzero(inside & cut[:-1])
+    cut[:-1] |= ~inside
+    cut[edges] = True
+    ends = np.flatnonzero(inside & cut[1:]) + 1
+    offsets = np.zeros(len(starts) + 1, dtype=np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    held = np.diff(np.searchsorted(starts, edges))
+    del cut, starts, ends
+    data = data[inside]
+    del inside
+    terms = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return terms.dictionary_encode(), np.repeat(np.arange(len(texts)), held)
+
+
+def _counted(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each number once, in order, and how often it is there. Sorts in place."""
+    numbers.sort()
+    heads = np.flatnonzero(np.diff(numbers, prepend=-1))
+    return numbers[heads], np.diff(np.append(heads, len(numbers)))
+
+
+def _folder(least: int, most: int):
+    """Tasks that fold documents: weight 0 for those to fit on, others for those to transform."""
+
+    def fold(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        langs, sources = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "source"))
+        lang, source = (x.indices.to_numpy().astype(np.int64) for x in (langs, sources))
+        group, of = np.unique(lang * len(sources.dictionary) + source, return_inverse=True)
+        terms, text = _terms(rows.column("text").combine_chunks())
+        code, known = terms.indices.to_numpy(), max(1, len(terms.dictionary))
+        numbers = of[text] * known
+        numbers += code
+        found, counts = _counted(numbers)
+        text *= known
+        text += code
+        held, _ = _counted(text)
+        del numbers, text, code
+        held, documents = _counted(lang[held // known] * known + held % known)
+        for i, (name, n) in enumerate(zip(langs.dictionary, np.bincount(lang).tolist())):
+            a, b = np.searchsorted(held, (i * known, (i + 1) * known))
+            for level in range(least):
+                some = held[a:b][documents[a:b] > level] % known
+                yield from folded(name, None, 0, 0 if level else n, terms.dictionary, some)
+        for i, g in enumerate(group.tolist()):
+            a, b = np.searchsorted(found, (i * known, (i + 1) * known))
+            name, other = langs.dictionary[g // len(sources.dictionary)], sources.dictionary[g % len(sources.dictionary)]
+            for digit in range(int(counts[a:b].max(initial=1)).bit_length()):
+                yield from folded(name, other, 1 << digit, 0, terms.dictionary, found[a:b][counts[a:b] >> digit & 1 > 0] % known)
+
+    def folded(lang, source, weight: int, documents: int, dictionary: pa.Array, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+        names = dictionary.take(pa.array(places))
+        for begin in range(0, max(1, len(names)), FOLD_TERMS):
+            part = names.slice(begin, FOLD_TERMS)
+            lists = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
+            yield batch_of(
+                FOLD_SCHEMA, lang=pa.array([lang.as_py()]), source=pa.array([source.as_py() if source else None], pa.string()),
+                weight=[weight], documents=[0 if begin else documents], terms=lists,
+            )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _chunks(batches, most):
+            yield from fold(rows)
 
-def source_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, slice_terms: int = SLICE_TERMS) -> tuple[DataFrame, DataFrame]:
+    return run
+
+
+def _slices(rows: DataFrame, least: int, slice_terms: int) -> dict[str, tuple[int, int]]:
+    """For each language key its documents, and the slices its terms are fitted in: told from the kept ones of a share of terms."""
+    fits = rows.where(F.col("weight") == 0)
+    chance = F.pmod(F.xxhash64("term", F.lit("sample")), F.lit(1 << 20)) < int(SAMPLED * (1 << 20))
+    kept = fits.select("lang_key", F.explode("terms").alias("term")).where(chance).groupBy("lang_key", "term").count().where(F.col("count") >= least)
+    terms = kept.groupBy("lang_key").agg(F.count(F.lit(1)).alias("terms"))
+    known = fits.groupBy("lang_key").agg(F.sum("documents").alias("documents")).join(terms, "lang_key", "left")
+    return {r["lang_key"]: (r["documents"], 1 + int((r["terms"] or 0) / SAMPLED) // slice_terms) for r in known.collect()}
+
+
+def source_counts(
+    docs: DataFrame, least: int = LEAST_DOCUMENTS, slice_terms: int = SLICE_TERMS, fold_bytes: int = FOLD_BYTES
+) -> tuple[DataFrame, DataFrame]:
     """``lang_key, lang, source`` of all groups; ``lang_key, term, cells`` of kept terms with their sources and counts."""
     spark = docs.sparkSession
-    lang, source, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text"))
+    texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     path = f"{run_folder(spark)}/terms"
-    docs.select(lang.alias("lang"), source.alias("source"), tokens(text).alias("terms"), F.md5(lang).alias("lang_key")).write.partitionBy(
-        "lang_key"
-    ).parquet(path)
-    rows = spark.read.schema("lang string, source string, terms array<string>, lang_key string").parquet(path)
+    folded = mapped(texts, _folder(least, fold_bytes), "lang string, source string, weight long, documents long, terms array<string>")
+    folded.withColumn("lang_key", F.md5("lang")).write.partitionBy("lang_key").parquet(path)
+    rows = spark.read.schema("lang string, source string, weight long, documents long, terms array<string>, lang_key string").parquet(path)
     counted = []
-    for key, (documents, slices) in sorted(_slices(rows, slice_terms).items()):
+    for key, (documents, slices) in sorted(_slices(rows, least, slice_terms).items()):
         for n in range(slices if documents >= least else 0):
             own = rows.where(F.col("lang_key") == key)
             if slices > 1:
                 own = own.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(slices)) == n))
-            part = _slice_counts(own.select("source", "terms"), least)
+            part = _slice_counts(own.select("source", "weight", "terms"), least)
             if part is not None:
                 counted.append(part.select(F.lit(key).alias("lang_key"), "term", "cells"))
-    groups = staged(rows.select("lang_key", "lang", "source").distinct())
+    groups = staged(rows.where(F.col("weight") > 0).select("lang_key", "lang", "source").distinct())
     if not counted:
         return groups, spark.createDataFrame([], "lang_key string, term string, cells array<struct<source:string,count:bigint>>")
     whole = counted[0]
@@ -102,13 +206,16 @@ def _slice_counts(rows: DataFrame, least: int) -> DataFrame | None:
     """
     spark = rows.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least), vocabSize=WHOLE_VOCABULARY)
-    model = vectorizer.fit(rows)
+    model = vectorizer.fit(rows.where(F.col("weight") == 0))
     vocabulary = model.vocabulary
     if not vocabulary:
         return None
     vector = F.unwrap_udt("vector")
-    entries = model.transform(rows).select("source", F.inline(F.arrays_zip(vector["indices"].alias("place"), vector["values"].alias("n"))))
-    sums = entries.groupBy("source", "place").agg(F.sum(F.col("n").cast("long")).alias("count"))
+    entries = model.transform(rows.where(F.col("weight") > 0)).select(
+        "source", "weight", F.inline(F.arrays_zip(vector["indices"].alias("place"), vector["values"].alias("n")))
+    )
+    # Dealt by place once, which serves both steps: few entries of a task are of one source and term.
+    sums = entries.repartition("place").groupBy("place", "source").agg(F.sum(F.col("n").cast("long") * F.col("weight")).alias("count"))
     cells = sums.groupBy("place").agg(F.collect_list(F.struct("source", "count")).alias("cells"))
     names = spark.createDataFrame(
         pa.table({"place": pa.array(range(len(vocabulary)), pa.int32()), "term": pa.array(vocabulary, pa.string())})

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +110,27 @@ def test_pairs_of_a_block_do_not_matter(monkeypatch):
         assert [x.tolist() for x in D._both(of, term, at, count)] == whole
     large = D.Sizes(["a"], np.array([3 * 10**13]), 40)
     assert large.share(np.array([10**13]), np.array([0]))[0] == 1 + 10**9 * (10**13 + 1) // (3 * 10**13 + 40)
+
+
+@pytest.mark.parametrize("most,at_once", [(1, 2), (40, 5), (D.FOLD_BYTES, D.FOLD_TERMS)])
+def test_vectorizers_are_given_folded_documents(monkeypatch, most, at_once):
+    """However much is folded: documents to fit on keep who is held three times, those to transform every count, in few terms."""
+    monkeypatch.setattr(D, "FOLD_TERMS", at_once)
+    rows = [(t or "", lang or "", s or "") for t, lang, s in ROWS] + [("often " * 1000, "en", "a")] + [("Often É\x00é it's", "en", "b")] * 50
+    batch = pa.record_batch([pa.array(x) for x in zip(*rows)], ["text", "lang", "source"])
+    parts = [r for b in D._folder(3, most)(iter([batch.slice(0, 7), batch.slice(7)])) for r in b.to_pylist()]
+    held, counts, want_held, want = Counter(), Counter(), Counter(), Counter()
+    for r in parts:
+        assert len(set(r["terms"])) == len(r["terms"]) <= at_once
+        for t in r["terms"]:
+            (counts if r["weight"] else held)[(r["lang"], r["source"], t) if r["weight"] else (r["lang"], t)] += r["weight"] or 1
+    for text, lang, source in rows:
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text.translate(str.maketrans(D.UPPER, D.LOWER)))
+        want.update((lang, source, t) for t in terms)
+        want_held.update({(lang, t) for t in terms})
+    assert counts == want
+    assert {t for t, n in held.items() if n >= 3} == {t for t, n in want_held.items() if n >= 3}
+    assert {(r["lang"], r["source"]) for r in parts if r["weight"]} == {r[1:] for r in rows}
+    assert sum(r["documents"] for r in parts) == len(rows)
+    if most == D.FOLD_BYTES:
+        assert sum(len(r["terms"]) for r in parts) < sum(want.values()) / 4 and max(held.values()) == 3
